@@ -1,5 +1,5 @@
 """degraus: layered (Bronze, Silver, Gold) indicator analytics on Spark DataFrames."""
 
-from degraus.session import get_session, scratch_dir
+from degraus.session import get_session, scratch_dir, stored
 
-__all__ = ["get_session", "scratch_dir"]
+__all__ = ["get_session", "scratch_dir", "stored"]

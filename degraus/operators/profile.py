@@ -6,23 +6,24 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import product
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from degraus.functions import round_even
 
 
-def fixed_histogram(df: DataFrame, column: str, first: float, last: float, width: float) -> DataFrame:
-    """Counts per [edge, edge + width); the last bin is closed, empty bins stay, the rest is dropped."""
-    bins = int(round((last - first) / width))
+def bin_number(column: str, first: float, last: float, width: float) -> Column:
+    """Bin of a value in [first, last], the last bin closed; null outside."""
     x = F.col(column)
-    counts = (
-        df.where((x >= first) & (x <= last))
-        .select(F.least(F.floor((x - F.lit(float(first))) / F.lit(float(width))), F.lit(bins - 1)).alias("faixa"))
-        .groupBy("faixa")
-        .agg(F.count("*").alias("contagem"))
-    )
-    edges = df.sparkSession.range(bins).withColumnRenamed("id", "faixa")
+    top = int(round((last - first) / width)) - 1
+    inside = (x >= first) & (x <= last)
+    return F.when(inside, F.least(F.floor((x - F.lit(float(first))) / F.lit(float(width))), F.lit(top)).cast("int"))
+
+
+def with_empty_bins(counts: DataFrame, first: float, last: float, width: float) -> DataFrame:
+    """Bin counts (faixa, contagem) as edges and counts, bins without rows included."""
+    bins = int(round((last - first) / width))
+    edges = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("faixa"))
     return edges.join(counts, "faixa", "left").select(
         (F.col("faixa") * int(width) + int(first)).cast("int").alias("faixa_min"),
         ((F.col("faixa") + 1) * int(width) + int(first)).cast("int").alias("faixa_max"),
@@ -30,6 +31,12 @@ def fixed_histogram(df: DataFrame, column: str, first: float, last: float, width
     )
 
 
+def fixed_histogram(df: DataFrame, column: str, first: float, last: float, width: float) -> DataFrame:
+    """Counts per [edge, edge + width); the last bin is closed, empty bins stay, the rest is dropped."""
+    bins = df.select(bin_number(column, first, last, width).alias("faixa")).where(F.col("faixa").isNotNull())
+    return with_empty_bins(bins.groupBy("faixa").agg(F.count("*").alias("contagem")), first, last, width)
+
+
 def range_histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over the range of the data; a single-valued column gets a unit-wide range."""
     data = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))

@@ -1,19 +1,21 @@
 """Dashboard views: small aggregates over Gold and Silver tables.
 
-Every figure list is a DataFrame of its own, so it can be exported, joined or compared.
+Every figure list is a DataFrame of its own, so it can be exported, joined or compared. The inputs
+are stored tables: several views read theirs more than once (bounds first, then rows).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from degraus.functions import percentage, round_even
-from degraus.operators.profile import fixed_histogram
+from degraus.operators.profile import bin_number, with_empty_bins
 from degraus.operators.ranking import best_and_worst, largest_changes, ranked_lists
 from degraus.operators.reshape import first_and_last_year
+from degraus.session import stored
 from degraus.spec import MIN_STUDENTS, PROFICIENCY_BINS, TARGET_PATH_END, TARGET_PATH_FROM
 
 
@@ -175,9 +177,12 @@ def state_moves(evolution: DataFrame, year: int, size: int = 6) -> DataFrame:
 _SUMS = ["avaliados", "com_id", "alfabetizados", "com_resultado", "soma_proficiencia", "com_proficiencia"]
 
 
-def student_totals(students: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sums and counts of the students present, per key. All student views are built on these,
-    so the microdata is reduced in the map tasks before anything is shuffled or joined."""
+def student_totals(students: DataFrame, keys: Sequence[str] = ("ano", "id_municipio", "rede_label")) -> DataFrame:
+    """Sums and counts of the students present, per key.
+
+    The student views are built on these totals. Store them once and the microdata is scanned
+    once for all views; it is reduced in the map tasks before anything is shuffled or joined.
+    """
     passed = F.col("alfabetizado")
     return (
         students.where(F.col("presenca"))
@@ -193,8 +198,12 @@ def student_totals(students: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _sum_up(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return totals.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in _SUMS))
+
+
 def _figures(totals: DataFrame, keys: Sequence[str], size: str = "avaliados") -> DataFrame:
-    return totals.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in _SUMS)).select(
+    return _sum_up(totals, keys).select(
         *keys,
         F.col(size).alias("total_avaliados"),
         (F.try_divide(F.col("alfabetizados"), F.col("com_resultado")) * 100.0).alias("pct_alfabetizado"),
@@ -202,15 +211,13 @@ def _figures(totals: DataFrame, keys: Sequence[str], size: str = "avaliados") ->
     )
 
 
-def student_history(students: DataFrame) -> DataFrame:
+def student_history(totals: DataFrame) -> DataFrame:
     """Per year: students assessed, share that passed, mean score."""
-    totals = student_totals(students, ["ano"])
     return _figures(totals.where(F.col("ano").isNotNull()), ["ano"]).orderBy("ano")
 
 
-def student_by_network(students: DataFrame) -> DataFrame:
+def student_by_network(totals: DataFrame) -> DataFrame:
     """The same figures per network in the last year, largest first."""
-    totals = student_totals(students, ["ano", "rede_label"])
     last = latest_year(totals).where(F.col("rede_label").isNotNull())
     return (
         _figures(last, ["rede_label"])
@@ -220,49 +227,56 @@ def student_by_network(students: DataFrame) -> DataFrame:
 
 
 def student_histogram(students: DataFrame) -> DataFrame:
-    """Score distribution in the last year."""
-    present = students.where(F.col("presenca")).select("ano", "proficiencia")
-    return fixed_histogram(latest_year(present), "proficiencia", *PROFICIENCY_BINS)
+    """Score distribution in the last year.
+
+    Binned for every year in one scan; the last year is then picked among (years x bins) rows,
+    the only rows that meet in one task.
+    """
+    binned = (
+        students.where(F.col("presenca"))
+        .groupBy("ano", bin_number("proficiencia", *PROFICIENCY_BINS).alias("faixa"))
+        .agg(F.count("*").alias("contagem"))
+    )
+    last = F.max("ano").over(Window.partitionBy())
+    counts = (
+        binned.withColumn("ultimo", last)
+        .where((F.col("ano") == F.col("ultimo")) & F.col("faixa").isNotNull())
+        .select("faixa", "contagem")
+    )
+    return with_empty_bins(counts, *PROFICIENCY_BINS)
 
 
-def student_by_state(students: DataFrame, directory: DataFrame) -> DataFrame:
-    """Figures per (year, state). Students are summed per city before the directory is joined,
-    so a city with a large share of all students is one row per year in the join."""
-    per_city = student_totals(students, ["ano", "id_municipio"])
+def student_by_state(totals: DataFrame, directory: DataFrame) -> DataFrame:
+    """Figures per (year, state). The join sees the totals per city, so a city with a large
+    share of all students is one row per year."""
+    per_city = _sum_up(totals, ["ano", "id_municipio"])
     pairs = directory.select("id_municipio", "sigla_uf").distinct()
     placed = per_city.join(pairs, "id_municipio", "left")
     named = placed.where(F.col("ano").isNotNull() & F.col("sigla_uf").isNotNull())
     return _figures(named, ["ano", "sigla_uf"], size="com_id")
 
 
-def _state_bounds(students: DataFrame):
-    bounds = students.where(F.col("presenca")).agg(F.min("ano").alias("a"), F.max("ano").alias("z"))
-    return bounds.select("a").scalar(), bounds.select("z").scalar()
-
-
 def student_state_ranking(
-    students: DataFrame, directory: DataFrame, size: int = 5, support: int = MIN_STUDENTS
+    totals: DataFrame, directory: DataFrame, size: int = 5, support: int = MIN_STUDENTS
 ) -> DataFrame:
     """States with the best and worst mean score of the last year, given enough students."""
-    _, last = _state_bounds(students)
-    current = student_by_state(students, directory).where(
-        (F.col("ano") == last) & (F.col("total_avaliados") >= support)
-    )
+    current = student_by_state(latest_year(totals), directory).where(F.col("total_avaliados") >= support)
     return best_and_worst(current.drop("ano"), "proficiencia_media", "sigla_uf", size)
 
 
 def student_state_changes(
-    students: DataFrame, directory: DataFrame, size: int = 5, support: int = MIN_STUDENTS
+    totals: DataFrame, directory: DataFrame, size: int = 5, support: int = MIN_STUDENTS
 ) -> DataFrame:
     """States whose mean score changed most between the first and the last year."""
-    first, last = _state_bounds(students)
-    figures = student_by_state(students, directory)
+    bounds = totals.agg(F.min("ano").alias("primeiro"), F.max("ano").alias("ultimo"))
+    first, last = bounds.select("primeiro").scalar(), bounds.select("ultimo").scalar()
+    ends = totals.where((F.col("ano") == first) | (F.col("ano") == last))
 
     def at(year, column):
         return F.max(F.when(F.col("ano") == year, F.col(column)))
 
-    ends = (
-        figures.where((F.col("ano") == first) | (F.col("ano") == last))
+    compared = (
+        student_by_state(ends, directory)
         .groupBy("sigla_uf")
         .agg(
             at(first, "proficiencia_media").alias("proficiencia_inicial"),
@@ -279,7 +293,7 @@ def student_state_changes(
             (F.col("proficiencia_atual") - F.col("proficiencia_inicial")).alias("delta"),
         )
     )
-    return largest_changes(ends, "delta", "sigla_uf", size)
+    return largest_changes(compared, "delta", "sigla_uf", size)
 
 
 def dashboard(gold, silver) -> dict[str, DataFrame]:
@@ -289,7 +303,8 @@ def dashboard(gold, silver) -> dict[str, DataFrame]:
     cities = gold("indicador_alfabetizacao_municipio")
     targets, students = silver("meta_brasil"), silver("alunos")
     directory = silver("diretorio_municipio")
-    overview = state_overview(evolution, comparison)
+    overview = stored(state_overview(evolution, comparison), "uf-ranking")
+    totals = stored(student_totals(students), "aluno-totais")
     views = {
         "brasil_serie": national_series(evolution),
         "brasil_serie_meta": national_target_path(targets),
@@ -302,11 +317,11 @@ def dashboard(gold, silver) -> dict[str, DataFrame]:
         "municipio_meta": attainment_summary(cities),
         "municipio_listas": city_rankings(cities),
         "municipio_variacao": city_change_rankings(cities),
-        "aluno_historico": student_history(students),
+        "aluno_historico": student_history(totals),
         "aluno_distribuicao": student_histogram(students),
-        "aluno_por_rede": student_by_network(students),
-        "aluno_uf_listas": student_state_ranking(students, directory),
-        "aluno_uf_variacao": student_state_changes(students, directory),
+        "aluno_por_rede": student_by_network(totals),
+        "aluno_uf_listas": student_state_ranking(totals, directory),
+        "aluno_uf_variacao": student_state_changes(totals, directory),
     }
     figures = [
         "indicador", "variacao_yoy", "meta", "indicador_atual", "meta_final", "gap_meta_final", "delta_periodo",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results or the scale behaviour depend on; everything else is left to the cluster.
 SESSION_CONF = {
@@ -40,3 +40,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="degraus-")
     return f"{base.rstrip('/')}/degraus/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared folder and read it back.
+
+    For a result that several steps read: it is computed once, its lineage ends in a table that
+    outlives any executor, and later scans read only the columns they need.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from degraus.functions import round_even
+from degraus.functions import as_boolean, code_label, round_even
 from degraus.plans import gold as g
 from degraus.plans import silver as s
 from degraus.spec import TARGET_PREFIX, TOPIC_INDICATORS, TOPIC_TARGETS
+from degraus.streaming.events import check_events, valid_events
 
 YEARS = list(range(1996, 2002))
 VINTAGES = [1995, 1997]
@@ -39,7 +40,7 @@ def city_results(spark: SparkSession, sf: str) -> DataFrame:
     return s.city_results(city_results_raw(spark, sf), order=ORDER).drop("ordem")
 
 
-def _states(spark: SparkSession, sf: str) -> DataFrame:
+def states(spark: SparkSession, sf: str) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").select(
         "n_nationkey", F.col("n_name").alias("sigla_uf"), F.col("r_name").alias("nome_regiao")
@@ -48,8 +49,8 @@ def _states(spark: SparkSession, sf: str) -> DataFrame:
 
 def city_directory(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with their nation and region."""
-    customer, states = table(spark, sf, "customer"), _states(spark, sf)
-    return customer.join(states, customer["c_nationkey"] == states["n_nationkey"], "left").select(
+    customer, nations = table(spark, sf, "customer"), states(spark, sf)
+    return customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"], "left").select(
         F.col("c_custkey").cast("string").alias("id_municipio"),
         F.col("c_name").alias("nome_municipio"),
         "sigla_uf",
@@ -60,8 +61,8 @@ def city_directory(spark: SparkSession, sf: str) -> DataFrame:
 
 def supplier_directory(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with their nation."""
-    supplier, states = table(spark, sf, "supplier"), _states(spark, sf)
-    return supplier.join(states, supplier["s_nationkey"] == states["n_nationkey"], "left").select(
+    supplier, nations = table(spark, sf, "supplier"), states(spark, sf)
+    return supplier.join(nations, supplier["s_nationkey"] == nations["n_nationkey"], "left").select(
         F.col("s_suppkey").cast("string").alias("id_municipio"), "sigla_uf"
     )
 
@@ -95,7 +96,7 @@ def city_targets(spark: SparkSession, sf: str) -> DataFrame:
 def state_targets(spark: SparkSession, sf: str) -> DataFrame:
     """Targets per nation; one region publishes none."""
     wide = _wide_targets(
-        _states(spark, sf), F.col("n_nationkey").cast("double") + 35.0, F.col("nome_regiao") == "MIDDLE EAST"
+        states(spark, sf), F.col("n_nationkey").cast("double") + 35.0, F.col("nome_regiao") == "MIDDLE EAST"
     )
     raw = wide.select("ano", "sigla_uf", F.lit("Pública").alias("rede"), *(f"{TARGET_PREFIX}{y}" for y in YEARS))
     return s.state_targets(raw, order=())
@@ -179,8 +180,6 @@ def _student_columns():
 
 def students(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as student records of the supplier, in Silver types."""
-    from degraus.functions import as_boolean, code_label
-
     return table(spark, sf, "lineitem").select(
         F.year("l_shipdate").alias("ano"),
         F.col("l_suppkey").cast("string").alias("id_municipio"),
@@ -277,7 +276,5 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def clean_events(spark: SparkSession, sf: str, topic: str) -> DataFrame:
     """Valid events of a topic, straight from the table, in arrival order."""
-    from degraus.streaming.events import check_events, valid_events
-
     events = table(spark, sf, "events").select(*event_columns(), F.col("event_id").alias("linha"))
     return valid_events(check_events(events), topic)

@@ -22,7 +22,7 @@ from degraus.plans import gold as g
 from degraus.plans import silver as s
 from degraus.plans import views as v
 from degraus.quality import checks as q
-from degraus.session import scratch_dir
+from degraus.session import scratch_dir, stored
 from degraus.sources.tables import read_table
 from degraus.spec import RISK_BANDS, TOPIC_INDICATORS, TOPIC_TARGETS, Rule
 from degraus.streaming import events as ev
@@ -313,6 +313,15 @@ def yoy_change(spark, sf):
 # --- Views ----------------------------------------------------------------------------
 
 
+def _gold_cities(spark, sf) -> DataFrame:
+    """The views read stored Gold tables, as in a run; so the base is computed once."""
+    return stored(a.city_indicator(spark, sf), "indicador-municipio")
+
+
+def _evolution(spark, sf) -> DataFrame:
+    return stored(a.evolution(spark, sf), "evolucao")
+
+
 @query
 def national_series(spark, sf):
     return v.national_series(a.evolution(spark, sf))
@@ -333,35 +342,39 @@ def series_by_uf(spark, sf):
     return v.state_series(a.evolution(spark, sf))
 
 
+def _overview(spark, sf) -> DataFrame:
+    comparison = stored(a.state_comparison(spark, sf), "comparacao")
+    return _rounded(v.state_overview(_evolution(spark, sf), comparison), "indicador_atual", "delta")
+
+
 @query
 def uf_overview(spark, sf):
-    return _rounded(v.state_overview(a.evolution(spark, sf), a.state_comparison(spark, sf)), "indicador_atual", "delta")
+    return _overview(spark, sf)
 
 
 @query
 def uf_ranking(spark, sf):
-    overview = v.state_overview(a.evolution(spark, sf), a.state_comparison(spark, sf))
-    return v.state_rankings(_rounded(overview, "indicador_atual", "delta"))
+    return v.state_rankings(stored(_overview(spark, sf), "uf-ranking"))
 
 
 @query
 def uf_moves(spark, sf):
-    return v.state_moves(a.evolution(spark, sf), 1998)
+    return v.state_moves(_evolution(spark, sf), 1998)
 
 
 @query
 def muni_rank(spark, sf):
-    return v.city_rankings(a.city_indicator(spark, sf))
+    return v.city_rankings(_gold_cities(spark, sf))
 
 
 @query
 def muni_delta(spark, sf):
-    return v.city_change_rankings(a.city_indicator(spark, sf))
+    return v.city_change_rankings(_gold_cities(spark, sf))
 
 
 @query
 def attainment_summary(spark, sf):
-    return v.attainment_summary(a.city_indicator(spark, sf))
+    return v.attainment_summary(_gold_cities(spark, sf))
 
 
 @query
@@ -371,29 +384,37 @@ def worst_gap(spark, sf):
 
 @query
 def micro_history(spark, sf):
-    return _rounded(v.student_history(a.students(spark, sf)), "pct_alfabetizado", "proficiencia_media")
+    totals = v.student_totals(a.students(spark, sf), ["ano"])
+    return _rounded(v.student_history(totals), "pct_alfabetizado", "proficiencia_media")
 
 
 @query
 def micro_by_group(spark, sf):
-    return _rounded(v.student_by_network(a.students(spark, sf)), "pct_alfabetizado", "proficiencia_media")
+    totals = stored(v.student_totals(a.students(spark, sf), ["ano", "rede_label"]), "aluno-totais")
+    return _rounded(v.student_by_network(totals), "pct_alfabetizado", "proficiencia_media")
+
+
+def _city_totals(spark, sf) -> DataFrame:
+    return v.student_totals(a.students(spark, sf), ["ano", "id_municipio"])
 
 
 @query
 def micro_by_uf(spark, sf):
-    figures = v.student_by_state(a.students(spark, sf), a.supplier_directory(spark, sf))
+    figures = v.student_by_state(_city_totals(spark, sf), a.supplier_directory(spark, sf))
     return _rounded(figures, "pct_alfabetizado", "proficiencia_media")
 
 
 @query
 def micro_uf_rank(spark, sf):
-    ranked = v.student_state_ranking(a.students(spark, sf), a.supplier_directory(spark, sf), support=30)
+    totals = stored(_city_totals(spark, sf), "aluno-totais")
+    ranked = v.student_state_ranking(totals, a.supplier_directory(spark, sf), support=30)
     return _rounded(ranked, "pct_alfabetizado", "proficiencia_media")
 
 
 @query
 def micro_uf_delta(spark, sf):
-    ranked = v.student_state_changes(a.students(spark, sf), a.supplier_directory(spark, sf), support=30)
+    totals = stored(_city_totals(spark, sf), "aluno-totais")
+    ranked = v.student_state_changes(totals, a.supplier_directory(spark, sf), support=30)
     return _rounded(ranked, "proficiencia_inicial", "proficiencia_atual", "delta")
 
 
@@ -490,8 +511,9 @@ def dq_domain(spark, sf):
 
 
 def _report(spark, sf):
-    states = a._states(spark, sf).where(F.col("nome_regiao") != "ASIA")
-    cities = q.check_table(a.integrated(spark, sf), "alfabetizacao_integrado", CITY_RULE, "silver", lambda _: states)
+    states = a.states(spark, sf).where(F.col("nome_regiao") != "ASIA")
+    integrated = stored(a.integrated(spark, sf), "integrado")
+    cities = q.check_table(integrated, "alfabetizacao_integrado", CITY_RULE, "silver", lambda _: states)
     students = q.check_table(a.students(spark, sf), "alunos", STUDENT_RULE, "bronze")
     national = q.check_table(
         a.national_results(spark, sf), "indicador_brasil", Rule(("ano",), ("ano", "taxa_alfabetizacao"), 0.0), "silver"
@@ -503,7 +525,7 @@ def _report(spark, sf):
 def dq_report(spark, sf):
     return _report(spark, sf).select(
         "camada", "tabela", "tipo", "coluna", "medida", "pct", "limite", "falhou",
-        F.array_join("exemplos", ",").alias("exemplos"),
+        F.coalesce(F.array_join("exemplos", ","), F.lit("")).alias("exemplos"),
     )
 
 
