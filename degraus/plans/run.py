@@ -183,7 +183,7 @@ def build_gold(
     return results
 
 
-def _copy_tables(lake: Lake, staged: Layer, target: Layer) -> None:
+def _copy_tables(staged: Layer, target: Layer) -> None:
     for name, partitions in GOLD_PARTITIONS.items():
         df = staged.read(name)
         if df is not None:
@@ -213,6 +213,16 @@ def _step(lake: Lake, name: str, results: dict[str, dict], result: RunResult) ->
     return False
 
 
+def publish(lake: Lake, candidate: Layer, result: RunResult) -> bool:
+    """Check a Gold candidate; publish it, or keep it apart and leave the published tables alone."""
+    if not _gate(lake, candidate, "gold", result):
+        _copy_tables(candidate, Layer(lake.spark, f"{lake.root}/gold_rejeitada", result.run))
+        return False
+    _copy_tables(candidate, lake.gold)
+    result.published = True
+    return True
+
+
 def run(lake: Lake, years: Sequence[int] | None = None) -> RunResult:
     """All layers with a quality gate behind each.
 
@@ -234,9 +244,5 @@ def run(lake: Lake, years: Sequence[int] | None = None) -> RunResult:
     candidate = Layer(lake.spark, f"{lake.root}/gold_candidata", run_id)
     if not _step(lake, "gold", build_gold(lake, candidate, years, stamp), result):
         return result
-    if not _gate(lake, candidate, "gold", result):
-        _copy_tables(lake, candidate, Layer(lake.spark, f"{lake.root}/gold_rejeitada", run_id))
-        return result
-    _copy_tables(lake, candidate, lake.gold)
-    result.published = True
+    publish(lake, candidate, result)
     return result

@@ -258,8 +258,9 @@ def _count_if(test: str) -> str:
 _STUDENT_NULLS = [_null_check(c, "students", "5.0") for c in ("ano", "id_municipio", "alfabetizado", "proficiencia")]
 _OUT = _count_if("proficiencia < 580 OR proficiencia > 900")
 _CITY_OUT = _count_if("taxa_alfabetizacao < 0 OR taxa_alfabetizacao > 100")
-_BAD_REGION = _count_if("upper(nome_regiao) NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')")
 
+FRAGMENTS["bad_regions"] = """
+        SELECT DISTINCT upper(nome_regiao) AS v FROM integrated WHERE upper(nome_regiao) NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"""
 FRAGMENTS["orphan_states"] = """
         SELECT DISTINCT sigla_uf FROM integrated i WHERE sigla_uf IS NOT NULL AND NOT EXISTS (
             SELECT 1 FROM states s WHERE s.sigla_uf = i.sigla_uf AND s.nome_regiao <> 'ASIA')"""
@@ -270,7 +271,8 @@ FRAGMENTS["report"] = " UNION ALL ".join(
             *(_null_check(c, "integrated", "40.0") for c in ("ano", "id_municipio", "sigla_uf", "taxa_alfabetizacao")),
             _row("DOMINIO_NUMERICO_INVALIDO", "taxa_alfabetizacao", _CITY_OUT, "integrated", f"{_CITY_OUT} > 0"),
             _row("VALOR_ILEGIVEL", "taxa_alfabetizacao", "CAST(0 AS BIGINT)", "integrated", "false"),
-            _row("DOMINIO_INVALIDO", "nome_regiao", _BAD_REGION, "integrated", f"{_BAD_REGION} > 0"),
+            _row("DOMINIO_INVALIDO", "nome_regiao", "count(*)", "bad_regions", "count(*) > 0", _NO_COUNT,
+                 "coalesce(string_agg(v, ',' ORDER BY v), '')"),
             _dup("ano,id_municipio", "integrated"),
             _row("INTEGRIDADE_REFERENCIAL", "sigla_uf", "count(*)", "orphan_states", "count(*) > 0", _NO_COUNT,
                  "(SELECT coalesce(string_agg(sigla_uf, ',' ORDER BY sigla_uf), '') FROM (SELECT sigla_uf FROM orphan_states "
@@ -451,7 +453,7 @@ ORACLE = {
                  "WHEN 'DUPLICATAS' THEN medida || ' registros duplicados' "
                  "WHEN 'DOMINIO_NUMERICO_INVALIDO' THEN medida || ' registros fora de [580.0, 900.0]' "
                  "WHEN 'INTEGRIDADE_REFERENCIAL' THEN medida || ' valores órfãos: ' || replace(exemplos, ',', ', ') "
-                 "WHEN 'DOMINIO_INVALIDO' THEN medida || ' fora do domínio' "
+                 "WHEN 'DOMINIO_INVALIDO' THEN medida || ' valores fora do domínio: ' || replace(exemplos, ',', ', ') "
                  "ELSE 'Coluna obrigatória não encontrada na tabela' END AS valor, "
                  "CASE tipo WHEN 'NULOS_ACIMA_LIMITE' THEN limite || '%' WHEN 'DOMINIO_NUMERICO_INVALIDO' THEN '[580.0, 900.0]' ELSE '0' END "
                  "AS limite FROM report WHERE falhou",
