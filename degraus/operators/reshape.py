@@ -47,12 +47,12 @@ def first_and_last_year(df: DataFrame, key: str, values: Sequence[str], year: st
     bounds = df.agg(F.min(year).alias("primeiro"), F.max(year).alias("ultimo"))
     first = bounds.select("primeiro").scalar()
     last = bounds.select("ultimo").scalar()
-    rows = df.where((F.col(year) == first) | (F.col(year) == last))
-    aggs = []
-    for v in values:
-        aggs.append(F.avg(F.when(F.col(year) == first, F.col(v))).alias(f"{v}_inicial"))
-        aggs.append(F.avg(F.when(F.col(year) == last, F.col(v))).alias(f"{v}_atual"))
-    return rows.groupBy(key).agg(*aggs)
+    rows = df.withColumns({"__inicial": F.col(year) == first, "__atual": F.col(year) == last})
+    return (
+        rows.where(F.col("__inicial") | F.col("__atual"))
+        .groupBy(key)
+        .agg(*(F.avg(F.when(F.col(f"__{end}"), F.col(v))).alias(f"{v}_{end}") for v in values for end in ("inicial", "atual")))
+    )
 
 
 def union_levels(levels: Sequence[tuple[str, DataFrame]], column: str = "nivel") -> DataFrame:

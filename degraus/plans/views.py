@@ -271,18 +271,20 @@ def student_state_changes(
     bounds = totals.agg(F.min("ano").alias("primeiro"), F.max("ano").alias("ultimo"))
     first, last = bounds.select("primeiro").scalar(), bounds.select("ultimo").scalar()
     ends = totals.where((F.col("ano") == first) | (F.col("ano") == last))
+    figures = student_by_state(ends, directory).withColumns({
+        "inicial": F.col("ano") == first, "atual": F.col("ano") == last,
+    })
 
-    def at(year, column):
-        return F.max(F.when(F.col("ano") == year, F.col(column)))
+    def at(end, column):
+        return F.max(F.when(F.col(end), F.col(column)))
 
     compared = (
-        student_by_state(ends, directory)
-        .groupBy("sigla_uf")
+        figures.groupBy("sigla_uf")
         .agg(
-            at(first, "proficiencia_media").alias("proficiencia_inicial"),
-            at(last, "proficiencia_media").alias("proficiencia_atual"),
-            at(first, "total_avaliados").alias("n_inicial"),
-            at(last, "total_avaliados").alias("n_atual"),
+            at("inicial", "proficiencia_media").alias("proficiencia_inicial"),
+            at("atual", "proficiencia_media").alias("proficiencia_atual"),
+            at("inicial", "total_avaliados").alias("n_inicial"),
+            at("atual", "total_avaliados").alias("n_atual"),
         )
         .where((F.col("n_inicial") >= support) & (F.col("n_atual") >= support))
         .where(F.col("proficiencia_inicial").isNotNull() & F.col("proficiencia_atual").isNotNull())
