@@ -1,8 +1,8 @@
 """Lookups, decodes and key differences.
 
-No side is hinted for broadcast here: Catalyst and AQE broadcast a side by its measured size and
-otherwise use a sort-merge join with skew splitting. The one hint of the library
-(``by_year``) covers a table that cannot exceed 65 536 rows.
+A side is broadcast only when its size is bounded: by its key type (``by_year``) or because it was
+measured (``broadcast_if_small``). Otherwise Catalyst chooses, and AQE splits a heavy key of the
+sort-merge join over several tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_BYTES = 8 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a table of texts for broadcast if all its cells together stay below ``most`` bytes."""
+    cell = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    size = df.agg(F.sum(cell).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if size <= most else df
+
+
 def by_year(facts: DataFrame, series: DataFrame, value: str, alias: str, year: str = "ano") -> DataFrame:
     """LEFT join of a one-value-per-year series.
 
@@ -36,13 +46,15 @@ def decode_with_dictionary(
     """Replace coded columns by the text of a (id_tabela, nome_coluna, chave, valor) dictionary.
 
     ``columns`` maps coded column -> output column (or lists columns decoded in place). The
-    codes are LEFT joined, so an unknown code gives null and no row is lost.
+    codes are LEFT joined, so an unknown code gives null and no row is lost. Codes have few
+    values, each in very many rows; the entries of a column are measured and broadcast.
     """
     names = columns if isinstance(columns, Mapping) else {c: c for c in columns}
     for coded, output in names.items():
         entries = dictionary.where((F.col("id_tabela") == table) & (F.col("nome_coluna") == coded)).select(
             F.col("chave").alias("__chave"), F.col("valor").alias("__valor")
         )
+        entries = broadcast_if_small(entries)
         joined = df.join(entries, df[coded].cast("string") == F.col("__chave"), "left")
         df = joined.withColumn(output, F.col("__valor")).drop("__chave", "__valor")
     return df
@@ -53,7 +65,8 @@ def with_directory_name(
 ) -> DataFrame:
     """LEFT join of the distinct (key, name) pairs of a directory."""
     names = directory.select(F.col(directory_key).alias("__chave"), F.col(name).alias(output)).distinct()
-    return df.join(names, df[key] == names["__chave"], "left").drop("__chave")
+    names = broadcast_if_small(names)
+    return df.join(names, df[key] == F.col("__chave"), "left").drop("__chave")
 
 
 def orphan_keys(df: DataFrame, key: str, reference: DataFrame, reference_key: str) -> DataFrame:

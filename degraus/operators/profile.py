@@ -86,46 +86,50 @@ def value_counts(
     return counts.withColumn("proporcao", share if digits is None else round_even(share, digits))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
+def exact_median(df: DataFrame, column: str, accuracy: int = 10_000, most: int = 1_000_000) -> DataFrame:
     """Exact median in one row, without one task holding all values.
 
-    A quantile sketch brackets the middle; everything outside the bracket is folded into two
-    marker groups, so the only values that meet in the last step are the distinct ones inside
-    the bracket, about 16 / accuracy of the ranks.
+    A quantile sketch brackets the middle ranks. The bracket is narrowed, each round to about
+    16 / accuracy of its ranks, until it holds at most ``most`` distinct values; only those are
+    then counted and ordered. The driver sees one row of figures per round.
     """
+    spark = df.sparkSession
     data = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
     # Eight times the rank error of the sketch, so the middle ranks are always inside.
     reach = 8.0 / accuracy
-    bracket = data.agg(
-        F.percentile_approx("x", [0.5 - reach, 0.5 + reach], F.lit(accuracy)).alias("limites")
-    ).scalar()
-    folded = data.withColumn("limites", bracket).select(
-        F.when(F.col("x") < F.col("limites")[0], F.lit(0))
-        .when(F.col("x") > F.col("limites")[1], F.lit(2))
-        .otherwise(F.lit(1))
-        .alias("lado"),
-        "x",
-    )
-    groups = folded.groupBy("lado", F.when(F.col("lado") == 1, F.col("x")).alias("x")).agg(F.count("*").alias("n"))
-    ordered = Window.orderBy("lado", "x")
-    ranked = groups.select(
-        "x",
-        "n",
-        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("ate"),
-        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-    )
-    low = F.floor((F.col("total") + 1) / 2)
-    high = F.floor((F.col("total") + 2) / 2)
-    start = F.col("ate") - F.col("n")
-    return ranked.agg(
-        (
-            (
-                F.max(F.when((low > start) & (low <= F.col("ate")), F.col("x")))
-                + F.max(F.when((high > start) & (high <= F.col("ate")), F.col("x")))
-            )
-            / 2.0
-        ).alias("mediana")
-    )
+
+    def bracket(part: DataFrame, share: float):
+        ends = [max(0.0, share - reach), min(1.0, share + reach)]
+        row = part.agg(F.count("*").alias("n"), F.percentile_approx("x", ends, F.lit(accuracy)).alias("q")).first()
+        return row["n"], row["q"]
+
+    total, ends = bracket(data, 0.5)
+    if not total:
+        return spark.createDataFrame([(None,)], "mediana DOUBLE")
+    low, high = (total + 1) // 2, (total + 2) // 2
+    while True:
+        inside = F.col("x").between(*ends)
+        figures = data.agg(
+            F.count_if(F.col("x") < ends[0]).alias("abaixo"),
+            F.count_if(inside).alias("dentro"),
+            F.approx_count_distinct(F.when(inside, F.col("x"))).alias("valores"),
+        ).first()
+        if figures["valores"] <= most:
+            break
+        middle = ((low + high) / 2 - figures["abaixo"]) / figures["dentro"]
+        narrower = bracket(data.where(inside), middle)[1]
+        if narrower == ends:
+            break
+        ends = narrower
+
+    counted = data.where(inside).groupBy("x").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)) + figures["abaixo"]
+    placed = counted.select("x", "n", upto.alias("ate"))
+
+    def value_at(rank: int) -> Column:
+        return F.max(F.when((F.col("ate") - F.col("n") < rank) & (F.col("ate") >= rank), F.col("x")))
+
+    return placed.agg(((value_at(low) + value_at(high)) / 2.0).alias("mediana"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

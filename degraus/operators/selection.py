@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from degraus.session import stored
 from degraus.spec import NETWORK_PRIORITY
 
 _RANK = "__posicao"
@@ -27,6 +28,28 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
+def keep_last_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str], most: int = 1_000_000) -> DataFrame:
+    """``keep_last`` for a large table in which repeated keys are expected to be rare.
+
+    A first pass shuffles only key hashes and stores those that occur more than once. Rows with
+    any other hash are unique and pass through without a shuffle or a sort; only the rest is
+    ranked by its exact keys, so a hash collision changes nothing. The stored hashes are broadcast
+    when there are at most ``most`` of them (16 MB); beyond that the whole table is ranked.
+    """
+    digest = F.xxhash64(*keys)
+    counted = df.select(digest.alias("__hash")).groupBy("__hash").agg(F.count("*").alias("__n"))
+    repeated = stored(counted.where(F.col("__n") > 1).select("__hash"), "chaves-repetidas")
+    found = repeated.limit(most + 1).count()
+    if found == 0:
+        return df
+    if found > most:
+        return keep_last(df, keys, order)
+    hashed = df.withColumn("__hash", digest)
+    single = hashed.join(F.broadcast(repeated), "__hash", "left_anti").drop("__hash")
+    several = hashed.join(F.broadcast(repeated), "__hash", "left_semi").drop("__hash")
+    return single.unionByName(keep_last(several, keys, order))
+
+
 def latest_vintage(
     df: DataFrame, keys: Sequence[str], vintage: str = "ano_referencia", order: Sequence[str] = ()
 ) -> DataFrame:

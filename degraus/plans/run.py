@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from degraus.plans import gold as g
 from degraus.plans import silver as s
 from degraus.quality.layers import Verdict, validate_layer
+from degraus.session import at_once
 from degraus.sources.alerts import now_text, raise_alert
 from degraus.sources.csv import read_csv
 from degraus.sources.external import first_available, read_warehouse
@@ -78,21 +80,22 @@ def read_source(lake: Lake, name: str, years: Sequence[int] | None = None) -> tu
     )
 
 
+def _ingest(lake: Lake, name: str, years: Sequence[int] | None) -> dict:
+    source = SOURCES[name]
+    try:
+        df, origin = read_source(lake, name, years)
+        lake.bronze.write(df, name, source.partitions)
+        return {"status": "sucesso", "fonte": origin}
+    except (FileNotFoundError, PySparkException) as error:
+        if not source.mandatory:
+            return {"status": "ausente_na_bronze"}
+        lake.alert("ERROR", f"bronze.{name}", f"Falha na ingestão: {error}", {"obrigatoria": True})
+        return {"status": "erro", "erro": str(error)}
+
+
 def ingest_bronze(lake: Lake, years: Sequence[int] | None = None) -> dict[str, dict]:
     """Store every source table. A missing optional table is skipped, a missing mandatory one is an error."""
-    results = {}
-    for name, source in SOURCES.items():
-        try:
-            df, origin = read_source(lake, name, years)
-            lake.bronze.write(df, name, source.partitions)
-            results[name] = {"status": "sucesso", "fonte": origin}
-        except (FileNotFoundError, PySparkException) as error:
-            if not source.mandatory:
-                results[name] = {"status": "ausente_na_bronze"}
-                continue
-            results[name] = {"status": "erro", "erro": str(error)}
-            lake.alert("ERROR", f"bronze.{name}", f"Falha na ingestão: {error}", {"obrigatoria": True})
-    return results
+    return at_once({name: partial(_ingest, lake, name, years) for name in SOURCES})
 
 
 def silver_plan(years: Sequence[int] | None = None) -> dict[str, tuple[str, Callable[[DataFrame], DataFrame]]]:
@@ -116,34 +119,35 @@ def silver_plan(years: Sequence[int] | None = None) -> dict[str, tuple[str, Call
 UNSTAMPED = {"diretorio_municipio", "diretorio_uf"}
 
 
+def _clean(lake: Lake, name: str, source: str, clean: Callable[[DataFrame], DataFrame], stamp: str) -> dict:
+    bronze = lake.bronze.read(source)
+    if bronze is None:
+        return {"status": "ausente_na_bronze"}
+    try:
+        df = clean(bronze)
+        lake.silver.write(df if name in UNSTAMPED else stamped(df, stamp), name, SILVER_PARTITIONS[name])
+        return {"status": "sucesso"}
+    except PySparkException as error:
+        lake.alert("ERROR", f"silver.{name}", f"Falha no processamento: {error}")
+        return {"status": "erro", "erro": str(error)}
+
+
 def build_silver(lake: Lake, years: Sequence[int] | None = None, stamp: str | None = None) -> dict[str, dict]:
     """Clean every Bronze table that exists, then integrate if the needed ones do."""
     stamp = stamp or now_text()
-    results, stored = {}, {}
-    for name, (source, clean) in silver_plan(years).items():
-        bronze = lake.bronze.read(source)
-        if bronze is None:
-            results[name] = {"status": "ausente_na_bronze"}
-            continue
-        try:
-            df = clean(bronze)
-            df = df if name in UNSTAMPED else stamped(df, stamp)
-            stored[name] = lake.silver.write(df, name, SILVER_PARTITIONS[name])
-            results[name] = {"status": "sucesso"}
-        except PySparkException as error:
-            results[name] = {"status": "erro", "erro": str(error)}
-            lake.alert("ERROR", f"silver.{name}", f"Falha no processamento: {error}")
-
-    needed = ["indicador_municipio", "diretorio_municipio", "meta_municipio"]
-    absent = [t for t in needed if t not in stored]
+    results = at_once({
+        name: partial(_clean, lake, name, source, clean, stamp) for name, (source, clean) in silver_plan(years).items()
+    })
+    stored = {name for name, result in results.items() if result["status"] == "sucesso"}
+    absent = [t for t in ("indicador_municipio", "diretorio_municipio", "meta_municipio") if t not in stored]
     if absent:
         results["alfabetizacao_integrado"] = {"status": "pulado", "motivo": f"ausentes: {absent}"}
         return results
     integrated = s.integrate(
-        stored["indicador_municipio"].drop("dt_processamento"),
-        stored["diretorio_municipio"],
-        stored["meta_municipio"],
-        stored.get("idhm_municipio"),
+        lake.silver.read("indicador_municipio").drop("dt_processamento"),
+        lake.silver.read("diretorio_municipio"),
+        lake.silver.read("meta_municipio"),
+        lake.silver.read("idhm_municipio") if "idhm_municipio" in stored else None,
     )
     lake.silver.write(stamped(integrated, stamp), "alfabetizacao_integrado", SILVER_PARTITIONS["alfabetizacao_integrado"])
     results["alfabetizacao_integrado"] = {"status": "sucesso"}
@@ -163,31 +167,32 @@ def gold_plan(silver: Callable[[str], DataFrame | None], years: Sequence[int] |
     }
 
 
+def _build(lake: Lake, target: Layer, name: str, build: Callable[[], DataFrame | None], stamp: str) -> dict:
+    try:
+        df = build()
+        if df is None:
+            return {"status": "pulado", "motivo": "sem eventos"}
+        target.write(stamped(df, stamp), name, GOLD_PARTITIONS[name], compact=True)
+        return {"status": "sucesso"}
+    except (PySparkException, AttributeError) as error:  # AttributeError: a needed table is absent
+        lake.alert("ERROR", f"gold.{name}", str(error))
+        return {"status": "erro", "erro": str(error)}
+
+
 def build_gold(
     lake: Lake, target: Layer, years: Sequence[int] | None = None, stamp: str | None = None
 ) -> dict[str, dict]:
     """Build the Gold tables into ``target``."""
     stamp = stamp or now_text()
-    results = {}
-    for name, build in gold_plan(lake.silver.read, years).items():
-        try:
-            df = build()
-            if df is None:
-                results[name] = {"status": "pulado", "motivo": "sem eventos"}
-                continue
-            target.write(stamped(df, stamp), name, GOLD_PARTITIONS[name])
-            results[name] = {"status": "sucesso"}
-        except (PySparkException, AttributeError) as error:  # AttributeError: a needed table is absent
-            results[name] = {"status": "erro", "erro": str(error)}
-            lake.alert("ERROR", f"gold.{name}", str(error))
-    return results
+    plan = gold_plan(lake.silver.read, years)
+    return at_once({name: partial(_build, lake, target, name, build, stamp) for name, build in plan.items()})
 
 
 def _copy_tables(staged: Layer, target: Layer) -> None:
     for name, partitions in GOLD_PARTITIONS.items():
         df = staged.read(name)
         if df is not None:
-            target.write(df, name, partitions)
+            target.write(df, name, partitions, compact=True)
 
 
 def _gate(lake: Lake, layer: Layer, name: str, result: RunResult) -> bool:

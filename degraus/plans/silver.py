@@ -23,7 +23,7 @@ from degraus.functions import (
     try_cast_columns,
 )
 from degraus.operators.reshape import targets_in_force
-from degraus.operators.selection import first_per_key, keep_last, pick_network
+from degraus.operators.selection import first_per_key, keep_last, keep_last_of_few, pick_network
 from degraus.sources.csv import ORIGIN
 from degraus.spec import CITY_TARGET_SCOPE, HDI_YEAR
 
@@ -134,13 +134,14 @@ def outside_unit_interval(df: DataFrame, columns: Sequence[str] = tuple(HDI_COLU
 
 
 def students(df: DataFrame, years: Sequence[int] | None = None, order: Order = BY_ORIGIN) -> DataFrame:
-    """silver.alunos: microdata, missing scores stay missing."""
+    """silver.alunos: microdata, missing scores stay missing. The Bronze gate has already found the
+    key unique, so what is left to remove are rows whose keys met by trimming."""
     df = _only_years(normalise_columns(df), years)
     df = try_cast_columns(df, {"ano": "int", "id_municipio": "string", "rede": "tinyint"})
     df = df.withColumn("id_municipio", F.trim("id_municipio")).withColumn("rede_label", code_label(F.col("rede")))
     flags = ("presenca", "preenchimento_caderno", "alfabetizado")
     df = df.withColumns({c: as_boolean(F.col(c)) for c in flags if c in df.columns})
-    return _latest(df, ["ano", "id_municipio", "id_escola", "id_aluno"], order)
+    return keep_last_of_few(df, ["ano", "id_municipio", "id_escola", "id_aluno"], order).drop(ORIGIN)
 
 
 STREAM_ORDER: Order = ("fluxo", "lote", "linha")

@@ -128,8 +128,8 @@ def check_table(
     return report.select(F.lit(layer).alias("camada"), F.lit(name).alias("tabela"), "*").select(*REPORT_COLUMNS)
 
 
-def alerts(report: DataFrame) -> DataFrame:
-    """Failed checks with readable value and limit texts."""
+def described(report: DataFrame) -> DataFrame:
+    """Add readable texts of the measured value (``valor``) and of the limit (``limite``)."""
     measured = F.col("medida").cast("string")
     span = F.concat(F.lit("["), F.col("minimo").cast("string"), F.lit(", "), F.col("maximo").cast("string"), F.lit("]"))
     value = (
@@ -148,7 +148,12 @@ def alerts(report: DataFrame) -> DataFrame:
         .when(F.col("tipo") == "DOMINIO_NUMERICO_INVALIDO", span)
         .otherwise(F.lit("0"))
     )
-    return report.where("falhou").select("camada", "tabela", "tipo", "coluna", value.alias("valor"), limit.alias("limite"))
+    return report.withColumn("valor", value).withColumn("limite", limit)
+
+
+def alerts(report: DataFrame) -> DataFrame:
+    """Failed checks with their texts."""
+    return described(report.where("falhou")).select("camada", "tabela", "tipo", "coluna", "valor", "limite")
 
 
 def summarise(report: DataFrame) -> DataFrame:

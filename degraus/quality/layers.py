@@ -4,23 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 
-from degraus.quality.checks import alerts, check_table, roll_up, summarise
+from degraus.quality.checks import check_table, described, roll_up
+from degraus.session import at_once
 from degraus.sources.alerts import raise_alert
 from degraus.sources.tables import Layer
 from degraus.spec import RULES, Rule
 
 
-def layer_report(layer: Layer, rules: Mapping[str, Rule] | None = None, references: Layer | None = None) -> DataFrame | None:
-    """One report over all stored tables of a layer; None when nothing is stored."""
-    reports = []
-    for table, rule in (rules or RULES[layer.name]).items():
-        df = layer.read(table)
-        if df is not None:
-            reports.append(check_table(df, table, rule, layer.name, (references or layer).read))
+def table_report(layer: Layer, table: str, rule: Rule) -> DataFrame | None:
+    """The report of a stored table; None when it is not there."""
+    df = layer.read(table)
+    return None if df is None else check_table(df, table, rule, layer.name, layer.read)
+
+
+def layer_report(layer: Layer, rules: Mapping[str, Rule] | None = None) -> DataFrame | None:
+    """The reports of a layer in one table; None when nothing is stored."""
+    found = [table_report(layer, table, rule) for table, rule in (rules or RULES[layer.name]).items()]
+    reports = [r for r in found if r is not None]
     return reduce(DataFrame.unionByName, reports) if reports else None
 
 
@@ -48,26 +52,26 @@ def validate_layer(
 ) -> Verdict:
     """Check a layer and raise one alert per failing table.
 
-    The report has one row per rule, so it is collected as a whole. Unlike a table that is
+    A report has one row per rule, so it is collected as a whole. Unlike a table that is
     optional, a missing mandatory table fails the layer.
     """
     name = name or layer.name
     rules = rules or RULES[name]
-    report = layer_report(layer, rules)
     verdict = Verdict()
-    failed = []
-    if report is not None:
-        rows = report.persist()
-        try:
-            for row in summarise(rows).collect():
-                verdict.tables[row["tabela"]] = {
-                    "status": row["status"], "registros": row["registros"], "alertas": [],
-                }
-            failed = alerts(rows).collect()
-        finally:
-            rows.unpersist()
-    for row in failed:
-        verdict.tables[row["tabela"]]["alertas"].append(row.asDict())
+
+    def lines_of(table: str):
+        report = table_report(layer, table, rules[table])
+        return None if report is None else described(report).collect()
+
+    for table, lines in at_once({table: partial(lines_of, table) for table in rules}).items():
+        if lines is None:
+            continue
+        failed = [line.asDict() for line in lines if line["falhou"]]
+        verdict.tables[table] = {
+            "status": "ALERTA" if failed else "OK",
+            "registros": max((line["registros"] or 0 for line in lines), default=0),
+            "alertas": failed,
+        }
     for table, rule in rules.items():
         if table not in verdict.tables:
             verdict.tables[table] = {"status": "nao_encontrada", "registros": 0, "alertas": []}

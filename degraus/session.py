@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(steps: Mapping[str, Callable[[], object]], workers: int = 12) -> dict[str, object]:
+    """Run independent steps from several driver threads, so that small jobs fill idle executors."""
+    with ThreadPoolExecutor(workers) as pool:
+        futures = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in futures.items()}

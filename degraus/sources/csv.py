@@ -37,14 +37,16 @@ def read_csv(
     types: Mapping[str, str] | None = None,
     years: Sequence[int] | None = None,
     year: str = "ano",
+    utf8: bool | None = None,
 ) -> DataFrame:
     """Read a CSV with header. Columns stay text unless ``types`` names a type for them.
 
     The header decides the column order, so files may carry more columns or another order than
     the table definition. Bytes that are not UTF-8 are read as Latin-1 and the range where
-    Windows-1252 differs is translated, which needs no change of session settings.
+    Windows-1252 differs is translated, which needs no change of session settings. The check reads
+    the whole file; ``utf8`` skips it when the encoding is known.
     """
-    utf8 = is_utf8(spark, path)
+    utf8 = is_utf8(spark, path) if utf8 is None else utf8
     raw = (
         spark.read.option("header", True)
         .option("encoding", "UTF-8" if utf8 else "ISO-8859-1")
@@ -61,7 +63,7 @@ def read_csv(
             label = name.translate(str.maketrans(source, target))
         texts.append(missing_to_null(value).alias(label))
     origin = F.struct(
-        F.col("_metadata.file_path").alias("arquivo"),
+        F.col("_metadata.file_name").alias("arquivo"),
         F.col("_metadata.file_block_start").alias("bloco"),
         F.monotonically_increasing_id().alias("linha"),
     ).alias(ORIGIN)

@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 
 
 def write_table(
-    df: DataFrame, path: str, partitions: Sequence[str] = (), full_refresh: bool = False
+    df: DataFrame, path: str, partitions: Sequence[str] = (), full_refresh: bool = False, compact: bool = False
 ) -> None:
     """Store a table.
 
     With partitions, only those present in the data are replaced, unless ``full_refresh`` is
-    set. Rows are rebalanced by partition first: AQE joins small pieces and splits a large
-    partition over several tasks, so one dominant year does not end in one file.
+    set. Every task writes its own file per partition value, so no value is gathered in one task;
+    ``compact`` adds a shuffle that joins small pieces and splits large ones, for data that comes
+    in many small pieces.
     """
     keep = [c for c in partitions if c in df.columns]
+    if compact:
+        df = df.hint("rebalance", *keep)
     if keep and len(keep) == len(partitions):
-        writer = df.hint("rebalance", *keep).write.mode("overwrite").partitionBy(*keep)
         mode = "static" if full_refresh else "dynamic"
-        writer.option("partitionOverwriteMode", mode).parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keep).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -62,6 +64,6 @@ class Layer:
     def read(self, table: str) -> DataFrame | None:
         return read_if_present(self.spark, self.path(table))
 
-    def write(self, df: DataFrame, table: str, partitions: Sequence[str] = (), full_refresh: bool = False) -> DataFrame:
-        write_table(df, self.path(table), partitions, full_refresh)
+    def write(self, df: DataFrame, table: str, partitions: Sequence[str] = (), **options: bool) -> DataFrame:
+        write_table(df, self.path(table), partitions, **options)
         return read_table(self.spark, self.path(table))

@@ -262,7 +262,8 @@ def dict_decode(spark, sf):
         "o_orderkey", "o_custkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("rede"),
         F.col("o_orderstatus").alias("situacao"),
     )
-    decoded = lookups.decode_with_dictionary(coded, network.unionByName(status), "orders", {"rede": "rede_texto", "situacao": "situacao"})
+    entries = stored(network.unionByName(status), "dicionario")
+    decoded = lookups.decode_with_dictionary(coded, entries, "orders", {"rede": "rede_texto", "situacao": "situacao"})
     return lookups.with_directory_name(decoded, a.table(spark, sf, "customer"), "o_custkey", "c_custkey", "c_name", "nome")
 
 

@@ -33,6 +33,21 @@ def test_keep_last_equals_pandas_with_null_keys_and_a_dominant_key(spark):
     assert removed == len(pdf) - len(want)
 
 
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_keep_last_of_few_gives_the_same_rows(spark, most):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"a": rng.integers(0, 3000, 4000), "b": rng.choice(["x", "y"], 4000), "ordem": np.arange(4000)})
+    df = spark.createDataFrame(pdf).withColumn("b", F.when(F.col("ordem") % 50 != 0, F.col("b"))).repartition(8)
+    want = rows(selection.keep_last(df, ["a", "b"], ["ordem"]))
+    assert rows(selection.keep_last_of_few(df, ["a", "b"], ["ordem"], most)) == want
+
+
+def test_keep_last_of_few_does_not_shuffle_unique_rows(spark):
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    plan = selection.keep_last_of_few(df, ["id"], ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
 def test_keep_last_reduces_before_the_shuffle(frame):
     df = selection.keep_last(frame([(1, 1)], "k INT, o INT"), ["k"], ["o"])
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -115,6 +130,13 @@ def test_directory_names_do_not_multiply_rows(frame):
     assert rows(got, "sigla_uf", "sigla_uf_nome") == [("RS", "Rio Grande do Sul"), ("XX", None)]
 
 
+def test_broadcast_depends_on_the_measured_size(frame):
+    df = frame([("a" * 100, "b")] * 10, "chave STRING, valor STRING")
+    hinted = lookups.broadcast_if_small(df, 10 * 140)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in hinted
+    assert "ResolvedHint" not in lookups.broadcast_if_small(df, 1000)._jdf.queryExecution().analyzed().toString()
+
+
 def test_orphans_and_domains(frame):
     facts = frame([("SP",), ("zz",), ("zz",), (None,)], "sigla_uf STRING")
     known = frame([("SP",), ("RJ",)], "sigla STRING")
@@ -144,12 +166,25 @@ def test_median_equals_numpy(spark, values):
     assert profile.exact_median(df, "x").first().mediana == pytest.approx(float(np.median(values)), rel=1e-12, abs=1e-12)
 
 
-@pytest.mark.parametrize("n, accuracy", [(9999, 10_000), (20_001, 1000), (50_000, 200), (5000, 10_000), (5001, 10_000)])
-def test_median_of_many_skewed_values(spark, n, accuracy):
+@pytest.mark.parametrize(
+    "n, accuracy, most",
+    [(9999, 10_000, 10**6), (20_001, 1000, 100), (50_000, 200, 1000), (5000, 10_000, 3), (50_000, 100, 2), (30_000, 1000, 10)],
+)
+def test_median_of_many_skewed_values(spark, n, accuracy, most):
     rng = np.random.default_rng(n)
     values = np.where(rng.random(n) < 0.35, 7.0, rng.lognormal(2, 3, n))
     df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(8)
-    assert profile.exact_median(df, "x", accuracy).first().mediana == float(np.median(values))
+    assert profile.exact_median(df, "x", accuracy, most).first().mediana == float(np.median(values))
+
+
+def test_median_next_to_a_dominant_value(spark):
+    values = np.concatenate([np.full(20_000, 5.0), np.arange(6, 20_006, dtype=float)])
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(8)
+    assert profile.exact_median(df, "x", 500, 10).first().mediana == 5.5
+
+
+def test_median_of_nothing(frame):
+    assert profile.exact_median(frame([(None,)], "x DOUBLE"), "x").first().mediana is None
 
 
 @QUIET
