@@ -33,13 +33,17 @@ def missing_to_null(col: Column) -> Column:
 
 
 def try_cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast per cell; a cell that does not fit becomes null, an absent column is skipped."""
+    """Cast per cell; a cell that does not fit becomes null, an absent column is skipped.
+
+    ``prefix_*`` names all columns that begin with the prefix.
+    """
     casts = {}
-    for name, kind in types.items():
-        if name in df.columns:
-            value = F.col(f"`{name}`").try_cast(kind)
-            # NaN must never stay: Spark orders it above every number.
-            casts[name] = F.nanvl(value, F.lit(None)) if kind == "double" else value
+    for pattern, kind in types.items():
+        for name in df.columns:
+            if name == pattern or (pattern.endswith("*") and name.startswith(pattern[:-1])):
+                value = F.col(f"`{name}`").try_cast(kind)
+                # NaN must never stay: Spark orders it above every number.
+                casts[name] = F.nanvl(value, F.lit(None)) if kind == "double" else value
     return df.withColumns(casts)
 
 

@@ -93,7 +93,8 @@ REJECTED_TABLE = "streaming_rejeitados"
 
 @dataclass(frozen=True)
 class SourceTable:
-    """Where a Bronze table comes from; ``types`` lists columns that are not text."""
+    """Where a Bronze table comes from; ``types`` lists columns that are not text. A name that ends
+    in ``*`` stands for all columns with that beginning, such as a target column per year."""
 
     file: str
     warehouse: str | None
@@ -102,10 +103,13 @@ class SourceTable:
     mandatory: bool = True
 
 
-_LEVELS = {f"proporcao_aluno_nivel_{i}": "double" for i in range(9)}
-_TARGETS = {f"{TARGET_PREFIX}{y}": "double" for y in range(TARGET_PATH_FROM, TARGET_PATH_END + 1)}
-_RESULT = {"ano": "int", "rede": "int", "taxa_alfabetizacao": "double", "media_portugues": "double", **_LEVELS}
-_TARGET = {"ano": "int", "taxa_alfabetizacao": "double", "percentual_participacao": "double", **_TARGETS}
+_RESULT = {
+    "ano": "int", "rede": "int", "taxa_alfabetizacao": "double", "media_portugues": "double",
+    "proporcao_aluno_nivel_*": "double",
+}
+_TARGET = {
+    "ano": "int", "taxa_alfabetizacao": "double", "percentual_participacao": "double", f"{TARGET_PREFIX}*": "double",
+}
 _DATASET = "br_inep_avaliacao_alfabetizacao"
 _DIRECTORY = "br_bd_diretorios_brasil"
 

@@ -335,7 +335,7 @@ ORACLE = {
     "decode_label": f"SELECT o_orderkey, rede, {_NETWORK} AS rede_label FROM (SELECT o_orderkey, "
                     "CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rede FROM orders) z",
     "unmapped_codes": "SELECT DISTINCT p_size AS rede FROM part WHERE p_size NOT BETWEEN 0 AND 5",
-    "decimal_comma_text": "SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS valor FROM supplier",
+    "decimal_comma": "SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS valor FROM supplier",
     "ts_parse": "SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS instante FROM events",
     "range_flag": "SELECT o_orderkey, coalesce(o_orderstatus <> 'P' AND (o_totalprice / 4000.0e0 < 0 OR "
                   "o_totalprice / 4000.0e0 > 100), false) AS flag_taxa_invalida FROM orders",

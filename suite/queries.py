@@ -34,7 +34,8 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    """Register a query under its function name, without the underscore that avoids a name clash."""
+    REGISTRY[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -97,7 +98,7 @@ def unmapped_codes(spark, sf):
 
 
 @query
-def decimal_comma_text(spark, sf):
+def decimal_comma_(spark, sf):
     texts = a.table(spark, sf, "supplier").select(
         "s_suppkey",
         F.when(F.col("s_acctbal") < 0, F.lit("n/d")).otherwise(
