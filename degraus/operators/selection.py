@@ -57,18 +57,40 @@ def latest_vintage(
     return keep_last(df, keys, [vintage, *order])
 
 
+def network_rank(priority: Sequence[str] = tuple(NETWORK_PRIORITY)) -> Column:
+    """Position of ``rede_label`` in the priority list; unknown labels come last."""
+    place = F.array_position(F.array(*map(F.lit, priority)), F.col("rede_label")).cast("int")
+    return F.when(place > 0, place).otherwise(F.lit(len(priority) + 1))
+
+
 def pick_network(
     df: DataFrame,
     keys: Sequence[str] = ("ano", "id_municipio"),
     priority: Sequence[str] = tuple(NETWORK_PRIORITY),
     ties: Sequence[str] = ("serie", "rede"),
 ) -> DataFrame:
-    """One headline row per key: the best network available, unknown labels last."""
-    rank = F.coalesce(
-        F.array_position(F.array(*map(F.lit, priority)), F.col("rede_label")).cast("int"), F.lit(0)
+    """One headline row per key: the best network available."""
+    order = [network_rank(priority), *(F.col(c) for c in ties if c in df.columns)]
+    return first_per_key(df, keys, [c.asc() for c in order])
+
+
+def pick_network_with_scope(
+    df: DataFrame, scope: str, value: str, alias: str, keys: Sequence[str] = ("id_municipio", "ano"),
+    ties: Sequence[str] = ("serie", "rede"),
+) -> DataFrame:
+    """The headline row, and next to it the value of one network and whether that network exists.
+
+    Both come from one aggregation, so the results are read and shuffled once. Rows are reduced to
+    one per key in the map tasks.
+    """
+    present = [F.col(c) for c in ties if c in df.columns]
+    in_scope = F.coalesce(F.col("rede_label") == scope, F.lit(False))
+    picked = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*(c for c in df.columns if c not in keys)), F.struct(network_rank(), *present)).alias("__melhor"),
+        F.min_by(value, F.when(in_scope, F.struct(F.lit(0), *present))).alias(alias),
+        F.bool_or(in_scope).alias("__no_escopo"),
     )
-    rank = F.when(rank == 0, F.lit(len(priority) + 1)).otherwise(rank)
-    return first_per_key(df, keys, [rank.asc(), *(F.col(c).asc() for c in ties if c in df.columns)])
+    return picked.select(*keys, "__melhor.*", alias, "__no_escopo")
 
 
 def count_removed(before: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,7 +23,7 @@ from degraus.functions import (
     try_cast_columns,
 )
 from degraus.operators.reshape import targets_in_force
-from degraus.operators.selection import first_per_key, keep_last, keep_last_of_few, pick_network
+from degraus.operators.selection import keep_last, keep_last_of_few, pick_network_with_scope
 from degraus.sources.csv import ORIGIN
 from degraus.spec import CITY_TARGET_SCOPE, HDI_YEAR
 
@@ -133,15 +133,21 @@ def outside_unit_interval(df: DataFrame, columns: Sequence[str] = tuple(HDI_COLU
     return df.agg(F.count_if(any_flag).alias("fora_do_dominio"))
 
 
-def students(df: DataFrame, years: Sequence[int] | None = None, order: Order = BY_ORIGIN) -> DataFrame:
-    """silver.alunos: microdata, missing scores stay missing. The Bronze gate has already found the
-    key unique, so what is left to remove are rows whose keys met by trimming."""
+def students(
+    df: DataFrame, years: Sequence[int] | None = None, order: Order = BY_ORIGIN, rare_duplicates: bool = True
+) -> DataFrame:
+    """silver.alunos: microdata, missing scores stay missing.
+
+    Behind the Bronze gate, which has found the key unique, the only rows left to remove are those
+    whose keys meet by trimming. Pass ``rare_duplicates=False`` for data with many repeated keys.
+    """
     df = _only_years(normalise_columns(df), years)
     df = try_cast_columns(df, {"ano": "int", "id_municipio": "string", "rede": "tinyint"})
     df = df.withColumn("id_municipio", F.trim("id_municipio")).withColumn("rede_label", code_label(F.col("rede")))
     flags = ("presenca", "preenchimento_caderno", "alfabetizado")
     df = df.withColumns({c: as_boolean(F.col(c)) for c in flags if c in df.columns})
-    return keep_last_of_few(df, ["ano", "id_municipio", "id_escola", "id_aluno"], order).drop(ORIGIN)
+    keep = keep_last_of_few if rare_duplicates else keep_last
+    return keep(df, ["ano", "id_municipio", "id_escola", "id_aluno"], order).drop(ORIGIN)
 
 
 STREAM_ORDER: Order = ("fluxo", "lote", "linha")
@@ -168,27 +174,6 @@ def target_events(df: DataFrame, order: Order = STREAM_ORDER) -> DataFrame:
     return _event_table(df, "sigla_uf", order)
 
 
-def city_comparison(results: DataFrame, targets: DataFrame) -> DataFrame:
-    """Result against target per (year, city), both in the scope the target is set for.
-
-    One series per (year, city) is picked first, so the result has one row per key.
-    """
-    scoped = first_per_key(
-        results.where(F.col("rede_label") == CITY_TARGET_SCOPE),
-        ["ano", "id_municipio"],
-        [F.col(c).asc() for c in ("serie", "rede") if c in results.columns] or [F.col("rede_label")],
-    ).select("ano", "id_municipio", F.col("taxa_alfabetizacao").alias("taxa_alfabetizacao_municipal"))
-    goals = targets.where(F.col("rede") == CITY_TARGET_SCOPE).select(
-        "id_municipio", F.col("ano_meta").alias("ano"), F.col("valor_meta").alias("meta_alfabetizacao_municipal")
-    )
-    gap = F.col("taxa_alfabetizacao_municipal") - F.col("meta_alfabetizacao_municipal")
-    return (
-        scoped.join(goals, ["ano", "id_municipio"])
-        .withColumn("gap_meta_municipal", gap)
-        .withColumn("atingiu_meta_municipal", at_least_zero(F.col("gap_meta_municipal")))
-    )
-
-
 def with_hdi(df: DataFrame, hdi: DataFrame | None, vintage: int = HDI_YEAR) -> DataFrame:
     """LEFT join of one vintage of the enrichment, if there is any."""
     if hdi is None:
@@ -202,13 +187,30 @@ def integrate(
 ) -> DataFrame:
     """silver.alfabetizacao_integrado: one row per (year, city).
 
-    The headline pick leaves at most one row per (year, city), so the joins behind it have no
-    heavy keys: a city has as many rows as there are years.
+    The comparison uses the result in the scope the target is set for, not the headline; of
+    several series the first counts. It is null where either side is missing; a target whose
+    result is null counts as not reached. Behind the pick a city has one row per year, so none of
+    the joins has heavy keys.
     """
-    headline = pick_network(results)
-    comparison = city_comparison(results, targets)
-    joined = headline.join(comparison, ["ano", "id_municipio"], "left").join(directory, "id_municipio", "left")
-    return with_hdi(joined, hdi)
+    picked = pick_network_with_scope(
+        results, CITY_TARGET_SCOPE, "taxa_alfabetizacao", "taxa_alfabetizacao_municipal"
+    )
+    goals = targets.where(F.col("rede") == CITY_TARGET_SCOPE).select(
+        "id_municipio",
+        F.col("ano_meta").alias("ano"),
+        F.col("valor_meta").alias("meta_alfabetizacao_municipal"),
+        F.lit(True).alias("__tem_meta"),
+    )
+    compared = F.col("__no_escopo") & F.col("__tem_meta")
+    joined = picked.join(goals, ["id_municipio", "ano"], "left").withColumns({
+        c: F.when(compared, F.col(c)) for c in ("taxa_alfabetizacao_municipal", "meta_alfabetizacao_municipal")
+    })
+    gap = F.col("taxa_alfabetizacao_municipal") - F.col("meta_alfabetizacao_municipal")
+    joined = joined.withColumn("gap_meta_municipal", gap).withColumn(
+        "atingiu_meta_municipal", F.when(compared, at_least_zero(F.col("gap_meta_municipal")))
+    )
+    named = joined.drop("__no_escopo", "__tem_meta").join(directory, "id_municipio", "left")
+    return with_hdi(named, hdi)
 
 
 def coverage(integrated: DataFrame) -> DataFrame:

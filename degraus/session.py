@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A gated run compiles a few hundred small plans; the default of 100 entries recompiles them.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

@@ -199,7 +199,7 @@ def headline_pick(spark, sf):
 
 @query
 def bool_cast(spark, sf):
-    silver = s.students(a.students_raw(spark, sf), order=a.STUDENT_ORDER)
+    silver = s.students(a.students_raw(spark, sf), order=a.STUDENT_ORDER, rare_duplicates=False)
     return silver.select(
         "ano", "id_municipio", "id_escola", "id_aluno", "rede_label", "presenca", "alfabetizado", "proficiencia"
     )

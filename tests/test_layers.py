@@ -172,10 +172,19 @@ def test_a_null_result_with_a_target_counts_as_not_reached(frame):
     results = frame([(2024, "1", "2", 3, "Municipal", None)],
                     "ano INT, id_municipio STRING, serie STRING, rede INT, rede_label STRING, taxa_alfabetizacao DOUBLE")
     targets = frame([("1", "Municipal", 2024, 60.0)], "id_municipio STRING, rede STRING, ano_meta INT, valor_meta DOUBLE")
-    got = silver.city_comparison(results, targets).first()
+    got = silver.integrate(results, frame([("1", "SP")], "id_municipio STRING, sigla_uf STRING"), targets).first()
     assert got.gap_meta_municipal is None and got.atingiu_meta_municipal is False
 
 
+def test_no_comparison_without_a_result_in_scope(frame):
+    results = frame([(2024, "1", "2", 5, "Pública", 70.0), (2024, "1", "2", 9, None, 80.0)],
+                    "ano INT, id_municipio STRING, serie STRING, rede INT, rede_label STRING, taxa_alfabetizacao DOUBLE")
+    targets = frame([("1", "Municipal", 2024, 60.0)], "id_municipio STRING, rede STRING, ano_meta INT, valor_meta DOUBLE")
+    got = silver.integrate(results, frame([("1", "SP")], "id_municipio STRING, sigla_uf STRING"), targets).first()
+    assert got.rede_label == "Pública" and got.taxa_alfabetizacao == 70.0
+    assert got.meta_alfabetizacao_municipal is None and got.atingiu_meta_municipal is None
+
+
 def test_missing_mandatory_table_fails_a_layer(spark, tmp_path):
     verdict = validate_layer(Layer(spark, str(tmp_path), "gold"))
     assert not verdict.passed and "evolucao_temporal" in verdict.missing_mandatory
