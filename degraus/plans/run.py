@@ -189,10 +189,12 @@ def build_gold(
 
 
 def _copy_tables(staged: Layer, target: Layer) -> None:
-    for name, partitions in GOLD_PARTITIONS.items():
+    def copy(name: str) -> None:
         df = staged.read(name)
         if df is not None:
-            target.write(df, name, partitions, compact=True)
+            target.write(df, name, GOLD_PARTITIONS[name], compact=True)
+
+    at_once({name: partial(copy, name) for name in GOLD_PARTITIONS})
 
 
 def _gate(lake: Lake, layer: Layer, name: str, result: RunResult) -> bool:

@@ -64,6 +64,5 @@ class Layer:
     def read(self, table: str) -> DataFrame | None:
         return read_if_present(self.spark, self.path(table))
 
-    def write(self, df: DataFrame, table: str, partitions: Sequence[str] = (), **options: bool) -> DataFrame:
+    def write(self, df: DataFrame, table: str, partitions: Sequence[str] = (), **options: bool) -> None:
         write_table(df, self.path(table), partitions, **options)
-        return read_table(self.spark, self.path(table))

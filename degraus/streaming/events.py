@@ -4,8 +4,8 @@ A stream is a DataFrame with ``topico`` and ``valor`` (JSON text). An event is v
 its topic requires are present, even with a null value. Valid events go to one table per topic,
 the others to a table that keeps the text and the reason.
 
-Batches are written under (fluxo, lote), so a batch replayed after a failure replaces its own
-rows instead of adding them again.
+Batches are written under (data, fluxo, lote), so a batch replayed after a failure replaces its
+own rows instead of adding them again. The name of a stream must therefore be its own.
 """
 
 from __future__ import annotations
@@ -78,6 +78,9 @@ def read_event_files(spark: SparkSession, folders: Mapping[str, str], files_per_
     return stream
 
 
+ROWS_PER_FILE = 500_000
+
+
 @dataclass
 class StreamTotals:
     """What a run has stored and rejected so far."""
@@ -99,7 +102,9 @@ def start_ingestion(
     """Start the stream. Without ``interval`` it works off what is there and stops."""
     totals = StreamTotals()
 
-    def append(df: DataFrame, table: str) -> None:
+    def append(df: DataFrame, table: str, rows: int) -> None:
+        # A small batch becomes one file per day, not one per source partition.
+        df = df.coalesce(-(-rows // ROWS_PER_FILE))
         day = F.to_date(F.try_to_timestamp("timestamp" if "timestamp" in df.columns else "timestamp_rejeicao"))
         (
             df.withColumn("data", day)
@@ -119,14 +124,14 @@ def start_ingestion(
         )
         try:
             counts = event_counts(checked).collect()  # one row per topic
-            stored = {row["topico"] for row in counts if row["processados"]}
+            stored = {row["topico"]: row["processados"] for row in counts}
             for topic, table in tables.items():
-                if topic in stored:
-                    append(valid_events(checked, topic, schemas[topic]), table)
+                if stored.get(topic):
+                    append(valid_events(checked, topic, schemas[topic]), table, stored[topic])
             invalid = sum(row["invalidos"] for row in counts)
             if invalid:
                 stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-                append(rejected_events(checked).withColumn("timestamp_rejeicao", stamp), REJECTED_TABLE)
+                append(rejected_events(checked).withColumn("timestamp_rejeicao", stamp), REJECTED_TABLE, invalid)
             totals.processed += sum(row["processados"] for row in counts)
             totals.invalid += invalid
         finally:
