@@ -6,6 +6,7 @@ from degraus.functions.columns import (
     band,
     code_label,
     decimal_comma,
+    is_typed,
     missing_to_null,
     normalise_columns,
     normalise_name,
@@ -23,6 +24,7 @@ __all__ = [
     "band",
     "code_label",
     "decimal_comma",
+    "is_typed",
     "missing_to_null",
     "normalise_columns",
     "normalise_name",

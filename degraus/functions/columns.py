@@ -32,15 +32,21 @@ def missing_to_null(col: Column) -> Column:
     return F.when(~col.isin(MISSING_TEXTS), col)
 
 
-def try_cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast per cell; a cell that does not fit becomes null, an absent column is skipped.
+def _fits(name: str, pattern: str) -> bool:
+    return name == pattern or (pattern.endswith("*") and name.startswith(pattern[:-1]))
+
+
+def is_typed(name: str, types: Mapping[str, str]) -> bool:
+    """Whether a type is stated for the column; ``prefix_*`` names all columns with that beginning."""
+    return any(_fits(name, pattern) for pattern in types)
 
-    ``prefix_*`` names all columns that begin with the prefix.
-    """
+
+def try_cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Cast per cell; a cell that does not fit becomes null, an absent column is skipped."""
     casts = {}
     for pattern, kind in types.items():
         for name in df.columns:
-            if name == pattern or (pattern.endswith("*") and name.startswith(pattern[:-1])):
+            if _fits(name, pattern):
                 value = F.col(f"`{name}`").try_cast(kind)
                 # NaN must never stay: Spark orders it above every number.
                 casts[name] = F.nanvl(value, F.lit(None)) if kind == "double" else value

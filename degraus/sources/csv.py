@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from degraus.functions import missing_to_null, try_cast_columns
+from degraus.functions import is_typed, missing_to_null, try_cast_columns
 
 # Column that records where a row stood in the source: (file, block, running number).
 ORIGIN = "_origem"
@@ -61,7 +61,8 @@ def read_csv(
         if not utf8:
             value = F.translate(value, source, target)
             label = name.translate(str.maketrans(source, target))
-        texts.append(missing_to_null(value).alias(label))
+        # The cast of a typed column turns such texts into null by itself.
+        texts.append((value if is_typed(label, types or {}) else missing_to_null(value)).alias(label))
     origin = F.struct(
         F.col("_metadata.file_name").alias("arquivo"),
         F.col("_metadata.file_block_start").alias("bloco"),
