@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from degraus.functions import round_even
+from degraus.operators.selection import count_removed_of_few
 
 
 def bin_number(column: str, first: float, last: float, width: float) -> Column:
@@ -162,27 +163,22 @@ def null_profile(df: DataFrame, digits: int = 1) -> DataFrame:
 
 
 def table_profile(df: DataFrame, name: str) -> DataFrame:
-    """Rows, columns, null cells, their share and repeated rows.
+    """Rows, columns, null cells, their share and repeated rows, all exact.
 
-    Equal rows are merged in the map tasks first, and the null cells are counted on the merged
-    rows, so one pass and one shuffle give all figures exactly.
+    Repeated rows are looked for among the rows whose hash occurs more than once, so what is
+    shuffled is a hash per row, not the table.
     """
-    nulls = reduce(lambda a, b: a + b, (F.col(f"`{c}`").isNull().cast("bigint") for c in df.columns))
-    merged = df.groupBy(*(f"`{c}`" for c in df.columns)).agg(F.count("*").alias("__n"))
     width = len(df.columns)
-    total = merged.select(F.col("__n"), nulls.alias("__nulos")).agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("registros"),
-        F.coalesce(F.sum(F.col("__n") * F.col("__nulos")), F.lit(0)).alias("nulos_total"),
-        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicatas"),
-    )
+    nulls = reduce(lambda a, b: a + b, (F.col(f"`{c}`").isNull().cast("bigint") for c in df.columns))
+    repeated = count_removed_of_few(df, df.columns).scalar()
     cells = F.when(F.col("registros") > 0, F.col("registros") * width).otherwise(F.lit(1))
-    return total.select(
+    return df.agg(F.count("*").alias("registros"), F.coalesce(F.sum(nulls), F.lit(0)).alias("nulos_total")).select(
         F.lit(name).alias("tabela"),
         "registros",
         F.lit(width).alias("colunas"),
         "nulos_total",
         round_even(F.col("nulos_total") / cells * 100.0, 2).alias("pct_nulos"),
-        "duplicatas",
+        repeated.alias("duplicatas"),
     )
 
 

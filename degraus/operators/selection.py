@@ -28,28 +28,49 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
-def keep_last_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str], most: int = 1_000_000) -> DataFrame:
+_HASH = "__hash"
+MOST_HASHES = 1_000_000  # 16 MB when broadcast
+
+
+def repeated_hashes(df: DataFrame, keys: Sequence[str], most: int = MOST_HASHES) -> tuple[DataFrame, int]:
+    """Key hashes that occur more than once, stored, and their number counted up to ``most`` + 1.
+
+    Only hashes are shuffled. A key whose hash is not among them is certainly unique.
+    """
+    counted = df.select(F.xxhash64(*keys).alias(_HASH)).groupBy(_HASH).agg(F.count("*").alias("__n"))
+    repeated = stored(counted.where(F.col("__n") > 1).select(_HASH), "chaves-repetidas")
+    return repeated, repeated.limit(most + 1).count()
+
+
+def keep_last_of_few(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], most: int = MOST_HASHES
+) -> DataFrame:
     """``keep_last`` for a large table in which repeated keys are expected to be rare.
 
-    A first pass shuffles only key hashes and stores those that occur more than once. Rows with
-    any other hash are unique and pass through without a shuffle or a sort; only the rest is
-    ranked by its exact keys, so a hash collision changes nothing. The stored hashes are broadcast
-    when there are at most ``most`` of them (16 MB); beyond that the whole table is ranked.
+    Rows whose key hash is unique pass through without a shuffle or a sort; only the rest is
+    ranked, by its exact keys, so a hash collision changes nothing. With more than ``most``
+    repeated hashes, too many to broadcast, the whole table is ranked.
     """
-    digest = F.xxhash64(*keys)
-    counted = df.select(digest.alias("__hash")).groupBy("__hash").agg(F.count("*").alias("__n"))
-    repeated = stored(counted.where(F.col("__n") > 1).select("__hash"), "chaves-repetidas")
-    found = repeated.limit(most + 1).count()
+    repeated, found = repeated_hashes(df, keys, most)
     if found == 0:
         return df
     if found > most:
         return keep_last(df, keys, order)
-    hashed = df.withColumn("__hash", digest)
-    single = hashed.join(F.broadcast(repeated), "__hash", "left_anti").drop("__hash")
-    several = hashed.join(F.broadcast(repeated), "__hash", "left_semi").drop("__hash")
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    single = hashed.join(F.broadcast(repeated), _HASH, "left_anti").drop(_HASH)
+    several = hashed.join(F.broadcast(repeated), _HASH, "left_semi").drop(_HASH)
     return single.unionByName(keep_last(several, keys, order))
 
 
+def count_removed_of_few(df: DataFrame, keys: Sequence[str], most: int = MOST_HASHES) -> DataFrame:
+    """``count_removed`` for a large table in which repeated keys are expected to be rare."""
+    repeated, found = repeated_hashes(df, keys, most)
+    if found > most:
+        return count_removed(df, keys)
+    hashed = df.select(*(F.col(f"`{k}`") for k in keys), F.xxhash64(*keys).alias(_HASH))
+    return count_removed(hashed.join(F.broadcast(repeated), _HASH, "left_semi"), keys)
+
+
 def latest_vintage(
     df: DataFrame, keys: Sequence[str], vintage: str = "ano_referencia", order: Sequence[str] = ()
 ) -> DataFrame:
@@ -96,7 +117,7 @@ def pick_network_with_scope(
 def count_removed(before: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many rows a de-duplication on ``keys`` removes."""
     return (
-        before.groupBy(*keys)
+        before.groupBy(*(F.col(f"`{k}`") for k in keys))
         .agg(F.count("*").alias("n"))
         .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("removidos"))
     )

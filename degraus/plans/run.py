@@ -200,6 +200,9 @@ def _copy_tables(staged: Layer, target: Layer) -> None:
 def _gate(lake: Lake, layer: Layer, name: str, result: RunResult) -> bool:
     verdict = validate_layer(layer, lake.alert_log, RULES[name], name)
     result.verdicts[name] = verdict
+    for table, found in verdict.tables.items():
+        if f"{name}.{table}" in result.tables:
+            result.tables[f"{name}.{table}"]["registros"] = found["registros"]
     if verdict.passed:
         return True
     result.stopped_at = f"gate.{name}"

@@ -23,6 +23,7 @@ def test_run_publishes(done):
     assert result.stopped_at is None and result.published
     assert {v.passed for v in result.verdicts.values()} == {True}
     assert result.tables["gold.monitoramento_streaming"]["status"] == "pulado"
+    assert result.tables["bronze.alunos"] == {"status": "sucesso", "fonte": "raw", "registros": 5}
     assert read_alerts(lake.spark, lake.alert_log).count() == 0
 
 

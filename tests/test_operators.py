@@ -40,6 +40,8 @@ def test_keep_last_of_few_gives_the_same_rows(spark, most):
     df = spark.createDataFrame(pdf).withColumn("b", F.when(F.col("ordem") % 50 != 0, F.col("b"))).repartition(8)
     want = rows(selection.keep_last(df, ["a", "b"], ["ordem"]))
     assert rows(selection.keep_last_of_few(df, ["a", "b"], ["ordem"], most)) == want
+    removed = selection.count_removed(df, ["a", "b"]).first()
+    assert selection.count_removed_of_few(df, ["a", "b"], most).first() == removed
 
 
 def test_keep_last_of_few_does_not_shuffle_unique_rows(spark):
