@@ -13,6 +13,7 @@ from degraus.operators.reshape import union_levels
 from degraus.spec import STATE_TARGET_SCOPE
 from degraus.streaming.monitor import monitor_topics
 
+# Columns of the city table, in their order.
 CITY_COLUMNS = [
     "ano", "id_municipio", "nome_municipio", "sigla_uf", "nome_uf", "nome_regiao", "rede_label",
     "taxa_alfabetizacao", "taxa_alfabetizacao_municipal", "meta_alfabetizacao_municipal",

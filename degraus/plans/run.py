@@ -71,22 +71,22 @@ def _from_warehouse(lake: Lake, source: SourceTable, years):
     return attempt
 
 
-def read_source(lake: Lake, name: str, years: Sequence[int] | None = None) -> tuple[DataFrame, str]:
-    """A source table from the warehouse, else from its CSV file."""
+def _ingest(lake: Lake, name: str, years: Sequence[int] | None) -> dict:
+    """Store a source table from the warehouse; if that cannot be opened or read, from its CSV file."""
     source = SOURCES[name]
-    return first_available(
-        ("warehouse", _from_warehouse(lake, source, years)),
-        ("raw", lambda: read_csv(lake.spark, f"{lake.raw.rstrip('/')}/{source.file}", source.types, years)),
-    )
+    path = f"{lake.raw.rstrip('/')}/{source.file}"
+    openers = {
+        "warehouse": _from_warehouse(lake, source, years),
+        "raw": lambda: read_csv(lake.spark, path, source.types, years),
+    }
 
+    def store(opener: Callable[[], DataFrame]) -> None:
+        lake.bronze.write(opener(), name, source.partitions)
 
-def _ingest(lake: Lake, name: str, years: Sequence[int] | None) -> dict:
-    source = SOURCES[name]
     try:
-        df, origin = read_source(lake, name, years)
-        lake.bronze.write(df, name, source.partitions)
+        _, origin = first_available(*((tag, partial(store, opener)) for tag, opener in openers.items()))
         return {"status": "sucesso", "fonte": origin}
-    except (FileNotFoundError, PySparkException) as error:
+    except FileNotFoundError as error:
         if not source.mandatory:
             return {"status": "ausente_na_bronze"}
         lake.alert("ERROR", f"bronze.{name}", f"Falha na ingestão: {error}", {"obrigatoria": True})

@@ -83,6 +83,7 @@ def city_targets(df: DataFrame, order: Order = BY_ORIGIN) -> DataFrame:
     return targets_in_force(df, ["id_municipio"], order).drop(ORIGIN)
 
 
+# The directory columns that are kept.
 CITY_DIRECTORY_COLUMNS = [
     "id_municipio", "nome", "sigla_uf", "nome_uf", "nome_regiao", "amazonia_legal", "capital_uf", "ddd",
 ]
@@ -108,6 +109,7 @@ def state_directory(df: DataFrame, order: Order = BY_ORIGIN) -> DataFrame:
     return _latest(df, ["sigla_uf"], order)
 
 
+# Names of the index columns.
 HDI_NAMES = {
     "codmun7": "id_municipio", "municipio_nome_atlas": "nome_municipio_atlas",
     "idhm_e": "idhm_educacao", "idhm_l": "idhm_longevidade", "idhm_r": "idhm_renda",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from degraus.functions import out_of_range, round_even
 from degraus.operators.lookups import orphan_keys, outside_domain
-from degraus.operators.selection import count_removed
+from degraus.operators.selection import count_removed, count_removed_of_few
 from degraus.spec import Rule
 
 EXAMPLES = 5
@@ -79,10 +79,11 @@ def column_checks(
     return _lines(df.agg(*aggs), lines)
 
 
-def uniqueness_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def uniqueness_check(df: DataFrame, keys: Sequence[str], large: bool = False) -> DataFrame:
     """Rows beyond the first per key; null keys are equal to each other."""
     present = [c for c in keys if c in df.columns]
-    row = count_removed(df, present).withColumn("registros", F.lit(None).cast("bigint"))
+    count = count_removed_of_few if large else count_removed
+    row = count(df, present).withColumn("registros", F.lit(None).cast("bigint"))
     extra = F.col("removidos")
     return _lines(row, [_line("DUPLICATAS", ",".join(present), medida=extra, limite=0.0, falhou=extra > 0)])
 
@@ -118,7 +119,7 @@ def check_table(
     """The full report of a table. References whose table is absent are skipped."""
     parts = [column_checks(df, rule.required, rule.max_null_pct, rule.ranges)]
     if any(k in df.columns for k in rule.keys):
-        parts.append(uniqueness_check(df, rule.keys))
+        parts.append(uniqueness_check(df, rule.keys, rule.large))
     parts += [domain_check(df, c, domain) for c, domain in rule.domains.items() if c in df.columns]
     for column, (table, reference_column) in rule.references.items():
         reference = read(table) if read else None

@@ -41,7 +41,7 @@ def read_broker(spark: SparkSession, servers: str, topics: Sequence[str], per_ba
 
 
 def first_available(*attempts):
-    """Try sources in order: ``(tag, callable)``. Returns (DataFrame, tag) of the first that opens."""
+    """Try steps in order: ``(tag, callable)``. Returns (result, tag) of the first that works."""
     failures = []
     for tag, attempt in attempts:
         try:

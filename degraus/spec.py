@@ -175,6 +175,8 @@ class Rule:
     domains: dict[str, list[str]] = field(default_factory=dict)
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     mandatory: bool = True
+    # Many rows, and repeated keys are rare: look for them on key hashes first.
+    large: bool = False
 
 
 def _rule(keys, required, max_null_pct, *, state=True, **kw) -> Rule:
@@ -190,7 +192,7 @@ RULES: dict[str, dict[str, Rule]] = {
         "meta_brasil": _rule("ano rede", "ano rede", 5.0),
         "meta_uf": _rule("ano sigla_uf rede", "ano sigla_uf rede", 15.0),
         "meta_municipio": _rule("ano id_municipio rede", "ano id_municipio rede", 5.0),
-        "alunos": _rule("ano id_municipio id_escola id_aluno", "ano id_municipio id_aluno alfabetizado", 10.0),
+        "alunos": _rule("ano id_municipio id_escola id_aluno", "ano id_municipio id_aluno alfabetizado", 10.0, large=True),
         "diretorio_municipio": _rule("id_municipio", "id_municipio nome sigla_uf", 15.0),
         "diretorio_uf": _rule("sigla", "sigla nome regiao", 0.0),
         "streaming_indicadores": _rule(
@@ -211,7 +213,7 @@ RULES: dict[str, dict[str, Rule]] = {
         "meta_municipio": _rule("id_municipio ano_meta", "id_municipio ano_meta valor_meta", 0.0),
         "diretorio_municipio": _rule("id_municipio", "id_municipio nome_municipio sigla_uf", 5.0),
         "diretorio_uf": _rule("sigla_uf", "sigla_uf nome_uf regiao", 0.0),
-        "alunos": _rule("ano id_municipio id_escola id_aluno", "ano id_municipio id_aluno", 10.0),
+        "alunos": _rule("ano id_municipio id_escola id_aluno", "ano id_municipio id_aluno", 10.0, large=True),
         "alfabetizacao_integrado": _rule(
             "ano id_municipio", "ano id_municipio sigla_uf taxa_alfabetizacao", 40.0,
             references={"sigla_uf": ("diretorio_uf", "sigla_uf")},

@@ -129,6 +129,21 @@ def test_a_missing_mandatory_source_is_an_error(spark, tmp_path):
     assert result.stopped_at == "bronze" and result.tables["bronze.meta_municipio"]["status"] == "erro"
 
 
+def test_the_warehouse_comes_first_and_falls_back_to_files(spark, frame, tmp_path):
+    lake = make(spark, tmp_path)
+    lake.warehouse = {"connector": "parquet", "project": str(tmp_path / "projeto"), "table_option": "path"}
+    frame([("11", "RO", "Rondônia", "Norte")], "id_uf STRING, sigla STRING, nome STRING, regiao STRING").write.parquet(
+        f"{tmp_path}/projeto.br_bd_diretorios_brasil.uf")
+    broken = tmp_path / "projeto.br_inep_avaliacao_alfabetizacao.uf"
+    broken.mkdir()
+    (broken / "x.parquet").write_bytes(b"not parquet")
+    results = r.ingest_bronze(lake)
+    assert results["diretorio_uf"] == {"status": "sucesso", "fonte": "warehouse"}
+    assert lake.bronze.read("diretorio_uf").first().sigla == "RO"
+    assert results["indicador_uf"]["fonte"] == results["alunos"]["fonte"] == "raw"
+    assert lake.bronze.read("indicador_uf").count() == 5
+
+
 def test_a_missing_optional_source_is_skipped(spark, tmp_path):
     lake = make(spark, tmp_path, {"idhm_municipio": None})
     result = r.run(lake)
