@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from degraus.session import stored
 
 #: Hubs of a list that its members are compared with in the first round, and the growth per round.
-HUBS, GROWTH = 1, 8
+HUBS, GROWTH = 1, 32
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -57,59 +57,68 @@ def connected(links: DataFrame) -> DataFrame:
     return labels
 
 
-def linked_lists(members: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components of the ids in ``members(key, id)``: two ids link if they share a key and ``check`` keeps their pair.
+def linked_lists(
+    members: DataFrame,
+    near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    check: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Components of the ids in ``members(key, id, facts...)``: two ids link if they share a key and pass ``check``.
 
-    ``members`` is a stored table without repeated rows.
+    ``members`` is a stored table without repeated rows; the facts belong to the id. ``near`` gets two ways to name a
+    fact, of either id, and returns a condition that every linked pair meets; it is part of the join, so pairs far apart
+    are never written. ``check`` gets ``(a, b)`` pairs and returns those that link.
 
-    ``check`` gets ``(a, b)`` pairs and returns those that link. A list is not compared all against all: its members
-    meet its smallest ids, the hubs. Then hubs leave the list, for all their pairs are known, and so do lists whose
-    members are one component by now. The others go on with more hubs each round, until every pair that could still
-    join two components has been checked. Rows per round are hubs times members, and a group of near copies ends
+    A list is not compared all against all: its members meet its smallest ids, the hubs. Then hubs leave the list, for
+    all their pairs are known, and so do lists whose members are one component by now. The others go on with more hubs
+    each round, until every pair that could still join two components has been checked. A group of near copies ends
     after its first hub. Returns ``(node, root)`` of ids that link with any other; the root is the smallest id.
     """
-    live = members.select("key", "id")
-    links = labels = None
-    hubs = HUBS
+    facts = [c for c in members.columns if c not in ("key", "id")]
+    live, links, labels, hubs = members, None, None, HUBS
+    order = Window.partitionBy("key").orderBy("id")
     while not live.isEmpty():
-        if labels is None:
-            rooted = live.withColumn("root", F.col("id"))
-        else:
-            rooted = live.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-                "key", "id", F.coalesce("root", "id").alias("root")
-            )
+        rooted = _rooted(live, labels)
+        open_keys = _open_keys(rooted)
         if hubs == 1:
-            heads = rooted.groupBy("key").agg(
-                F.min(F.struct("id", "root")).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high")
-            ).where("low <> high").select("key", "hub.id", "hub.root")
-        else:
-            open_keys = (
-                rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                .where("low <> high").select("key")
+            heads = rooted.groupBy("key").agg(F.min("id").alias("id")).join(open_keys, "key", "left_semi").join(
+                rooted, ["key", "id"]
             )
-            order = Window.partitionBy("key").orderBy("id")
+        else:
             heads = (
                 rooted.join(open_keys, "key", "left_semi").withColumn("place", F.row_number().over(order))
-                .where(F.col("place") <= hubs).select("key", "id", "root")
+                .where(F.col("place") <= hubs)
             )
-        heads = stored(heads.withColumnsRenamed({"id": "hub", "root": "hub_root"}), "hubs")
+        heads = stored(
+            heads.select("key", *(F.col(c).alias(f"hub_{c}") for c in ("id", "root", *facts))), "hubs"
+        )
         pairs = (
-            rooted.join(heads, "key").where("root <> hub_root")
-            .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+            rooted.join(heads, "key")
+            .where((F.col("root") != F.col("hub_root")) & near(F.col, lambda c: F.col(f"hub_{c}")))
+            .select(F.least("hub_id", "id").alias("a"), F.greatest("hub_id", "id").alias("b")).distinct()
         )
         found = stored(check(stored(pairs, "pairs")).select("a", "b"), "links")
-        links = found if links is None else links.union(found)
-        labels = connected(links)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = connected(links)
         # Hubs are done; what remains matters only where two components are left.
         rest = live.join(heads.select("key").distinct(), "key", "left_semi").join(
-            heads.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti"
-        )
-        roots = rest.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", F.coalesce("root", "id").alias("root")
+            heads.select("key", F.col("hub_id").alias("id")), ["key", "id"], "left_anti"
         )
-        open_keys = roots.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        live = stored(rest.join(open_keys.select("key"), "key", "left_semi"), "lists")
+        live = stored(rest.join(_open_keys(_rooted(rest, labels)), "key", "left_semi"), "lists")
         hubs *= GROWTH
     if labels is None:
         return live.select(F.col("id").alias("node"), F.col("id").alias("root"))
     return labels
+
+
+def _rooted(live: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return live.withColumn("root", F.col("id"))
+    known = labels.select(F.col("node").alias("id"), "root")
+    return live.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _open_keys(rooted: DataFrame) -> DataFrame:
+    """Keys of lists that hold two components or more."""
+    ends = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return ends.where("low <> high").select("key")

@@ -198,6 +198,13 @@ def set_id(hashes: np.ndarray) -> int:
         return int(_mixed(np.array([_mixed(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes)) * SEED]))[0].view(np.int64))
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """For each of 512 cells whether it holds an odd number of shingles. Two sets differ in at least as many shingles
+    as their parities differ in cells."""
+    cells = np.bincount((hashes >> np.uint64(7)).astype(np.int64) & 511, minlength=512) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
+
 def _runs(texts: list[str | None], width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """First row and sets of each run of texts."""
     row = 0
@@ -221,8 +228,9 @@ def _signatures(width: int, percent: int, boundary: int):
                     batch.column(0).slice(row, len(sets)),
                     pa.array([set_id(x) for x in sets], pa.int64()),
                     pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([parity(x) for x in sets], pa.list_(pa.int64())),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-                ], names=["doc", "id", "n", "keys"])
+                ], names=["doc", "id", "n", "parity", "keys"])
 
     return signed
 
@@ -280,16 +288,19 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
     signed = stored(
-        rows.mapInArrow(_signatures(width, percent, boundary), f"doc {kind}, id long, n long, keys array<long>"),
+        rows.mapInArrow(_signatures(width, percent, boundary), f"doc {kind}, id long, n long, parity array<long>, keys array<long>"),
         "signatures",
     )
     listed = signed.where("n > 0").select(F.explode("keys").alias("key"), "id")
     shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    members = stored(listed.join(shared.select("key"), "key", "left_semi").distinct(), "members")
+    meeting = stored(listed.join(shared.select("key"), "key", "left_semi").distinct(), "meeting")
     # One document stands for each set that has a candidate.
-    stand = (
-        signed.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("doc").alias("doc"))
+    stand = stored(
+        signed.select("doc", "id", "n", "parity").join(meeting.select("id").distinct(), "id", "left_semi")
+        .groupBy("id").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("parity").alias("parity")),
+        "stand",
     )
+    members = stored(meeting.join(stand.drop("doc"), "id"), "members")
     cell = F.xxhash64("doc").bitwiseAND(F.lit(FILTER_BITS - 1))
     bits = (
         stand.select(F.shiftright(cell, 6).alias("at"), F.expr("shiftleft(1L, cast((xxhash64(doc) & 63) as int))").alias("bit"))
@@ -300,18 +311,25 @@ def jaccard_components(
     texts = stored(
         rows.select(F.xxhash64("doc").alias("deal"), "text")
         .mapInArrow(_wanted_texts(width, words), "id long, text string")
-        .join(members.select("id").distinct(), "id", "left_semi")
+        .join(stand.select("id"), "id", "left_semi")
         .groupBy("id").agg(F.first("text").alias("text")),
         "texts",
     )
 
+    def near(x, y):
+        apart = sum((F.bit_count(x("parity")[i].bitwiseXOR(y("parity")[i])) for i in range(8)), F.lit(0))
+        return (
+            (100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n")))
+            & ((100 - percent) * (x("n") + y("n")) >= (100 + percent) * apart)
+        )
+
     def check(pairs: DataFrame) -> DataFrame:
         met = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "ta"}), "a").join(
             texts.withColumnsRenamed({"id": "b", "text": "tb"}), "b"
         )
         return met.mapInArrow(_linked_pairs(width, percent), "a long, b long")
 
-    labels = linked_lists(members, check)
+    labels = linked_lists(members, near, check)
     classes = signed.where("n > 0").groupBy("id").agg(F.min("doc").alias("low"))
     rooted = stored(
         classes.join(labels.withColumnRenamed("node", "id"), "id", "left")
