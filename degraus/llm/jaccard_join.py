@@ -36,7 +36,7 @@ from degraus.session import stored
 SEED, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Beyond this size the costs need no comparing: subsets grow by powers, tokens in proportion.
 MOST_LIGHT = 24
-#: Cuts of a set whose blocks are empty in part.
+#: Cuts of a set that has many empty blocks.
 CUTS = 5
 #: Bits of the filter that spares the second pass documents without a candidate; it only saves work.
 FILTER_BITS = 1 << 23
@@ -157,10 +157,13 @@ def chosen_boundary(percent: int) -> int:
 def _block_tokens(hashes: np.ndarray, k: int, percent: int) -> Iterator[np.ndarray]:
     """Tokens of the blocks of class ``k``.
 
-    An empty block is equal in too many sets to be a token. Linked sets whose equal blocks are all empty both have an
-    empty block, so both are cut anew by another hash, and only the last of several cuts keeps its empty blocks.
+    An empty block is equal in too many sets to be a token, so there are ``spare`` blocks more than needed. Linked sets
+    whose equal blocks are all empty then both have more than ``spare`` empty blocks; such sets are cut anew by another
+    hash as well, and only the last of several cuts keeps its empty blocks.
     """
-    blocks = _blocks_of_class(k, percent)
+    least = _blocks_of_class(k, percent)
+    spare = 2 + least // 16
+    blocks = least + spare
     edge = np.arange(blocks, dtype=np.uint64) * np.uint64((1 << 64) // blocks)
     for cut in range(CUTS):
         dealt = hashes if cut == 0 else np.sort(_mixed(hashes + np.uint64(cut) * STEP))
@@ -169,10 +172,12 @@ def _block_tokens(hashes: np.ndarray, k: int, percent: int) -> Iterator[np.ndarr
         place = np.arange(blocks, dtype=np.uint64) + np.uint64(k * CUTS + cut + 1) * SEED
         tokens = _mixed(total[at[1:]] - total[at[:-1]] + _mixed(place))
         filled = at[1:] > at[:-1]
-        if filled.all() or cut == CUTS - 1:
+        if cut == CUTS - 1:
             yield tokens
             return
         yield tokens[filled]
+        if blocks - filled.sum() <= spare:
+            return
 
 
 def keys_of(hashes: np.ndarray, percent: int, boundary: int) -> list[np.ndarray]:
@@ -343,3 +348,13 @@ def jaccard_components(
         .select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
                 F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"))
     )
+
+
+def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: int) -> DataFrame:
+    """``docs`` without the documents whose component has a smaller id; same columns. Repeated rows of one id and text
+    count as one and stay."""
+    found = jaccard_components(docs, id_col, text_col, **limits)
+    gone = (
+        found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone")).distinct()
+    )
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")

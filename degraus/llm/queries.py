@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from degraus.llm import jaccard_join, line_dedup, packing, quality_rules, shards, token_counts
+from degraus.llm import jaccard_join, line_dedup, packing, personal_data, quality_rules, shards, token_counts
 from degraus.llm.common import read
 from degraus.session import scratch_dir
 
@@ -20,12 +20,12 @@ BPE = public_tokenizers.path("byte_bpe_50k.json")
 def with_workers(fn: Query) -> Query:
     """Let Python workers import this package from where the driver has it; on a cluster it is installed or shipped."""
 
-    def run(spark: SparkSession, folder: str) -> DataFrame:
+    def run(spark: SparkSession, *args) -> DataFrame:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         path = spark.sparkContext.environment.get("PYTHONPATH", "")
         if root not in path.split(os.pathsep):
             spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, path]))
-        return fn(spark, folder)
+        return fn(spark, *args)
 
     return run
 
@@ -51,6 +51,10 @@ def op4_packing(spark, sf):
     return packing.pack(sized).withColumnRenamed("id", "doc_id")
 
 
+def op5_personal_data(spark, sf):
+    return personal_data.personal_data(read(spark, sf, "documents"))
+
+
 def op8_line_dedup(spark, sf):
     return line_dedup.line_classes(read(spark, sf, "documents")).select(
         F.col("doc").alias("doc_id"), "line_no", "n_chars",
@@ -65,6 +69,6 @@ def op9_jaccard_join(spark, sf):
 REGISTRY: dict[str, Query] = {
     fn.__name__: with_workers(fn)
     for fn in (
-        op1_quality_rules, op2_token_counts, op3_shards, op4_packing, op8_line_dedup, op9_jaccard_join,
+        op1_quality_rules, op2_token_counts, op3_shards, op4_packing, op5_personal_data, op8_line_dedup, op9_jaccard_join,
     )
 }
