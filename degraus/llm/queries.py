@@ -9,12 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from degraus.llm import jaccard_join, line_dedup, packing, personal_data, quality_rules, shards, token_counts
+from degraus.llm import (
+    jaccard_join,
+    language,
+    line_dedup,
+    neighbours,
+    packing,
+    personal_data,
+    quality_rules,
+    sentence_pieces,
+    shards,
+    token_counts,
+)
 from degraus.llm.common import read
 from degraus.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def with_workers(fn: Query) -> Query:
@@ -55,6 +67,14 @@ def op5_personal_data(spark, sf):
     return personal_data.personal_data(read(spark, sf, "documents"))
 
 
+def op6_neighbours(spark, sf):
+    return neighbours.nearest(read(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_language(spark, sf):
+    return language.identify(read(spark, sf, "documents"))
+
+
 def op8_line_dedup(spark, sf):
     return line_dedup.line_classes(read(spark, sf, "documents")).select(
         F.col("doc").alias("doc_id"), "line_no", "n_chars",
@@ -66,9 +86,14 @@ def op9_jaccard_join(spark, sf):
     return jaccard_join.jaccard_components(read(spark, sf, "documents"))
 
 
+def op10_sentence_pieces(spark, sf):
+    return sentence_pieces.round_trip(read(spark, sf, "documents"), PIECES)
+
+
 REGISTRY: dict[str, Query] = {
     fn.__name__: with_workers(fn)
     for fn in (
-        op1_quality_rules, op2_token_counts, op3_shards, op4_packing, op5_personal_data, op8_line_dedup, op9_jaccard_join,
+        op1_quality_rules, op2_token_counts, op3_shards, op4_packing, op5_personal_data, op6_neighbours, op7_language,
+        op8_line_dedup, op9_jaccard_join, op10_sentence_pieces,
     )
 }
