@@ -143,7 +143,7 @@ def nearest(
     salts = index.groupBy("table", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
     dealt = index.join(F.broadcast(salts), ["table", "bucket"]).withColumn("salt", F.expr("pmod(xxhash64(id), salts)"))
     sent = asked.join(F.broadcast(salts), ["table", "bucket"]).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).cast("long")
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1))
     )
 
     def compare(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
