@@ -150,13 +150,15 @@ def nearest(
         if not len(own) or not len(others):
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
         query_ids, ids, scores = nearest_of_block(
-            own["id"].to_numpy(), np.stack(own["vector"].to_numpy()), others["id"].to_numpy(),
-            np.stack(others["vector"].to_numpy()), k,
+            own["id"].to_numpy(), np.stack(own["vector"].to_numpy()), others["other_id"].to_numpy(),
+            np.stack(others["other_vector"].to_numpy()), k,
         )
         return pd.DataFrame({"query_id": query_ids, "id": ids, "score": scores})
 
     key = ["table", "bucket", "salt"]
-    found = sent.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(compare, "query_id long, id long, score double")
+    asking = sent.select(*key, "id", "vector").groupBy(*key)
+    held = dealt.select(*(F.col(c).alias(f"other_{c}") for c in (*key, "id", "vector"))).groupBy(*(f"other_{c}" for c in key))
+    found = asking.cogroup(held).applyInPandas(compare, "query_id long, id long, score double")
     # The same vector comes from many tables; tables * probes * k rows of a query at most.
     best = found.distinct().groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("score", "id"))).alias("all"))
     return best.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("place", "hit")).select(
