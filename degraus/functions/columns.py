@@ -13,7 +13,7 @@ from degraus.spec import MISSING_TEXTS, NETWORK_LABELS, RISK_BANDS, RISK_DEFAULT
 
 def normalise_name(name: str) -> str:
     """``" Nome Coluna "`` -> ``nome_coluna``; accents are folded to ASCII."""
-    folded = unicodedata.normalize("NFKD", name.strip().lower().translate({32: "_", 45: "_"}))
+    folded = unicodedata.normalize("NFKD", name.strip().lower().translate(str.maketrans(" -", "__")))
     return "".join(ch for ch in folded if ord(ch) < 128)
 
 
@@ -41,15 +41,36 @@ def is_typed(name: str, types: Mapping[str, str]) -> bool:
     return any(_fits(name, pattern) for pattern in types)
 
 
+WHOLE_KINDS = ("tinyint", "smallint", "int", "bigint")
+
+
+def whole_number(col: Column, kind: str) -> Column:
+    """Integer of a number or a text; ``"2.0"`` is 2, a text with a fraction becomes null."""
+    number = col.try_cast("double")
+    return F.coalesce(col.try_cast(kind), F.when(number == F.rint(number), number.try_cast(kind)))
+
+
+def zero_or_one(col: Column) -> Column:
+    """Flag as 0 or 1 from 0/1, 0.0/1.0 or True/False; other texts become null."""
+    number = whole_number(col, "int")
+    return F.coalesce(F.when(number.isin(0, 1), number), col.try_cast("boolean").cast("int"))
+
+
 def try_cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast per cell; a cell that does not fit becomes null, an absent column is skipped."""
+    """Cast per cell; a cell that does not fit becomes null, an absent column is skipped. The kind ``flag`` is 0 or 1."""
     casts = {}
     for pattern, kind in types.items():
         for name in df.columns:
             if _fits(name, pattern):
-                value = F.col(f"`{name}`").try_cast(kind)
-                # NaN must never stay: Spark orders it above every number.
-                casts[name] = F.nanvl(value, F.lit(None)) if kind == "double" else value
+                value = F.col(f"`{name}`")
+                if kind == "flag":
+                    casts[name] = zero_or_one(value)
+                elif kind in WHOLE_KINDS:
+                    casts[name] = whole_number(value, kind)
+                else:
+                    # NaN must never stay: Spark orders it above every number.
+                    cast = value.try_cast(kind)
+                    casts[name] = F.nanvl(cast, F.lit(None)) if kind == "double" else cast
     return df.withColumns(casts)
 
 
@@ -68,8 +89,8 @@ def decimal_comma(col: Column) -> Column:
 
 
 def as_boolean(col: Column) -> Column:
-    """0/1 (or a boolean) -> nullable boolean; other texts become null."""
-    return col.try_cast("boolean")
+    """0/1 as number or text, or a boolean -> nullable boolean; other texts become null."""
+    return F.coalesce(col.try_cast("boolean"), zero_or_one(col).cast("boolean"))
 
 
 def parse_event_time(col: Column) -> Column:

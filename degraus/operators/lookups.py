@@ -30,7 +30,8 @@ def by_year(facts: DataFrame, series: DataFrame, value: str, alias: str, year: s
     whatever the data volume. Joining on the year without it would put a year in one task.
     """
     small = (
-        series.select(F.col(year).cast("smallint").alias("__ano"), F.col(value).alias("__valor"))
+        series.select(F.col(year).try_cast("smallint").alias("__ano"), F.col(value).alias("__valor"))
+        .where(F.col("__ano").isNotNull())  # a year that is none has no series
         .groupBy("__ano")
         .agg(F.max("__valor").alias(alias))
     )

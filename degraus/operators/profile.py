@@ -87,50 +87,50 @@ def value_counts(
     return counts.withColumn("proporcao", share if digits is None else round_even(share, digits))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 10_000, most: int = 1_000_000) -> DataFrame:
+def exact_median(df: DataFrame, column: str, accuracy: int = 10_000, most: int = 100_000) -> DataFrame:
     """Exact median in one row, without one task holding all values.
 
-    A quantile sketch brackets the middle ranks. The bracket is narrowed, each round to about
-    16 / accuracy of its ranks, until it holds at most ``most`` distinct values; only those are
-    then counted and ordered. The driver sees one row of figures per round.
+    A quantile sketch brackets the middle ranks. Values equal to an end of the bracket are counted, so a rank that falls
+    on one is known; else the search goes on strictly between the ends, each round on about 16 / accuracy of the ranks
+    that are left, until at most ``most`` distinct values remain to be counted and ordered. The driver sees one row of
+    figures per round.
     """
     spark = df.sparkSession
     data = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
-    # Eight times the rank error of the sketch, so the middle ranks are always inside.
-    reach = 8.0 / accuracy
-
-    def bracket(part: DataFrame, share: float):
-        ends = [max(0.0, share - reach), min(1.0, share + reach)]
-        row = part.agg(F.count("*").alias("n"), F.percentile_approx("x", ends, F.lit(accuracy)).alias("q")).first()
-        return row["n"], row["q"]
-
-    total, ends = bracket(data, 0.5)
+    total = data.count()
     if not total:
         return spark.createDataFrame([(None,)], "mediana DOUBLE")
-    low, high = (total + 1) // 2, (total + 2) // 2
-    while True:
-        inside = F.col("x").between(*ends)
-        figures = data.agg(
-            F.count_if(F.col("x") < ends[0]).alias("abaixo"),
-            F.count_if(inside).alias("dentro"),
-            F.approx_count_distinct(F.when(inside, F.col("x"))).alias("valores"),
+    ranks = sorted({(total + 1) // 2, (total + 2) // 2})
+    known: dict[int, float] = {}
+    # Eight times the rank error of the sketch, so the middle ranks are always inside.
+    reach, below, left = 8.0 / accuracy, 0, total
+    while len(known) < len(ranks):
+        open_ranks = [r for r in ranks if r not in known]
+        shares = [max(0.0, (open_ranks[0] - below) / left - reach), min(1.0, (open_ranks[-1] - below) / left + reach)]
+        low, high = data.agg(F.percentile_approx("x", shares, F.lit(accuracy)).alias("q")).first()["q"]
+        x = F.col("x")
+        between = (x > low) & (x < high)
+        seen = data.agg(
+            F.count_if(x < low).alias("under"), F.count_if(x == low).alias("at_low"), F.count_if(between).alias("inside"),
+            F.count_if(x == high).alias("at_high"), F.approx_count_distinct(F.when(between, x)).alias("values"),
         ).first()
-        if figures["valores"] <= most:
-            break
-        middle = ((low + high) / 2 - figures["abaixo"]) / figures["dentro"]
-        narrower = bracket(data.where(inside), middle)[1]
-        if narrower == ends:
-            break
-        ends = narrower
-
-    counted = data.where(inside).groupBy("x").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)) + figures["abaixo"]
-    placed = counted.select("x", "n", upto.alias("ate"))
-
-    def value_at(rank: int) -> Column:
-        return F.max(F.when((F.col("ate") - F.col("n") < rank) & (F.col("ate") >= rank), F.col("x")))
-
-    return placed.agg(((value_at(low) + value_at(high)) / 2.0).alias("mediana"))
+        ends = below + seen["under"], below + seen["under"] + seen["at_low"]
+        for rank in open_ranks:
+            if ends[0] < rank <= ends[1]:
+                known[rank] = low
+            elif low < high and ends[1] + seen["inside"] < rank <= ends[1] + seen["inside"] + seen["at_high"]:
+                known[rank] = high
+        data, below, left = data.where(between), ends[1], seen["inside"]
+        if len(known) < len(ranks) and seen["values"] <= most:
+            upto = F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)) + below
+            placed = data.groupBy("x").agg(F.count("*").alias("n")).select("x", "n", upto.alias("ate"))
+            rest = [r for r in ranks if r not in known]
+            row = placed.agg(*(
+                F.max(F.when((F.col("ate") - F.col("n") < r) & (F.col("ate") >= r), F.col("x"))) for r in rest
+            )).first()
+            known.update(zip(rest, row, strict=True))
+    middle = (known[ranks[0]] + known[ranks[-1]]) / 2.0
+    return spark.createDataFrame([(middle,)], "mediana DOUBLE")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -188,5 +188,5 @@ def ordered_head(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: Sequence[str], seed: int, rows: int) -> DataFrame:
-    """A repeatable sample: the rows whose seeded key hash is smallest."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(rows)
+    """A repeatable sample: the rows whose seeded key digest is smallest, in any engine that has MD5."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *key)), *key).limit(rows)

@@ -1,9 +1,8 @@
-"""Top and bottom lists. Each list is a bounded take-ordered, never a full sort."""
+"""Top and bottom lists. The input is read once for all lists, and every task passes on the head of a list only."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,19 +16,18 @@ def ranked_lists(
     ``lists`` holds (name, column, ascending). Rows with a null in the column are left out and
     ties are broken by the key.
     """
-    parts = []
-    for name, column, ascending in lists:
-        score = F.col(column) if ascending else -F.col(column)
-        parts.append(
-            df.where(F.col(column).isNotNull())
-            .withColumn("__ordem", score)
-            .orderBy("__ordem", key)
-            .limit(size)
-            .withColumn("lista", F.lit(name))
+    entries = F.array(*(
+        F.struct(
+            F.lit(name).alias("lista"), (F.col(column) if ascending else -F.col(column)).cast("double").alias("ordem")
         )
-    union = reduce(DataFrame.unionByName, parts)
-    window = Window.partitionBy("lista").orderBy("__ordem", key)
-    return union.withColumn("posicao", F.row_number().over(window)).drop("__ordem")
+        for name, column, ascending in lists
+    ))
+    window = Window.partitionBy("__lista.lista").orderBy("__lista.ordem", key)
+    return (
+        df.withColumn("__lista", F.explode(entries)).where(F.col("__lista.ordem").isNotNull())
+        .withColumn("posicao", F.row_number().over(window)).where(F.col("posicao") <= size)
+        .select(*df.columns, F.col("__lista.lista").alias("lista"), "posicao")
+    )
 
 
 def best_and_worst(df: DataFrame, value: str, key: str, size: int) -> DataFrame:

@@ -29,46 +29,34 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 _HASH = "__hash"
-MOST_HASHES = 1_000_000  # 16 MB when broadcast
 
 
-def repeated_hashes(df: DataFrame, keys: Sequence[str], most: int = MOST_HASHES) -> tuple[DataFrame, int]:
-    """Key hashes that occur more than once, stored, and their number counted up to ``most`` + 1.
+def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key hashes that occur more than once, stored. A key whose hash is not among them is certainly unique.
 
-    Only hashes are shuffled. A key whose hash is not among them is certainly unique.
+    Only hashes are shuffled. The stored table carries its size, so Catalyst broadcasts it where it is small.
     """
     counted = df.select(F.xxhash64(*keys).alias(_HASH)).groupBy(_HASH).agg(F.count("*").alias("__n"))
-    repeated = stored(counted.where(F.col("__n") > 1).select(_HASH), "chaves-repetidas")
-    return repeated, repeated.limit(most + 1).count()
+    return stored(counted.where(F.col("__n") > 1).select(_HASH), "chaves-repetidas")
 
 
-def keep_last_of_few(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], most: int = MOST_HASHES
-) -> DataFrame:
+def keep_last_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``keep_last`` for a large table in which repeated keys are expected to be rare.
 
-    Rows whose key hash is unique pass through without a shuffle or a sort; only the rest is
-    ranked, by its exact keys, so a hash collision changes nothing. With more than ``most``
-    repeated hashes, too many to broadcast, the whole table is ranked.
+    Rows whose key hash is unique pass through unranked; the rest is ranked by its exact keys, so a hash collision
+    changes nothing.
     """
-    repeated, found = repeated_hashes(df, keys, most)
-    if found == 0:
-        return df
-    if found > most:
-        return keep_last(df, keys, order)
+    repeated = repeated_hashes(df, keys)
     hashed = df.withColumn(_HASH, F.xxhash64(*keys))
-    single = hashed.join(F.broadcast(repeated), _HASH, "left_anti").drop(_HASH)
-    several = hashed.join(F.broadcast(repeated), _HASH, "left_semi").drop(_HASH)
+    single = hashed.join(repeated, _HASH, "left_anti").drop(_HASH)
+    several = hashed.join(repeated, _HASH, "left_semi").drop(_HASH)
     return single.unionByName(keep_last(several, keys, order))
 
 
-def count_removed_of_few(df: DataFrame, keys: Sequence[str], most: int = MOST_HASHES) -> DataFrame:
+def count_removed_of_few(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``count_removed`` for a large table in which repeated keys are expected to be rare."""
-    repeated, found = repeated_hashes(df, keys, most)
-    if found > most:
-        return count_removed(df, keys)
     hashed = df.select(*(F.col(f"`{k}`") for k in keys), F.xxhash64(*keys).alias(_HASH))
-    return count_removed(hashed.join(F.broadcast(repeated), _HASH, "left_semi"), keys)
+    return count_removed(hashed.join(repeated_hashes(df, [f"`{k}`" for k in keys]), _HASH, "left_semi"), keys)
 
 
 def latest_vintage(

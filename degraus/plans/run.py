@@ -8,18 +8,19 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from degraus.functions import try_cast_columns
 from degraus.plans import gold as g
 from degraus.plans import silver as s
 from degraus.quality.layers import Verdict, validate_layer
 from degraus.session import at_once
 from degraus.sources.alerts import now_text, raise_alert
-from degraus.sources.csv import read_csv
-from degraus.sources.external import first_available, read_warehouse
-from degraus.sources.tables import Layer
+from degraus.sources.csv import ORIGIN, arrival, read_csv
+from degraus.sources.external import SourceError, first_available, read_warehouse
+from degraus.sources.tables import Layer, path_exists
 from degraus.spec import GOLD_PARTITIONS, RULES, SILVER_PARTITIONS, SOURCES, SourceTable
 
 
@@ -66,31 +67,51 @@ def _from_warehouse(lake: Lake, source: SourceTable, years):
         option = options.pop("table_option", "table")
         table = f"{project}.{source.warehouse}" if project else source.warehouse
         wanted = years if "ano" in source.partitions else None
-        return read_warehouse(lake.spark, connector, table, wanted, option=option, options=options)
+        try:
+            df = read_warehouse(lake.spark, connector, table, wanted, option=option, options=options)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise FileNotFoundError(table) from error
+            raise
+        # Typed and numbered like rows of a file, so Silver does not see where they came from.
+        return try_cast_columns(df, source.types).withColumn(ORIGIN, arrival(F.lit(table), F.lit(0)))
 
     return attempt
 
 
 def _ingest(lake: Lake, name: str, years: Sequence[int] | None) -> dict:
-    """Store a source table from the warehouse; if that cannot be opened or read, from its CSV file."""
+    """Store a source table from the warehouse; if that cannot be opened or read, from its CSV file.
+
+    Only a source that does not exist is absent; one that exists and fails is an error, of an optional table too.
+    """
     source = SOURCES[name]
     path = f"{lake.raw.rstrip('/')}/{source.file}"
-    openers = {
-        "warehouse": _from_warehouse(lake, source, years),
-        "raw": lambda: read_csv(lake.spark, path, source.types, years),
-    }
+
+    def from_file() -> DataFrame:
+        if not path_exists(lake.spark, path):
+            raise FileNotFoundError(path)
+        return read_csv(lake.spark, path, source.types, years, utf8=source.utf8, multiline=source.multiline)
+
+    def failed(tag: str, error: Exception) -> None:
+        lake.alert("WARNING", f"bronze.{name}", f"Fonte não lida: {error}", {"fonte": tag})
+
+    openers = {"warehouse": _from_warehouse(lake, source, years), "raw": from_file}
 
     def store(opener: Callable[[], DataFrame]) -> None:
         lake.bronze.write(opener(), name, source.partitions)
 
     try:
-        _, origin = first_available(*((tag, partial(store, opener)) for tag, opener in openers.items()))
+        steps = ((tag, partial(store, opener)) for tag, opener in openers.items())
+        _, origin = first_available(*steps, on_failure=failed)
         return {"status": "sucesso", "fonte": origin}
     except FileNotFoundError as error:
         if not source.mandatory:
             return {"status": "ausente_na_bronze"}
         lake.alert("ERROR", f"bronze.{name}", f"Falha na ingestão: {error}", {"obrigatoria": True})
         return {"status": "erro", "erro": str(error)}
+    except SourceError as error:
+        lake.alert("ERROR", f"bronze.{name}", f"Falha na ingestão: {error}", {"obrigatoria": source.mandatory})
+        return {"status": "erro", "erro": str(error)}
 
 
 def ingest_bronze(lake: Lake, years: Sequence[int] | None = None) -> dict[str, dict]:
@@ -143,14 +164,19 @@ def build_silver(lake: Lake, years: Sequence[int] | None = None, stamp: str | No
     if absent:
         results["alfabetizacao_integrado"] = {"status": "pulado", "motivo": f"ausentes: {absent}"}
         return results
-    integrated = s.integrate(
-        lake.silver.read("indicador_municipio").drop("dt_processamento"),
-        lake.silver.read("diretorio_municipio"),
-        lake.silver.read("meta_municipio"),
-        lake.silver.read("idhm_municipio") if "idhm_municipio" in stored else None,
-    )
-    lake.silver.write(stamped(integrated, stamp), "alfabetizacao_integrado", SILVER_PARTITIONS["alfabetizacao_integrado"])
-    results["alfabetizacao_integrado"] = {"status": "sucesso"}
+    name = "alfabetizacao_integrado"
+    try:
+        integrated = s.integrate(
+            lake.silver.read("indicador_municipio").drop("dt_processamento"),
+            lake.silver.read("diretorio_municipio"),
+            lake.silver.read("meta_municipio"),
+            lake.silver.read("idhm_municipio") if "idhm_municipio" in stored else None,
+        )
+        lake.silver.write(stamped(integrated, stamp), name, SILVER_PARTITIONS[name])
+        results[name] = {"status": "sucesso"}
+    except PySparkException as error:
+        lake.alert("ERROR", f"silver.{name}", f"Falha na integração: {error}")
+        results[name] = {"status": "erro", "erro": str(error)}
     return results
 
 

@@ -25,7 +25,7 @@ from degraus.functions import (
 from degraus.operators.reshape import targets_in_force
 from degraus.operators.selection import keep_last, keep_last_of_few, pick_network_with_scope
 from degraus.sources.csv import ORIGIN
-from degraus.spec import CITY_TARGET_SCOPE, HDI_YEAR
+from degraus.spec import CITY_TARGET_SCOPE, EVENT_TYPES, HDI_YEAR, TOPIC_INDICATORS, TOPIC_TARGETS
 
 Order = Sequence[str]
 BY_ORIGIN: Order = (ORIGIN,)
@@ -135,45 +135,45 @@ def outside_unit_interval(df: DataFrame, columns: Sequence[str] = tuple(HDI_COLU
     return df.agg(F.count_if(any_flag).alias("fora_do_dominio"))
 
 
-def students(
-    df: DataFrame, years: Sequence[int] | None = None, order: Order = BY_ORIGIN, rare_duplicates: bool = True
-) -> DataFrame:
-    """silver.alunos: microdata, missing scores stay missing.
-
-    Behind the Bronze gate, which has found the key unique, the only rows left to remove are those
-    whose keys meet by trimming. Pass ``rare_duplicates=False`` for data with many repeated keys.
-    """
+def students(df: DataFrame, years: Sequence[int] | None = None, order: Order = BY_ORIGIN) -> DataFrame:
+    """silver.alunos: microdata, missing scores stay missing."""
     df = _only_years(normalise_columns(df), years)
     df = try_cast_columns(df, {"ano": "int", "id_municipio": "string", "rede": "tinyint"})
     df = df.withColumn("id_municipio", F.trim("id_municipio")).withColumn("rede_label", code_label(F.col("rede")))
     flags = ("presenca", "preenchimento_caderno", "alfabetizado")
     df = df.withColumns({c: as_boolean(F.col(c)) for c in flags if c in df.columns})
-    keep = keep_last_of_few if rare_duplicates else keep_last
-    return keep(df, ["ano", "id_municipio", "id_escola", "id_aluno"], order).drop(ORIGIN)
+    return keep_last_of_few(df, ["ano", "id_municipio", "id_escola", "id_aluno"], order).drop(ORIGIN)
+
+
+STREAM_ORDER: Order = ("recebido_em", "fluxo", "lote", "linha")
+STREAM_COLUMNS = ("recebido_em", "fluxo", "lote", "linha", "data", "valor")
 
 
-STREAM_ORDER: Order = ("fluxo", "lote", "linha")
+def typed_events(df: DataFrame, topic: str) -> DataFrame:
+    """The texts of stored events as numbers and flags."""
+    df = try_cast_columns(normalise_columns(df), EVENT_TYPES[topic])
+    return df.withColumn("revisao", as_boolean(F.col("revisao"))) if "revisao" in df.columns else df
 
 
-def _event_table(df: DataFrame, entity: str, order: Order) -> DataFrame:
-    df = try_cast_columns(normalise_columns(df), {"ano": "int", entity: "string"})
+def _event_table(df: DataFrame, topic: str, entity: str, order: Order) -> DataFrame:
+    df = typed_events(df, topic)
     if "id_municipio" in df.columns:
         df = df.withColumn("id_municipio", F.trim("id_municipio"))
     df = df.withColumns({
         "sigla_uf": F.upper(F.trim("sigla_uf")),
         "timestamp": parse_event_time(F.col("timestamp")),
     })
-    return keep_last(df, [entity, "ano", "timestamp"], order).drop("fluxo", "lote", "linha", "data")
+    return keep_last(df, [entity, "ano", "timestamp"], order).drop(*STREAM_COLUMNS)
 
 
 def indicator_events(df: DataFrame, order: Order = STREAM_ORDER) -> DataFrame:
     """silver.indicador_streaming, kept apart from the official results."""
-    return _event_table(df, "id_municipio", order)
+    return _event_table(df, TOPIC_INDICATORS, "id_municipio", order)
 
 
 def target_events(df: DataFrame, order: Order = STREAM_ORDER) -> DataFrame:
     """silver.meta_streaming"""
-    return _event_table(df, "sigla_uf", order)
+    return _event_table(df, TOPIC_TARGETS, "sigla_uf", order)
 
 
 def with_hdi(df: DataFrame, hdi: DataFrame | None, vintage: int = HDI_YEAR) -> DataFrame:

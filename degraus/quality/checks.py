@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from degraus.functions import out_of_range, round_even
+from degraus.functions import decimal_comma, out_of_range, round_even
 from degraus.operators.lookups import orphan_keys, outside_domain
 from degraus.operators.selection import count_removed, count_removed_of_few
 from degraus.spec import Rule
@@ -67,13 +67,14 @@ def column_checks(
         if column not in df.columns:
             continue
         text = F.col(column).cast("string")
-        number = F.nanvl(text.try_cast("double"), F.lit(None))
+        number = decimal_comma(text)
         aggs.append(F.count_if(out_of_range(number, low, high)).alias(f"fora_{i}"))
         aggs.append(F.count_if(text.isNotNull() & number.isNull()).alias(f"ilegivel_{i}"))
         lines.append(_line("DOMINIO_NUMERICO_INVALIDO", column, medida=F.col(f"fora_{i}"), minimo=low, maximo=high,
                            limite=0.0, falhou=F.col(f"fora_{i}") > 0))
-        # Text that is no number passes the range test; it is reported by itself.
-        lines.append(_line("VALOR_ILEGIVEL", column, medida=F.col(f"ilegivel_{i}"), limite=0.0, falhou=False))
+        # Text that is no number cannot be in the range.
+        lines.append(_line("VALOR_ILEGIVEL", column, medida=F.col(f"ilegivel_{i}"), limite=0.0,
+                           falhou=F.col(f"ilegivel_{i}") > 0))
     if not lines:
         return df.agg(*aggs).select("registros", F.inline(F.array(_line("REGISTROS", "", falhou=False)))).limit(0)
     return _lines(df.agg(*aggs), lines)
@@ -136,6 +137,7 @@ def described(report: DataFrame) -> DataFrame:
     value = (
         F.when(F.col("tipo") == "NULOS_ACIMA_LIMITE",
                F.concat(measured, F.lit(" ("), F.col("pct").cast("string"), F.lit("%)")))
+        .when(F.col("tipo") == "VALOR_ILEGIVEL", F.concat(measured, F.lit(" valores que não são números")))
         .when(F.col("tipo") == "DUPLICATAS", F.concat(measured, F.lit(" registros duplicados")))
         .when(F.col("tipo") == "DOMINIO_NUMERICO_INVALIDO", F.concat(measured, F.lit(" registros fora de "), span))
         .when(F.col("tipo") == "INTEGRIDADE_REFERENCIAL",

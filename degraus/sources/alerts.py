@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
@@ -22,7 +23,7 @@ def now_text() -> str:
 def raise_alert(
     spark: SparkSession, log: str, level: str, origin: str, message: str, context: Mapping | None = None
 ) -> dict:
-    """Append one alert; the context is kept as JSON text."""
+    """Append one alert in a folder of its own, so steps that fail at once do not meet; the context is JSON text."""
     alert = {
         "timestamp": now_text(),
         "nivel": level.upper(),
@@ -30,14 +31,15 @@ def raise_alert(
         "mensagem": message,
         "contexto": json.dumps(dict(context or {}), ensure_ascii=False, default=str),
     }
-    spark.createDataFrame([tuple(alert.values())], ALERT_SCHEMA).coalesce(1).write.mode("append").json(log)
+    spark.createDataFrame([tuple(alert.values())], ALERT_SCHEMA).coalesce(1).write.json(
+        f"{log.rstrip('/')}/{uuid.uuid4().hex}")
     return alert
 
 
 def read_alerts(spark: SparkSession, log: str, since: datetime | None = None) -> DataFrame:
     """All alerts, or those not older than ``since``; an absent log is empty."""
     try:
-        alerts = spark.read.schema(ALERT_SCHEMA).json(log)
+        alerts = spark.read.schema(ALERT_SCHEMA).option("recursiveFileLookup", True).json(log)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

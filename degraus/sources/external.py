@@ -3,7 +3,7 @@ class path; the calls only declare the source."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +40,25 @@ def read_broker(spark: SparkSession, servers: str, topics: Sequence[str], per_ba
     return reader.load().select(F.col("topic").alias("topico"), F.col("value").cast("string").alias("valor"))
 
 
-def first_available(*attempts):
-    """Try steps in order: ``(tag, callable)``. Returns (result, tag) of the first that works."""
-    failures = []
+class SourceError(Exception):
+    """No source of a table could be read, though one is there."""
+
+
+def first_available(*attempts, on_failure: Callable[[str, Exception], None] = lambda tag, error: None):
+    """Try steps in order: ``(tag, callable)``. Returns (result, tag) of the first that works.
+
+    A step whose source does not exist raises ``FileNotFoundError``. If none works, the error is that only when no
+    source exists; otherwise it is a ``SourceError``. ``on_failure`` hears of every source that exists but fails.
+    """
+    failures, broken = [], False
     for tag, attempt in attempts:
         try:
             return attempt(), tag
-        except Exception as error:  # any connector error means: next source
+        except FileNotFoundError as error:
+            failures.append(f"{tag}: {error}")
+        except Exception as error:  # connectors raise errors of their own
             failures.append(f"{tag}: {error}")
-    raise FileNotFoundError("no source could be read: " + " | ".join(failures))
+            broken = True
+            on_failure(tag, error)
+    text = "no source could be read: " + " | ".join(failures)
+    raise SourceError(text) if broken else FileNotFoundError(text)

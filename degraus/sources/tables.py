@@ -33,7 +33,8 @@ def read_table(
     spark: SparkSession, path: str, filters: Mapping[str, object] | None = None, schema: str | None = None
 ) -> DataFrame:
     """Scan a stored table. Filters on partition columns prune folders, others are pushed down."""
-    reader = spark.read.schema(schema) if schema else spark.read
+    # Partitions written by other runs may have further columns; where one lacks a column it is null.
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     df = reader.parquet(path)
     for column, value in (filters or {}).items():
         if column in df.columns:
@@ -41,6 +42,12 @@ def read_table(
     return df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_if_present(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """The table, or None when nothing is stored there."""
     try:

@@ -48,7 +48,7 @@ PROFICIENCY_BINS = (560, 920, 20)
 
 TARGET_PREFIX = "meta_alfabetizacao_"
 
-# Federation units.
+# Federation units, by code.
 STATES = [
     "AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO",
     "MA", "MG", "MS", "MT", "PA", "PB", "PE", "PI", "PR",
@@ -74,16 +74,12 @@ REQUIRED_KEYS = {
     ],
 }
 
-# Column types of the events once parsed.
-EVENT_SCHEMAS = {
-    TOPIC_INDICATORS: (
-        "evento STRING, timestamp STRING, id_municipio STRING, sigla_uf STRING, ano INT, "
-        "indicador_alfabetizacao DOUBLE, total_alunos_avaliados INT, ponto_corte_saeb INT, fonte STRING"
-    ),
-    TOPIC_TARGETS: (
-        "evento STRING, timestamp STRING, sigla_uf STRING, ano INT, meta_percentual DOUBLE, "
-        "revisao BOOLEAN, fonte STRING"
-    ),
+# Types of event values in Silver; Bronze keeps them as text.
+EVENT_TYPES = {
+    TOPIC_INDICATORS: {
+        "ano": "int", "indicador_alfabetizacao": "double", "total_alunos_avaliados": "int", "ponto_corte_saeb": "int",
+    },
+    TOPIC_TARGETS: {"ano": "int", "meta_percentual": "double"},
 }
 EVENT_TABLES = {TOPIC_INDICATORS: "streaming_indicadores", TOPIC_TARGETS: "streaming_metas"}
 REJECTED_TABLE = "streaming_rejeitados"
@@ -94,13 +90,18 @@ REJECTED_TABLE = "streaming_rejeitados"
 @dataclass(frozen=True)
 class SourceTable:
     """Where a Bronze table comes from; ``types`` lists columns that are not text. A name that ends
-    in ``*`` stands for all columns with that beginning, such as a target column per year."""
+    in ``*`` stands for all columns with that beginning, such as a target column per year.
+
+    ``utf8`` states the encoding where it is known and spares the check of the whole file; ``multiline`` reads quoted
+    line breaks, at the price of one task per file."""
 
     file: str
     warehouse: str | None
     types: dict[str, str] = field(default_factory=dict)
     partitions: tuple[str, ...] = ()
     mandatory: bool = True
+    utf8: bool | None = None
+    multiline: bool = False
 
 
 _RESULT = {
@@ -126,8 +127,8 @@ SOURCES = {
         {**_TARGET, "nivel_alfabetizacao": "int"}, ("ano",)),
     "alunos": SourceTable(
         f"{_DATASET}_alunos.csv", f"{_DATASET}.alunos",
-        {"ano": "int", "rede": "int", "presenca": "int", "preenchimento_caderno": "int",
-         "alfabetizado": "int", "proficiencia": "double", "peso_aluno": "double"}, ("ano",)),
+        {"ano": "int", "rede": "int", "presenca": "flag", "preenchimento_caderno": "flag",
+         "alfabetizado": "flag", "proficiencia": "double", "peso_aluno": "double"}, ("ano",)),
     "diretorio_municipio": SourceTable(
         f"{_DIRECTORY}_municipio.csv", f"{_DIRECTORY}.municipio",
         {"amazonia_legal": "int", "capital_uf": "int"}),
@@ -175,64 +176,64 @@ class Rule:
     domains: dict[str, list[str]] = field(default_factory=dict)
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     mandatory: bool = True
-    # Many rows, and repeated keys are rare: look for them on key hashes first.
+    # Many wide rows: look for repeated keys on their hashes first.
     large: bool = False
 
 
 def _rule(keys, required, max_null_pct, *, state=True, **kw) -> Rule:
     domains = {"sigla_uf": STATES} if state else {}
-    return Rule(tuple(keys.split()), tuple(required.split()), max_null_pct, domains=domains, **kw)
+    return Rule(keys, required, max_null_pct, domains=domains, **kw)
 
 
 # Keys, required columns and highest share of nulls (percent) per table.
 RULES: dict[str, dict[str, Rule]] = {
     "bronze": {
-        "indicador_municipio": _rule("ano id_municipio serie rede", "ano id_municipio rede taxa_alfabetizacao", 40.0),
-        "indicador_uf": _rule("ano sigla_uf serie rede", "ano sigla_uf rede taxa_alfabetizacao", 40.0),
-        "meta_brasil": _rule("ano rede", "ano rede", 5.0),
-        "meta_uf": _rule("ano sigla_uf rede", "ano sigla_uf rede", 15.0),
-        "meta_municipio": _rule("ano id_municipio rede", "ano id_municipio rede", 5.0),
-        "alunos": _rule("ano id_municipio id_escola id_aluno", "ano id_municipio id_aluno alfabetizado", 10.0, large=True),
-        "diretorio_municipio": _rule("id_municipio", "id_municipio nome sigla_uf", 15.0),
-        "diretorio_uf": _rule("sigla", "sigla nome regiao", 0.0),
+        "indicador_municipio": _rule(("ano", "id_municipio", "serie", "rede"), ("ano", "id_municipio", "rede", "taxa_alfabetizacao"), 40.0),
+        "indicador_uf": _rule(("ano", "sigla_uf", "serie", "rede"), ("ano", "sigla_uf", "rede", "taxa_alfabetizacao"), 40.0),
+        "meta_brasil": _rule(("ano", "rede"), ("ano", "rede"), 5.0),
+        "meta_uf": _rule(("ano", "sigla_uf", "rede"), ("ano", "sigla_uf", "rede"), 15.0),
+        "meta_municipio": _rule(("ano", "id_municipio", "rede"), ("ano", "id_municipio", "rede"), 5.0),
+        "alunos": _rule(("ano", "id_municipio", "id_escola", "id_aluno"), ("ano", "id_municipio", "id_aluno", "alfabetizado"), 10.0, large=True),
+        "diretorio_municipio": _rule(("id_municipio",), ("id_municipio", "nome", "sigla_uf"), 15.0),
+        "diretorio_uf": _rule(("sigla",), ("sigla", "nome", "regiao"), 0.0),
         "streaming_indicadores": _rule(
-            "id_municipio ano timestamp", "id_municipio sigla_uf ano indicador_alfabetizacao", 0.0, mandatory=False),
+            ("id_municipio", "ano", "timestamp"), ("id_municipio", "sigla_uf", "ano", "indicador_alfabetizacao"), 0.0, mandatory=False),
         "streaming_metas": _rule(
-            "sigla_uf ano timestamp", "sigla_uf ano meta_percentual", 0.0, mandatory=False),
+            ("sigla_uf", "ano", "timestamp"), ("sigla_uf", "ano", "meta_percentual"), 0.0, mandatory=False),
         "idhm_municipio": _rule(
-            "ANO Codmun7", "ANO Codmun7 IDHM", 0.0, mandatory=False,
+            ("ANO", "Codmun7"), ("ANO", "Codmun7", "IDHM"), 0.0, mandatory=False,
             ranges={c: (0.0, 1.0) for c in ("IDHM", "IDHM_E", "IDHM_L", "IDHM_R")}),
     },
     "silver": {
         "indicador_municipio": _rule(
-            "ano id_municipio serie rede", "ano id_municipio rede_label taxa_alfabetizacao", 40.0),
-        "indicador_uf": _rule("ano sigla_uf serie rede", "ano sigla_uf rede_label taxa_alfabetizacao", 40.0),
-        "indicador_brasil": _rule("ano", "ano taxa_alfabetizacao", 0.0),
-        "meta_brasil": _rule("ano_meta", "ano_meta valor_meta", 0.0),
-        "meta_uf": _rule("sigla_uf ano_meta", "sigla_uf ano_meta valor_meta", 0.0),
-        "meta_municipio": _rule("id_municipio ano_meta", "id_municipio ano_meta valor_meta", 0.0),
-        "diretorio_municipio": _rule("id_municipio", "id_municipio nome_municipio sigla_uf", 5.0),
-        "diretorio_uf": _rule("sigla_uf", "sigla_uf nome_uf regiao", 0.0),
-        "alunos": _rule("ano id_municipio id_escola id_aluno", "ano id_municipio id_aluno", 10.0, large=True),
+            ("ano", "id_municipio", "serie", "rede"), ("ano", "id_municipio", "rede_label", "taxa_alfabetizacao"), 40.0),
+        "indicador_uf": _rule(("ano", "sigla_uf", "serie", "rede"), ("ano", "sigla_uf", "rede_label", "taxa_alfabetizacao"), 40.0),
+        "indicador_brasil": _rule(("ano",), ("ano", "taxa_alfabetizacao"), 0.0),
+        "meta_brasil": _rule(("ano_meta",), ("ano_meta", "valor_meta"), 0.0),
+        "meta_uf": _rule(("sigla_uf", "ano_meta"), ("sigla_uf", "ano_meta", "valor_meta"), 0.0),
+        "meta_municipio": _rule(("id_municipio", "ano_meta"), ("id_municipio", "ano_meta", "valor_meta"), 0.0),
+        "diretorio_municipio": _rule(("id_municipio",), ("id_municipio", "nome_municipio", "sigla_uf"), 5.0),
+        "diretorio_uf": _rule(("sigla_uf",), ("sigla_uf", "nome_uf", "regiao"), 0.0),
+        "alunos": _rule(("ano", "id_municipio", "id_escola", "id_aluno"), ("ano", "id_municipio", "id_aluno"), 10.0, large=True),
         "alfabetizacao_integrado": _rule(
-            "ano id_municipio", "ano id_municipio sigla_uf taxa_alfabetizacao", 40.0,
+            ("ano", "id_municipio"), ("ano", "id_municipio", "sigla_uf", "taxa_alfabetizacao"), 40.0,
             references={"sigla_uf": ("diretorio_uf", "sigla_uf")},
             ranges={"taxa_alfabetizacao": (0.0, 100.0)}),
         "indicador_streaming": _rule(
-            "id_municipio ano timestamp", "id_municipio sigla_uf ano indicador_alfabetizacao", 0.0, mandatory=False),
-        "meta_streaming": _rule("sigla_uf ano timestamp", "sigla_uf ano meta_percentual", 0.0, mandatory=False),
+            ("id_municipio", "ano", "timestamp"), ("id_municipio", "sigla_uf", "ano", "indicador_alfabetizacao"), 0.0, mandatory=False),
+        "meta_streaming": _rule(("sigla_uf", "ano", "timestamp"), ("sigla_uf", "ano", "meta_percentual"), 0.0, mandatory=False),
         "idhm_municipio": _rule(
-            "ano id_municipio", "ano id_municipio idhm", 0.0, mandatory=False,
+            ("ano", "id_municipio"), ("ano", "id_municipio", "idhm"), 0.0, mandatory=False,
             ranges={c: (0.0, 1.0) for c in ("idhm", "idhm_educacao", "idhm_longevidade", "idhm_renda")}),
     },
     "gold": {
         "indicador_alfabetizacao_municipio": _rule(
-            "ano id_municipio", "ano id_municipio sigla_uf taxa_alfabetizacao", 40.0,
+            ("ano", "id_municipio"), ("ano", "id_municipio", "sigla_uf", "taxa_alfabetizacao"), 40.0,
             ranges={"taxa_alfabetizacao": (0.0, 100.0)}),
         "comparacao_metas_resultados": _rule(
-            "ano sigla_uf", "ano sigla_uf taxa_alfabetizacao meta_alfabetizacao", 0.0),
-        "evolucao_temporal": _rule("nivel referencia ano", "nivel referencia ano indicador", 0.0),
+            ("ano", "sigla_uf"), ("ano", "sigla_uf", "taxa_alfabetizacao", "meta_alfabetizacao"), 0.0),
+        "evolucao_temporal": _rule(("nivel", "referencia", "ano"), ("nivel", "referencia", "ano", "indicador"), 0.0),
         "monitoramento_streaming": _rule(
-            "topico", "topico total_eventos cobertura_distinta", 0.0, mandatory=False),
+            ("topico",), ("topico", "total_eventos", "cobertura_distinta"), 0.0, mandatory=False),
     },
 }

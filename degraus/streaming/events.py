@@ -4,8 +4,12 @@ A stream is a DataFrame with ``topico`` and ``valor`` (JSON text). An event is v
 its topic requires are present, even with a null value. Valid events go to one table per topic,
 the others to a table that keeps the text and the reason.
 
-Batches are written under (data, fluxo, lote), so a batch replayed after a failure replaces its
-own rows instead of adding them again. The name of a stream must therefore be its own.
+A stored event keeps its text (``valor``) next to the required keys, which stay text as well: numbers written as
+text, other number formats and keys nobody asked for are not lost, and Silver does the casts.
+
+Valid events are written under (data, fluxo, lote) by the day of the event, rejected ones under (fluxo, lote), so a batch
+replayed after a failure replaces its own rows, whenever it runs. The name of a stream must therefore be its own.
+``recebido_em``, the time of the batch, tells which of two streams brought an event later.
 """
 
 from __future__ import annotations
@@ -17,8 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from degraus.sources.alerts import raise_alert
-from degraus.spec import EVENT_SCHEMAS, EVENT_TABLES, REJECTED_TABLE, REQUIRED_KEYS
+from degraus.sources.alerts import now_text, raise_alert
+from degraus.spec import EVENT_TABLES, REJECTED_TABLE, REQUIRED_KEYS
 
 
 def missing_keys(topic: Column, value: Column, required: Mapping[str, Sequence[str]] = REQUIRED_KEYS) -> Column:
@@ -36,10 +40,12 @@ def check_events(events: DataFrame, required: Mapping[str, Sequence[str]] = REQU
     return events.withColumn("campos_ausentes", missing_keys(F.col("topico"), F.col("valor"), required))
 
 
-def valid_events(checked: DataFrame, topic: str, schema: str | None = None) -> DataFrame:
-    """Parsed valid events of a topic; further columns of the stream (lote, linha) are kept."""
-    parsed = F.from_json("valor", schema or EVENT_SCHEMAS[topic])
-    extra = [c for c in checked.columns if c not in ("topico", "valor", "campos_ausentes")]
+def valid_events(
+    checked: DataFrame, topic: str, required: Mapping[str, Sequence[str]] = REQUIRED_KEYS
+) -> DataFrame:
+    """Valid events of a topic: required keys as text, and all columns of the stream, ``valor`` too."""
+    parsed = F.from_json("valor", ", ".join(f"`{key}` STRING" for key in required[topic]))
+    extra = [c for c in checked.columns if c not in ("topico", "campos_ausentes")]
     return (
         checked.where((F.col("topico") == topic) & (F.size("campos_ausentes") == 0))
         .select(parsed.alias("evento"), *extra)
@@ -78,9 +84,6 @@ def read_event_files(spark: SparkSession, folders: Mapping[str, str], files_per_
     return stream
 
 
-ROWS_PER_FILE = 500_000
-
-
 @dataclass
 class StreamTotals:
     """What a run has stored and rejected so far."""
@@ -96,21 +99,18 @@ def start_ingestion(
     name: str = "eventos",
     interval: str | None = None,
     required: Mapping[str, Sequence[str]] = REQUIRED_KEYS,
-    schemas: Mapping[str, str] = EVENT_SCHEMAS,
     tables: Mapping[str, str] = EVENT_TABLES,
 ) -> tuple[StreamingQuery, StreamTotals]:
     """Start the stream. Without ``interval`` it works off what is there and stops."""
     totals = StreamTotals()
 
-    def append(df: DataFrame, table: str, rows: int) -> None:
-        # A small batch becomes one file per day, not one per source partition.
-        df = df.coalesce(-(-rows // ROWS_PER_FILE))
-        day = F.to_date(F.try_to_timestamp("timestamp" if "timestamp" in df.columns else "timestamp_rejeicao"))
+    def append(df: DataFrame, table: str, *parts: str) -> None:
+        # The rebalance joins small pieces and splits large ones by their bytes.
         (
-            df.withColumn("data", day)
+            df.hint("rebalance", *parts)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("data", "fluxo", "lote")
+            .partitionBy(*parts)
             .parquet(f"{bronze.rstrip('/')}/{table}")
         )
 
@@ -120,6 +120,7 @@ def start_ingestion(
             .withColumn("linha", F.monotonically_increasing_id())
             .withColumn("fluxo", F.lit(name))
             .withColumn("lote", F.lit(batch_id).cast("bigint"))
+            .withColumn("recebido_em", F.lit(now_text()))
             .persist()
         )
         try:
@@ -127,11 +128,12 @@ def start_ingestion(
             stored = {row["topico"]: row["processados"] for row in counts}
             for topic, table in tables.items():
                 if stored.get(topic):
-                    append(valid_events(checked, topic, schemas[topic]), table, stored[topic])
+                    day = F.to_date(F.try_to_timestamp("timestamp"))
+                    append(valid_events(checked, topic, required).withColumn("data", day), table, "data", "fluxo", "lote")
             invalid = sum(row["invalidos"] for row in counts)
             if invalid:
-                stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-                append(rejected_events(checked).withColumn("timestamp_rejeicao", stamp), REJECTED_TABLE, invalid)
+                rejected = rejected_events(checked).withColumnRenamed("recebido_em", "timestamp_rejeicao")
+                append(rejected, REJECTED_TABLE, "fluxo", "lote")
             totals.processed += sum(row["processados"] for row in counts)
             totals.invalid += invalid
         finally:

@@ -343,6 +343,7 @@ ORACLE = {
                          "idhm_educacao > 1 OR idhm_longevidade < 0 OR idhm_longevidade > 1 OR idhm_renda < 0 OR idhm_renda > 1",
     "risk_band": f"SELECT o_orderkey, {_band('taxa')} AS faixa_risco FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' "
                  "THEN o_totalprice / 4800.0e0 END AS taxa FROM orders) z",
+    "sample_seeded": "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat_ws('|', '42', o_orderkey)), o_orderkey LIMIT 5",
     "sample_limit": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem "
                     "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000",
     "latest_year": "SELECT ano, ordem AS o_orderkey FROM city_raw WHERE ano = (SELECT max(ano) FROM city_raw)",
@@ -437,6 +438,7 @@ ORACLE = {
     "dq_completeness": " UNION ALL ".join(
         f"SELECT tipo, coluna, medida, pct, limite, registros, falhou FROM ({p}) p_{i}"
         for i, p in enumerate([*_STUDENT_NULLS, _missing("peso_aluno", "students")])),
+    "dq_uniqueness_large": f"SELECT tipo, coluna, medida, falhou FROM ({_dup('ano,id_escola,id_aluno', 'students')}) p",
     "dq_uniqueness": f"SELECT tipo, coluna, medida, falhou FROM ({_dup('ano,id_escola,id_aluno', 'students')}) p",
     "dq_range": f"SELECT 'DOMINIO_NUMERICO_INVALIDO' AS tipo, 'proficiencia' AS coluna, {_OUT} AS medida, CAST(580 AS DOUBLE) AS minimo, "
                 f"CAST(900 AS DOUBLE) AS maximo, count(*) AS registros, {_OUT} > 0 AS falhou FROM students UNION ALL "

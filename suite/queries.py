@@ -199,7 +199,7 @@ def headline_pick(spark, sf):
 
 @query
 def bool_cast(spark, sf):
-    silver = s.students(a.students_raw(spark, sf), order=a.STUDENT_ORDER, rare_duplicates=False)
+    silver = s.students(a.students_raw(spark, sf), order=a.STUDENT_ORDER)
     return silver.select(
         "ano", "id_municipio", "id_escola", "id_aluno", "rede_label", "presenca", "alfabetizado", "proficiencia"
     )
@@ -500,6 +500,13 @@ def dq_uniqueness(spark, sf):
     return q.uniqueness_check(a.students(spark, sf), STUDENT_RULE.keys).select("tipo", "coluna", "medida", "falhou")
 
 
+@query
+def dq_uniqueness_large(spark, sf):
+    """The way of tables with many wide rows: hashes first."""
+    report = q.uniqueness_check(a.students(spark, sf), STUDENT_RULE.keys, large=True)
+    return report.select("tipo", "coluna", "medida", "falhou")
+
+
 @query
 def dq_range(spark, sf):
     report = q.column_checks(a.students(spark, sf), ranges=STUDENT_RULE.ranges)
@@ -558,7 +565,7 @@ def _ingested(spark, sf) -> str:
 
 @query
 def stream_valid(spark, sf):
-    rows = spark.read.parquet(f"{_ingested(spark, sf)}/streaming_indicadores")
+    rows = s.typed_events(spark.read.parquet(f"{_ingested(spark, sf)}/streaming_indicadores"), TOPIC_INDICATORS)
     return rows.select(
         "evento", "timestamp", "id_municipio", "sigla_uf", "ano", "indicador_alfabetizacao",
         "total_alunos_avaliados", "ponto_corte_saeb", "fonte",

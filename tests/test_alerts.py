@@ -9,7 +9,7 @@ def test_one_json_line_with_upper_cased_level(spark, tmp_path):
     log = str(tmp_path / "alertas")
     alert = raise_alert(spark, log, "error", "teste.origem", "algo falhou", {"tabela": "x"})
     assert alert["nivel"] == "ERROR"
-    lines = [line for f in Path(log).glob("*.json") for line in f.read_text("utf-8").splitlines()]
+    lines = [line for f in Path(log).rglob("*.json") for line in f.read_text("utf-8").splitlines()]
     assert len(lines) == 1
     stored = json.loads(lines[0])
     assert (stored["origem"], stored["mensagem"]) == ("teste.origem", "algo falhou")

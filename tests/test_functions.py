@@ -84,3 +84,11 @@ def test_select_present(frame):
 def test_missing_texts(frame):
     df = frame([("NA",), ("",), ("x",), (None,)], "a STRING").select(fn.missing_to_null(F.col("a")).alias("a"))
     assert [r.a for r in df.collect()] == [None, None, "x", None]
+
+
+def test_whole_numbers_and_flags_as_text(frame):
+    df = frame([("2.0", "1.0"), ("2", "True"), ("2.5", "0"), ("x", "talvez"), (None, None)], "n STRING, f STRING")
+    got = fn.try_cast_columns(df, {"n": "int", "f": "flag"}).collect()
+    assert [(r.n, r.f) for r in got] == [(2, 1), (2, 1), (None, 0), (None, None), (None, None)]
+    flags = df.select(fn.as_boolean(F.col("f")).alias("f")).collect()
+    assert [r.f for r in flags] == [True, True, False, None, None]

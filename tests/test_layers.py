@@ -1,11 +1,14 @@
 import pytest
 from lake import FILES, write_sources
 
+from degraus.operators import lookups
 from degraus.plans import run as r
 from degraus.plans import silver, views
 from degraus.quality.layers import quality_view, validate_layer
 from degraus.sources.alerts import read_alerts
+from degraus.sources.csv import ORIGIN, read_csv
 from degraus.sources.tables import Layer
+from degraus.spec import SOURCES
 
 
 def make(spark, tmp_path, changes=None):
@@ -144,6 +147,40 @@ def test_the_warehouse_comes_first_and_falls_back_to_files(spark, frame, tmp_pat
     assert lake.bronze.read("indicador_uf").count() == 5
 
 
+def test_a_run_from_the_warehouse_publishes(spark, tmp_path, done):
+    files = make(spark, tmp_path)
+    lake = r.Lake(spark, str(tmp_path / "armazem"), str(tmp_path / "nothing"),
+                  {"connector": "parquet", "project": str(tmp_path / "projeto"), "table_option": "path"})
+    for source in SOURCES.values():
+        if source.warehouse:  # everything as text, in order: types are the reader's work
+            rows = read_csv(spark, f"{files.raw}/{source.file}").drop(ORIGIN).coalesce(1)
+            rows.write.parquet(f"{tmp_path}/projeto.{source.warehouse}")
+    result = r.run(lake)
+    assert result.published and result.tables["bronze.alunos"]["fonte"] == "warehouse"
+    name = "comparacao_metas_resultados"
+    want, got = (sorted(map(str, x.gold.read(name).drop("dt_processamento").collect())) for x in (done[0], lake))
+    assert got == want
+
+
+def test_a_corrupt_optional_source_is_an_error_with_alerts(spark, tmp_path):
+    lake = make(spark, tmp_path, {"idhm_municipio": None})
+    broken = tmp_path / "raw" / SOURCES["idhm_municipio"].file
+    broken.mkdir()
+    (broken / "_metadata.crc").write_bytes(b"x")
+    assert r.ingest_bronze(lake)["idhm_municipio"]["status"] == "erro"
+    assert read_alerts(spark, lake.alert_log).where("origem = 'bronze.idhm_municipio'").count() == 2
+
+
+def test_an_odd_year_and_integration_errors_do_not_end_the_run(spark, frame, tmp_path, monkeypatch):
+    facts = frame([(2024, 1.0)], "ano INT, x DOUBLE")
+    series = frame([(2024, 2.0), (202400, 3.0), (None, 4.0)], "ano INT, v DOUBLE")
+    assert lookups.by_year(facts, series, "v", "nacional").first().nacional == 2.0
+    lake = make(spark, tmp_path)
+    r.ingest_bronze(lake)
+    monkeypatch.setattr(r.s, "integrate", lambda *tables: frame([(1,)], "a INT").select("missing"))
+    assert r.build_silver(lake)["alfabetizacao_integrado"]["status"] == "erro"
+
+
 def test_a_missing_optional_source_is_skipped(spark, tmp_path):
     lake = make(spark, tmp_path, {"idhm_municipio": None})
     result = r.run(lake)

@@ -53,9 +53,12 @@ def test_numeric_range(frame):
     assert failed(q.column_checks(frame([(1,)], "outra INT"), ranges=unit)) == []
 
 
-def test_text_that_is_no_number_is_counted_but_passes(frame):
-    report = q.column_checks(frame([("0,5",), ("0.5",)], "idhm STRING"), ranges={"idhm": (0.0, 1.0)})
-    assert failed(report) == []
+def test_decimal_commas_are_in_the_range_and_unreadable_text_fails(frame):
+    unit = {"idhm": (0.0, 1.0)}
+    assert failed(q.column_checks(frame([("0,5",), ("0.5",), (None,)], "idhm STRING"), ranges=unit)) == []
+    assert failed(q.column_checks(frame([("1,5",)], "idhm STRING"), ranges=unit)) == [("DOMINIO_NUMERICO_INVALIDO", "idhm")]
+    report = q.column_checks(frame([("0,5",), ("meio",)], "idhm STRING"), ranges=unit)
+    assert failed(report) == [("VALOR_ILEGIVEL", "idhm")]
     assert report.where("tipo = 'VALOR_ILEGIVEL'").first().medida == 1
 
 

@@ -110,6 +110,29 @@ def test_warehouse_with_year_filter_and_fallback(spark, frame, tmp_path):
     with pytest.raises(FileNotFoundError):
         external.first_available(("a", broken))
 
+    def corrupt():
+        raise ValueError("x")
+
+    heard = []
+    with pytest.raises(external.SourceError):
+        external.first_available(("a", corrupt), ("b", broken), on_failure=lambda tag, error: heard.append(tag))
+    assert heard == ["a"]
+
+
+def test_partitions_with_other_columns_are_read_whole(spark, frame, tmp_path):
+    path = str(tmp_path / "p")
+    tables.write_table(frame([(2023, 1)], "ano INT, x INT"), path, ["ano"])
+    tables.write_table(frame([(2024, 2, "y")], "ano INT, x INT, novo STRING"), path, ["ano"])
+    got = {r.ano: r.novo for r in tables.read_table(spark, path).collect()}
+    assert got == {2023: None, 2024: "y"}
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    file = tmp_path / "q.csv"
+    file.write_text('a,b\n1,"two\nlines"\n2,one\n', encoding="utf-8")
+    got = csv.read_csv(spark, str(file), {"a": "int"}, multiline=True)
+    assert [(r.a, r.b) for r in got.orderBy("a").collect()] == [(1, "two\nlines"), (2, "one")]
+
 
 def test_broker_reader_needs_its_connector(spark):
     with pytest.raises(Exception, match="[kK]afka"):

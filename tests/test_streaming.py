@@ -63,7 +63,7 @@ def test_split_counts_and_alert(spark, folders, tmp_path):
     assert set(rejected) == {
         (TOPIC_INDICATORS, "ano,fonte"), (TOPIC_INDICATORS, everything), (TOPIC_TARGETS, "revisao")}
     stored = spark.read.parquet(str(tmp_path / "bronze/streaming_indicadores"))
-    assert stored.count() == 3 and stored.where("indicador_alfabetizacao is null").count() == 1
+    assert stored.count() == 3 and stored.where("indicador_alfabetizacao is null").count() == 1 and "valor" in stored.columns
     assert {str(r.data) for r in stored.collect()} == {"2024-05-01", "None"}
     alert = read_alerts(spark, str(tmp_path / "alertas")).collect()
     assert [a.origem for a in alert] == ["streaming.consumer"]
@@ -88,6 +88,37 @@ def test_a_replayed_batch_replaces_its_rows(spark, folders, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bronze/streaming_metas")).count() == 2
 
 
+def test_no_cell_of_an_event_is_lost(spark, folders, tmp_path):
+    odd = json.loads(target(ano="2024", meta_percentual="61.5", revisao=0)) | {"extra": "x"}
+    put(folders[TOPIC_TARGETS], "a.json", [json.dumps(odd), target(sigla_uf="RJ", ano=2024.0)])
+    ingest(spark, folders, tmp_path)
+    stored = spark.read.parquet(str(tmp_path / "bronze/streaming_metas"))
+    assert {json.loads(r.valor).get("extra") for r in stored.collect()} == {"x", None}
+    got = {r.sigla_uf: (r.ano, r.meta_percentual, r.revisao) for r in silver.target_events(stored).collect()}
+    assert got == {"SP": (2024, 61.5, False), "RJ": (2024, 80.0, True)}
+
+
+def test_a_batch_replayed_another_day_replaces_its_rejects(spark, folders, tmp_path, monkeypatch):
+    put(folders[TOPIC_TARGETS], "a.json", [target(revisao="DROP"), target(sigla_uf="RJ")])
+    for day in ("2024-05-01T23:59:59", "2024-05-02T00:00:01"):
+        monkeypatch.setattr(ev, "now_text", lambda day=day: day)
+        stream = ev.read_event_files(spark, {t: str(f) for t, f in folders.items()})
+        ev.ingest_available(stream, str(tmp_path / "bronze"), str(tmp_path / f"checkpoint-{day[8:10]}"))
+    rejected = spark.read.parquet(str(tmp_path / "bronze/streaming_rejeitados")).collect()
+    assert [r.timestamp_rejeicao for r in rejected] == ["2024-05-02T00:00:01"]
+
+
+def test_the_later_of_two_streams_counts(spark, folders, tmp_path, monkeypatch):
+    for name, when, value in (("eventos", "2024-05-02T08:00:00", 2.0), ("a_novo", "2024-05-03T08:00:00", 3.0)):
+        put(folders[TOPIC_TARGETS], f"{name}.json", [target(meta_percentual=value)])
+        monkeypatch.setattr(ev, "now_text", lambda when=when: when)
+        stream = ev.read_event_files(spark, {t: str(f) for t, f in folders.items()})
+        ev.ingest_available(stream, str(tmp_path / "bronze"), str(tmp_path / f"checkpoint-{name}"), name=name)
+        (folders[TOPIC_TARGETS] / f"{name}.json").unlink()
+    goals = silver.target_events(spark.read.parquet(str(tmp_path / "bronze/streaming_metas")))
+    assert [r.meta_percentual for r in goals.collect()] == [3.0]
+
+
 def test_small_batches_give_the_same_rows(spark, folders, tmp_path):
     for i in range(4):
         put(folders[TOPIC_TARGETS], f"{i}.json", [target(ano=2020 + i), target(ano=2020 + i, revisao="DROP")])
