@@ -32,12 +32,13 @@ class Lake:
     root: str
     raw: str
     warehouse: Mapping[str, str] | None = None  # connector, project, further options
+    full_refresh: bool = False  # replace whole tables, not only the partitions that the sources hold
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
-        self.bronze = Layer(self.spark, self.root, "bronze")
-        self.silver = Layer(self.spark, self.root, "silver")
-        self.gold = Layer(self.spark, self.root, "gold")
+        self.bronze = Layer(self.spark, self.root, "bronze", self.full_refresh)
+        self.silver = Layer(self.spark, self.root, "silver", self.full_refresh)
+        self.gold = Layer(self.spark, self.root, "gold", self.full_refresh)
         self.alert_log = f"{self.root}/monitoramento/alertas"
 
     def alert(self, level: str, origin: str, message: str, context: Mapping | None = None) -> None:
@@ -266,6 +267,8 @@ def run(lake: Lake, years: Sequence[int] | None = None) -> RunResult:
     published tables; one that fails is kept in ``gold_rejeitada/<run>`` and the published tables
     stay as they were.
     """
+    if years and lake.full_refresh:
+        raise ValueError("a full refresh replaces all years and cannot be limited to some")
     run_id = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:8]
     result = RunResult(run_id)
     stamp = now_text()

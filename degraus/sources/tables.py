@@ -59,10 +59,10 @@ def read_if_present(spark: SparkSession, path: str, schema: str | None = None) -
 
 
 class Layer:
-    """A folder of tables."""
+    """A folder of tables. With ``full_refresh`` a write replaces all partitions, so values that vanished go."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
-        self.spark, self.name = spark, name
+    def __init__(self, spark: SparkSession, root: str, name: str, full_refresh: bool = False):
+        self.spark, self.name, self.full_refresh = spark, name, full_refresh
         self.folder = f"{root.rstrip('/')}/{name}"
 
     def path(self, table: str) -> str:
@@ -72,4 +72,4 @@ class Layer:
         return read_if_present(self.spark, self.path(table))
 
     def write(self, df: DataFrame, table: str, partitions: Sequence[str] = (), **options: bool) -> None:
-        write_table(df, self.path(table), partitions, **options)
+        write_table(df, self.path(table), partitions, **{"full_refresh": self.full_refresh, **options})

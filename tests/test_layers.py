@@ -181,6 +181,18 @@ def test_an_odd_year_and_integration_errors_do_not_end_the_run(spark, frame, tmp
     assert r.build_silver(lake)["alfabetizacao_integrado"]["status"] == "erro"
 
 
+def test_a_full_refresh_drops_years_that_vanished(spark, tmp_path):
+    lake = make(spark, tmp_path)
+    r.ingest_bronze(lake)
+    only_2024 = [row for row in FILES["indicador_municipio"] if not row.startswith("2023")]
+    for full, years in ((False, {2023, 2024}), (True, {2024})):
+        again = r.Lake(spark, lake.root, write_sources(tmp_path / f"raw-{full}", {"indicador_municipio": only_2024}), full_refresh=full)
+        r.ingest_bronze(again)
+        assert {x.ano for x in again.bronze.read("indicador_municipio").collect()} == years
+    with pytest.raises(ValueError):
+        r.run(again, [2024])
+
+
 def test_a_missing_optional_source_is_skipped(spark, tmp_path):
     lake = make(spark, tmp_path, {"idhm_municipio": None})
     result = r.run(lake)
