@@ -38,8 +38,9 @@ SEED, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 MOST_LIGHT = 24
 #: Cuts of a set that has many empty blocks.
 CUTS = 5
-#: Bits of the filter that spares the second pass documents without a candidate; it only saves work.
-FILTER_BITS = 1 << 23
+#: Bits of the filters that spare later passes keys without a second set and documents without a candidate. They hold
+#: no exact answer and only save work: a full filter lets all through, and joins decide.
+FILTER_BITS = 1 << 25
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -219,22 +220,60 @@ def _runs(texts: list[str | None], width: int) -> Iterator[tuple[int, list[np.nd
         row += len(run)
 
 
-def _signatures(width: int, percent: int, boundary: int):
+def _filter_of(ids: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the low bits of a column; at most ``FILTER_BITS / 64`` rows come to the driver."""
+    cell = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1))
+    bits = (
+        ids.select(
+            F.shiftright(cell, 6).alias("at"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
+        ).groupBy("at").agg(F.bit_or("bit").alias("bits"))
+    ).toPandas()
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    words[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
+    return words
+
+
+def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    cell = values.astype(np.int64) & (FILTER_BITS - 1)
+    return ((words[cell >> 6] >> (cell & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def _listed(width: int, percent: int, boundary: int):
+    """Keys and id of every set."""
+    import pyarrow as pa
+
+    def listed(batches):
+        for batch in batches:
+            for _, sets in _runs(batch.column(0).to_pylist(), width):
+                keys = [np.concatenate(k) if (k := keys_of(x, percent, boundary)) else np.zeros(0, np.uint64) for x in sets]
+                ids = np.repeat([set_id(x) for x in sets], [len(k) for k in keys])
+                flat = np.concatenate(keys).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat), pa.array(ids.astype(np.int64))], names=["key", "id"]
+                )
+
+    return listed
+
+
+def _signatures(width: int, percent: int, boundary: int, shared: np.ndarray):
+    """Id, size and parity of the set of every document, and those of its keys that pass the filter of shared ones."""
     import pyarrow as pa
 
     def signed(batches):
         for batch in batches:
             for row, sets in _runs(batch.column(1).to_pylist(), width):
-                keys = [keys_of(x, percent, boundary) for x in sets]
-                bounds = np.concatenate([[0], np.cumsum([sum(map(len, x)) for x in keys])]).astype(np.int32)
-                parts = [part for x in keys for part in x]
-                flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+                keys = []
+                for x in sets:
+                    own = np.concatenate(k) if (k := keys_of(x, percent, boundary)) else np.zeros(0, np.uint64)
+                    keys.append(own[_passes(shared, own)])
+                bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(sets)),
                     pa.array([set_id(x) for x in sets], pa.int64()),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([parity(x) for x in sets], pa.list_(pa.int64())),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys).view(np.int64))),
                 ], names=["doc", "id", "n", "parity", "keys"])
 
     return signed
@@ -246,9 +285,7 @@ def _wanted_texts(width: int, words: np.ndarray):
 
     def wanted(batches):
         for batch in batches:
-            cell = batch.column(0).to_numpy().astype(np.int64) & (FILTER_BITS - 1)
-            hit = (words[cell >> 6] >> (cell & 63).astype(np.uint64)) & np.uint64(1)
-            texts = batch.column(1).filter(pa.array(hit.astype(bool)))
+            texts = batch.column(1).filter(pa.array(_passes(words, batch.column(0).to_numpy())))
             for row, sets in _runs(texts.to_pylist(), width):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_id(x) for x in sets], pa.int64()), texts.slice(row, len(sets))], names=["id", "text"]
@@ -292,13 +329,21 @@ def jaccard_components(
     boundary = chosen_boundary(percent)
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
+    # The keys are made twice rather than stored: most belong to one set and are of no more use.
+    listed = rows.select("text").mapInArrow(_listed(width, percent, boundary), "key long, id long")
+    shared = stored(
+        listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key"),
+        "shared",
+    )
     signed = stored(
-        rows.mapInArrow(_signatures(width, percent, boundary), f"doc {kind}, id long, n long, parity array<long>, keys array<long>"),
+        rows.mapInArrow(
+            _signatures(width, percent, boundary, _filter_of(shared, "key")),
+            f"doc {kind}, id long, n long, parity array<long>, keys array<long>",
+        ),
         "signatures",
     )
     listed = signed.where("n > 0").select(F.explode("keys").alias("key"), "id")
-    shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    meeting = stored(listed.join(shared.select("key"), "key", "left_semi").distinct(), "meeting")
+    meeting = stored(listed.join(shared, "key", "left_semi").distinct(), "meeting")
     # One document stands for each set that has a candidate.
     stand = stored(
         signed.select("doc", "id", "n", "parity").join(meeting.select("id").distinct(), "id", "left_semi")
@@ -306,13 +351,7 @@ def jaccard_components(
         "stand",
     )
     members = stored(meeting.join(stand.drop("doc"), "id"), "members")
-    cell = F.xxhash64("doc").bitwiseAND(F.lit(FILTER_BITS - 1))
-    bits = (
-        stand.select(F.shiftright(cell, 6).alias("at"), F.expr("shiftleft(1L, cast((xxhash64(doc) & 63) as int))").alias("bit"))
-        .groupBy("at").agg(F.bit_or("bit").alias("bits"))
-    ).toPandas()  # at most FILTER_BITS / 64 rows
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
-    words[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
+    words = _filter_of(stand.select(F.xxhash64("doc").alias("deal")), "deal")
     texts = stored(
         rows.select(F.xxhash64("doc").alias("deal"), "text")
         .mapInArrow(_wanted_texts(width, words), "id long, text string")
