@@ -61,16 +61,36 @@ def _keys(line: Column, n: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def pair_parity(chars: Column) -> Column:
-    """64 bits: for each cell whether an odd number of neighbouring character pairs falls there. An edit flips at most
-    four."""
-    return F.aggregate(
-        F.sequence(F.lit(0), F.size(chars) - 2),
-        F.lit(0).cast("long"),
-        lambda bits, i: bits.bitwiseXOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"),
-                            F.xxhash64(F.get(chars, i), F.get(chars, i + 1)).bitwiseAND(F.lit(63)).cast("int"))
-        ),
+def _parity(items: Column, cell) -> Column:
+    """64 bits: for each cell whether an odd number of items falls there; a negative cell is none."""
+
+    def flipped(bits: Column, i: Column) -> Column:
+        one = F.lit(1).cast("long")
+        return bits.bitwiseXOR(let(cell(i), lambda c: F.when(c >= 0, F.call_function("shiftleft", one, c)).otherwise(0)))
+
+    return F.aggregate(items, F.lit(0).cast("long"), flipped)
+
+
+def line_parities(chars: Column) -> Column:
+    """Three words of parity bits of an array of characters: its characters, and its neighbouring pairs in two words.
+
+    An edit flips at most two bits of characters and four of pairs."""
+
+    def of_char(i: Column) -> Column:
+        return F.xxhash64(F.get(chars, i)).bitwiseAND(F.lit(63)).cast("int")
+
+    def of_pair(word: int):
+        def cell(i: Column) -> Column:
+            dealt = F.xxhash64(F.get(chars, i), F.get(chars, i + 1)).bitwiseAND(F.lit(127)).cast("int") - 64 * word
+            return let(dealt, lambda c: F.when(c < 64, c).otherwise(-1))
+
+        return cell
+
+    singles, pairs = F.sequence(F.lit(0), F.size(chars) - 1), F.sequence(F.lit(0), F.size(chars) - 2)
+    return F.struct(
+        _parity(singles, of_char).alias("chars"),
+        _parity(pairs, of_pair(0)).alias("pairs"),
+        _parity(pairs, of_pair(1)).alias("more_pairs"),
     )
 
 
@@ -198,14 +218,19 @@ def line_classes(
     texts = stored(
         long_lines.select("id", "line").join(meeting.select("id").distinct(), "id", "left_semi")
         .groupBy("id").agg(F.first("line").alias("line"))
-        .select("id", "line", F.length("line").alias("n"), let(F.split("line", ""), pair_parity).alias("parity")),
+        .select("id", "line", F.length("line").alias("n"), let(F.split("line", ""), line_parities).alias("parity")),
         "line-texts",
     )
     members = stored(meeting.join(texts.select("id", "n", "parity"), "id"), "line-members")
 
     def near(x, y):
-        return (F.abs(x("n") - y("n")) <= edits) & (
-            F.bit_count(x("parity").bitwiseXOR(y("parity"))) <= 4 * edits
+        def apart(word: str) -> Column:
+            return F.bit_count(x("parity")[word].bitwiseXOR(y("parity")[word]))
+
+        return (
+            (F.abs(x("n") - y("n")) <= edits)
+            & (apart("chars") <= 2 * edits)
+            & (apart("pairs") + apart("more_pairs") <= 4 * edits)
         )
 
     def check(pairs: DataFrame) -> DataFrame:
