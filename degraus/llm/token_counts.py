@@ -14,19 +14,36 @@ runs filled at once may hold a digest twice with the same count; it is read once
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from degraus.llm.common import path_exists, slices
 
-#: A blank between two visible characters. The pre-tokenizer never joins anything across it: a blank may only begin a
-#: piece, so the chunks cut there are encoded independently.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Chunks remembered by a worker, and the longest one it remembers; both only bound memory.
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Chunks remembered by a worker, the longest one it remembers, and new chunks encoded as one text; the first two only
+#: bound memory.
+REMEMBERED, LONGEST, JOINED = 1_000_000, 64, 256
+
+
+def chunk_bounds(data: np.ndarray) -> np.ndarray:
+    """Places of the blanks of UTF-8 bytes that begin a chunk: a visible character stands on either side.
+
+    The pre-tokenizer never joins anything across such a blank: it may only begin a piece, so the chunks cut there are
+    encoded independently. Of characters outside ASCII only those count as visible whose lead byte no white space has;
+    a blank that is not cut changes no count.
+    """
+    at = np.flatnonzero(data[1:-1] == 32) + 1
+    before, after = data[at - 1], data[at + 1]
+    # Lead byte of the character before the blank, if it has two or three bytes; longer ones are no white space.
+    tail = (before & 0xC0) == 0x80
+    lead = np.where(tail, data[at - 2], before)
+    lead = np.where((lead & 0xC0) == 0x80, data[at - 3], lead)
+    visible = [
+        ((x > 32) & (x < 127)) | ((x >= 0x80) & (x != 0xC2) & ((x < 0xE1) | (x > 0xE3))) for x in (lead, after)
+    ]
+    return at[visible[0] & visible[1]]
 
 
 class ChunkCounter:
@@ -36,7 +53,11 @@ class ChunkCounter:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
-        self._known: dict[str, int] = {}
+        self._known: dict[bytes, int] = {}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        # Fixed value: byte-level vocabularies write the blank as this letter.
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._begins[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
 
     def __call__(self, texts: Sequence[str]) -> list[int]:
         counts = []
@@ -45,23 +66,55 @@ class ChunkCounter:
         return counts
 
     def _counted(self, texts: list[str]) -> list[int]:
+        import pyarrow as pa
+
         known = self._known
         if len(known) > REMEMBERED:
             known.clear()
-        # The first chunk of a text stands without a blank; all others begin with theirs.
-        cut = [CUT.split(text) for text in texts]
-        first = self._encoded([chunks[0] for chunks in cut])
-        new = list({chunk for chunks in cut for chunk in chunks[1:]} - known.keys())
-        known.update(zip(new, self._encoded([" " + chunk for chunk in new]), strict=True))
-        count = known.__getitem__
-        totals = [n + sum(map(count, chunks[1:])) for n, chunks in zip(first, cut, strict=True)]
+        # A line break after each text keeps the texts apart; it belongs to none of them.
+        coded = [text.encode() for text in texts]
+        sizes = np.array([len(x) for x in coded])
+        joined = b"\n".join([*coded, b""])
+        ends = np.cumsum(sizes + 1) - 1
+        starts = ends - sizes
+        bounds = np.sort(
+            np.concatenate([starts, ends, chunk_bounds(np.frombuffer(joined, np.uint8))]), kind="stable"
+        )
+        bounds = bounds[np.append(True, bounds[1:] != bounds[:-1])]
+        offsets = np.append(bounds, len(joined)).astype(np.int64)
+        chunks = pa.Array.from_buffers(
+            pa.large_binary(), len(bounds), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
+        ).dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        new = [chunk for chunk in distinct if chunk not in known]
+        known.update(zip(new, self._encoded([chunk.decode() for chunk in new]), strict=True))
+        counts = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        sums = np.append(0, np.cumsum(counts[chunks.indices.to_numpy()]))
         for chunk in new:
             if len(chunk) > LONGEST:
                 del known[chunk]
-        return totals
-
-    def _encoded(self, texts: list[str]) -> list[int]:
-        return [len(x) for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return (sums[np.searchsorted(bounds, ends)] - sums[np.searchsorted(bounds, starts)]).tolist()
+
+    def _encoded(self, chunks: list[str]) -> list[int]:
+        """Counts of distinct chunks. Those that begin with their only blank and end visibly are encoded many at a time:
+        each of them begins at the next token with a blank."""
+        counts = dict.fromkeys(chunks, 0)
+        plain = [c for c in chunks if c[:1] == " " and c.count(" ") == 1 and c == c.rstrip()]
+        runs = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        rest = set(chunks).difference(plain)
+        for run, found in zip(runs, self._ids(["".join(run) for run in runs]), strict=True):
+            ids = np.array(found)
+            begins = np.append(np.flatnonzero(self._begins[ids]), len(ids))
+            if len(begins) == len(run) + 1 and begins[0] == 0:
+                counts.update(zip(run, np.diff(begins).tolist(), strict=True))
+            else:
+                rest.update(run)
+        single = list(rest)
+        counts.update(zip(single, map(len, self._ids(single)), strict=True))
+        return list(counts.values())
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _counters: dict[str, ChunkCounter] = {}
