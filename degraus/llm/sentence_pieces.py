@@ -1,9 +1,9 @@
 """SentencePiece models on the tokenizers library: encoding and decoding, with parity held against sentencepiece.
 
 The model protobuf is read field by field; from its pieces, scores and settings the normaliser, the metaspace marker, the
-model (unigram scores, or merges ordered by score for a BPE model) and byte fallback are rebuilt. Batches of distinct
-chunks are encoded by the library's threads. Every distinct chunk is also encoded by sentencepiece; where the two
-differ, the ids of sentencepiece count and the chunk is reported.
+model (unigram scores, or merges ordered by score for a BPE model), byte fallback and the decoder are rebuilt. Batches of
+distinct chunks are encoded by the library's threads, and its ids are the result. Every distinct chunk is also encoded by
+sentencepiece as a check; only where the two differ, the ids of sentencepiece count instead and the chunk is reported.
 
 If no piece holds the marker behind another character, pieces never reach across a blank between two visible characters;
 texts are then cut there (not beside a literal marker) and each chunk is encoded once per worker. Otherwise texts are
@@ -107,7 +107,7 @@ class PieceModel:
 
 def rebuilt(model: PieceModel):
     """The model as a tokenizer of the tokenizers library."""
-    from tokenizers import Regex, Tokenizer, models, normalizers
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     ids = {text: i for i, (text, _, _) in enumerate(model.pieces)}
     if model.kind == UNIGRAM:
@@ -138,6 +138,10 @@ def rebuilt(model: PieceModel):
     tokenizer = Tokenizer(core)
     if steps:
         tokenizer.normalizer = normalizers.Sequence(steps)
+    parts = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+    if model.dummy_prefix:
+        parts.append(decoders.Strip(" ", 1, 0))
+    tokenizer.decoder = decoders.Sequence(parts)
     return tokenizer
 
 
@@ -154,17 +158,11 @@ class PieceCodec:
         self._reference = sentencepiece.SentencePieceProcessor(model_file=path)
         self._known: dict[str, tuple[int, ...]] = {}
         self._differing: set[str] = set()
-        self._bytes = [self._raw(text, kind) for text, _, kind in self.model.pieces]
-
-    @staticmethod
-    def _raw(text: str, kind: int) -> bytes:
-        if kind == BYTE:
-            return bytes([int(text[3:5], 16)])
-        if kind == CONTROL:
-            return b""
-        if kind == UNKNOWN:
-            return " ⁇ ".encode()
-        return text.replace(MARK, " ").encode()
+        # Pieces that sentencepiece does not decode to their own text.
+        self._spoken = {
+            i: " ⁇ " if kind == UNKNOWN else ""
+            for i, (_, _, kind) in enumerate(self.model.pieces) if kind in (UNKNOWN, CONTROL)
+        }
 
     def encode(self, texts: Sequence[str]) -> list[tuple[list[int], int]]:
         """Ids of every text, and how many of its chunks the two libraries encode differently."""
@@ -184,10 +182,12 @@ class PieceCodec:
         ours = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
         theirs = self._reference.encode(new, num_threads=1)
         for chunk, own, other in zip(new, ours, theirs, strict=True):
-            # The library keeps the marker of an empty text; sentencepiece has no ids for it.
-            if chunk and own.ids != other:
+            # The library keeps the marker of an empty text; it has no ids here.
+            ids = own.ids if chunk else []
+            if ids != other:
                 self._differing.add(chunk)
-            known[chunk] = tuple(other)
+                ids = other
+            known[chunk] = tuple(ids)
         odd = self._differing
         results = []
         for chunks in cut:
@@ -203,10 +203,18 @@ class PieceCodec:
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of a sequence of ids; ids that form no valid text decode with replacement characters."""
-        data = b"".join(map(self._bytes.__getitem__, ids))
-        if self.model.dummy_prefix and data.startswith(b" "):
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        if self._spoken.keys().isdisjoint(ids):
+            text = self._tokenizer.decode(ids, skip_special_tokens=False)
+        else:
+            text = self._tokenizer.decoder.decode(self._said(ids))
+        # The library replaces all of a run of bytes if one is bad, sentencepiece only the bad ones.
+        return self._reference.decode(list(ids)) if "\ufffd" in text else text
+
+    def _said(self, ids: Sequence[int]) -> list[str]:
+        said = [piece for i in ids if (piece := self._spoken.get(i, self.model.pieces[i][0]))]
+        if self.model.dummy_prefix and said and said[0].startswith(" "):
+            said[0] = " " + said[0]  # only a marker is stripped at the start
+        return said
 
 
 _codecs: dict[str, PieceCodec] = {}

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, decoders
 
 from degraus.llm import language, personal_data, quality_rules, sentence_pieces, token_counts
 
@@ -140,6 +140,38 @@ def test_pieces_of_odd_texts():
     assert [own.decode(ids) for ids, _ in found] == [reference.decode(ids) for ids, _ in found]
 
 
+def test_pieces_come_from_the_rebuilt_tokenizer():
+    own, reference = sentence_pieces.PieceCodec(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    some = ["the house runs", "日本 😀", ""]
+
+    class Checked:
+        """Equal ids, of another type, so that it shows whose ids are given out; other ids for one chunk."""
+
+        def encode(self, texts, **_):
+            return [[5, 6] if t == "runs" else [np.int64(i) for i in reference.encode(t)] for t in texts]
+
+    own._reference = Checked()
+    assert own.model.can_be_cut
+    (first, odd), *others = own.encode(some)
+    assert (first, odd) == ([*reference.encode("the house"), 5, 6], 1)
+    assert [(ids, n) for ids, n in others] == [(reference.encode(t), 0) for t in some[1:]]
+    assert all(type(i) is int for ids in (first, *(ids for ids, _ in others)) for i in ids)
+
+
+def test_pieces_are_decoded_by_the_rebuilt_tokenizer():
+    own, reference = sentence_pieces.PieceCodec(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(3)
+    for _ in range(300):
+        # Controls, unknown ids and bytes that form no text are among them.
+        ids = [rng.choice([rng.randrange(3), rng.randrange(3, 259), rng.randrange(len(own.model.pieces))])
+               for _ in range(rng.randint(0, 8))]
+        ids = [i for i in ids if own.model.pieces[i][2] != sentence_pieces.BYTE] if rng.random() < 0.5 else ids
+        assert own.decode(ids) == reference.decode(ids), ids
+    ids = reference.encode("the house")
+    own._tokenizer.decoder = decoders.Fuse()
+    assert own.decode(ids) == "▁the▁house"
+
+
 def test_base_spans_and_digest(spark, docs, texts, nothing):
     text = ("Mail a.b@c.org or x@y; 10.0.0.1 and 300.1.1.1, card 4111 1111 1111 1111, not 4111 1111 1111 1112, "
             "call +1 (456) 555-2186 or +1 23.")
