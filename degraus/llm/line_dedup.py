@@ -23,7 +23,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from degraus.llm.common import let
+from degraus.llm.common import let, words_of
 from degraus.llm.components import linked_lists
 from degraus.session import stored
 
@@ -197,7 +197,8 @@ def line_distance(a: Column, b: Column, most: int) -> Column:
 def line_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS
 ) -> DataFrame:
-    """Per line with a word: ``doc``, ``text_hash``, ``line_no``, ``n_chars``, ``first_doc``, ``first_line``, ``kept``."""
+    """Per line with a word: ``doc``, ``text_hash``, ``line_no``, ``n_chars``, ``first_doc``, ``first_line``,
+    ``first_hash`` (of the text that line is in), ``kept``."""
     lines = docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text_hash"),
         F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"),
@@ -251,41 +252,104 @@ def line_classes(
     return classed.join(firsts, "root").select(
         "doc", "text_hash", "line_no", "n_chars",
         F.col("first.doc").alias("first_doc"), F.col("first.line_no").alias("first_line"),
+        F.col("first.text_hash").alias("first_hash"),
         F.struct("doc", "line_no", "text_hash").eqNullSafe(F.col("first")).alias("kept"),
     )
 
 
+def _without(text: Column, repeated: Column) -> Column:
+    """A text without the lines of these numbers."""
+    kept = let(
+        repeated,
+        lambda gone: F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n"),
+    )
+    return F.when(repeated.isNull(), text).otherwise(kept)
+
+
+def shingles(text: Column, width: int) -> Column:
+    """Distinct word shingles of a text by hash, cut as in ``jaccard_join``."""
+
+    def cut(words: Column) -> Column:
+        whole = F.transform(
+            F.sequence(F.lit(0), F.size(words) - width), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(width)))
+        )
+        return F.when(F.size(words) >= width, F.array_distinct(whole)).when(
+            F.size(words) > 0, F.array(F.xxhash64(words))
+        ).otherwise(F.array().cast("array<long>"))
+
+    return let(words_of(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")), cut)
+
+
+def _proven_copies(
+    docs: DataFrame, losses: DataFrame, id_col: str, text_col: str, width: int, percent: int
+) -> DataFrame:
+    """``(doc, text_hash)`` of documents in ``losses`` that are ``torn`` and, whole, link with what is left of one
+    document of a smaller id that is not: the one with most of their repeated lines."""
+    torn = losses.where(F.col("torn") & F.col("copied").isNotNull()).select("doc", "text_hash", "copied.*")
+    wanted = torn.select("doc", "text_hash").union(torn.select("first_doc", "first_hash")).distinct()
+    texts = stored(
+        docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+        .join(wanted, ["doc", "text_hash"], "left_semi").dropDuplicates(["doc", "text_hash"])
+        .join(losses.select("doc", "text_hash", "repeated", "torn"), ["doc", "text_hash"], "left"),
+        "line-copies",
+    )
+    left = texts.where("torn is null or not torn").select(
+        F.col("doc").alias("first_doc"), F.col("text_hash").alias("first_hash"),
+        shingles(_without(F.col("text"), F.col("repeated")), width).alias("theirs"),
+    )
+    own = texts.select("doc", "text_hash", shingles(F.col("text"), width).alias("own"))
+    both = torn.join(own, ["doc", "text_hash"]).join(left, ["first_doc", "first_hash"]).select(
+        "doc", "text_hash", F.size("own").alias("m"), F.size("theirs").alias("n"),
+        F.size(F.array_intersect("own", "theirs")).alias("common"),
+    )
+    return both.where(
+        (F.col("common") > 0) & (100 * F.col("common") >= percent * (F.col("m") + F.col("n") - F.col("common")))
+    ).select("doc", "text_hash")
+
+
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_lost_percent: int = 50, **limits: int
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_lost_percent: int = 50, width: int = 5,
+    percent: int = 80, **limits: int,
 ) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; same columns, documents without any line left go.
 
-    A document that would lose more than ``most_lost_percent`` of its characters repeats others as a whole. It is not
-    torn up but left to document-level deduplication.
+    A document that would lose more than ``most_lost_percent`` of its characters is not torn up but left whole if it is
+    a proven copy: its ``width``-word shingles and those of one document with a smaller id, as that one leaves here, have
+    a Jaccard similarity of ``percent`` or more. Document-level deduplication at these limits removes it.
     """
-    lost = (
+    key = ["doc", "text_hash"]
+    earlier = F.when(
+        (F.col("first_doc") < F.col("doc")) & (F.col("lost") > 0), F.struct("lost", "first_doc", "first_hash")
+    )
+    losses = stored(
         line_classes(docs, id_col, text_col, **limits)
-        .groupBy("doc", "text_hash")
+        .groupBy(*key, "first_doc", "first_hash")
         .agg(
-            F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("__repeated"),
-            F.sum("n_chars").alias("__chars"),
-            F.sum(F.when(~F.col("kept"), F.col("n_chars")).otherwise(0)).alias("__lost"),
+            F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("repeated"),
+            F.sum("n_chars").alias("chars"),
+            F.sum(F.when(~F.col("kept"), F.col("n_chars")).otherwise(0)).alias("lost"),
         )
-        .where((F.size("__repeated") > 0) & (100 * F.col("__lost") <= most_lost_percent * F.col("__chars")))
-        .select(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash"), "__repeated")
-    )
-    kept = let(
-        F.col("__repeated"),
-        lambda gone: F.array_join(
-            F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n"
+        .groupBy(*key)
+        .agg(
+            F.flatten(F.collect_list("repeated")).alias("repeated"),
+            F.max(earlier).alias("most"), F.sum("chars").alias("chars"), F.sum("lost").alias("lost"),
+        )
+        .where(F.size("repeated") > 0)
+        .select(
+            *key, "repeated", (100 * F.col("lost") > most_lost_percent * F.col("chars")).alias("torn"),
+            F.when(F.col("most").isNotNull(), F.struct("most.first_doc", "most.first_hash")).alias("copied"),
         ),
+        "line-losses",
+    )
+    whole = _proven_copies(docs, losses, id_col, text_col, width, percent)
+    lost = losses.join(whole, key, "left_anti").select(
+        F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("repeated").alias("__repeated")
     )
-    cleaned = F.when(F.col("__repeated").isNull(), F.col(text_col)).otherwise(kept)
     return (
         docs.join(
             lost, docs[id_col].eqNullSafe(lost["__doc"]) & (F.xxhash64(docs[text_col]) == lost["__hash"]), "left"
         )
-        .withColumn(text_col, cleaned)
+        .withColumn(text_col, _without(F.col(text_col), F.col("__repeated")))
         .where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
         .select(*docs.columns)
     )

@@ -265,6 +265,35 @@ def test_drop_repeated_lines(spark):
     assert got == {0: texts[0], 1: f"\n{own[1]}", 2: f"{own[2]}\n{own[3]}", 3: texts[3]}
 
 
+def test_only_proven_copies_keep_repeated_lines(spark):
+    rng = random.Random(10)
+
+    def line(words=12):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(words))
+
+    passage, own, ten = line(30), [line(12) for _ in range(3)], [line(30) for _ in range(20)]
+    texts = [
+        f"{own[0]}\n{passage}",
+        f"{own[1]}\n{passage}",  # over half repeats, but it is no copy of a document
+        "\n".join(ten), "\n".join([*ten[:19], own[2]]),  # one line of twenty differs: a copy
+        passage,  # nothing is left of it
+        "\n".join([*ten[:10], passage]),  # lines of two documents
+    ]
+    docs = frame(spark, texts)
+    cleaned = line_dedup.drop_repeated_lines(docs)
+    got = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert got == {0: texts[0], 1: own[1], 2: texts[2], 3: texts[3]}
+    after = {r["doc_id"]: r["text"] for r in jaccard_join.first_of_components(cleaned, width=5, percent=80).collect()}
+    lines = [x for t in after.values() for x in t.split("\n")]
+    assert set(after) == {0, 1, 2} and len(lines) == len(set(lines))
+
+
+def test_shingles_are_those_of_the_jaccard_join(spark):
+    texts = ["", " \n", "A b", "a B\tc d e", "a b c d e a b c d e É", "x " * 50]
+    got = frame(spark, texts).select("doc_id", F.size(line_dedup.shingles(F.col("text"), 5)).alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in got} == {i: len(shingles(t, 5)) for i, t in enumerate(texts)}
+
+
 # --- Neighbours -----------------------------------------------------------------------------
 
 
