@@ -1,7 +1,8 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame expressions only.
 
-Two lines link if they are equal, or if both have at least ``least_chars`` characters and their edit distance is at most
-``edits``. Each such line is cut into ``edits + 1`` even segments; within that distance one segment of the shorter line
+Two lines link if they are equal, or if their edit distance is at most what the length of the shorter one permits:
+``least_chars`` has the characters needed for one edit, two edits and so on. Lines are joined once for each number of
+edits, cut into one even segment more than that; within that distance one segment of the shorter line
 stands unchanged in the longer one, near its own place. Segments are indexed under (segment, length of the line,
 text); every line probes the places where a segment of a line of its own or a slightly smaller length may stand. The
 matches go through ``linked_lists``, so a segment that many lines share is not compared all against all, and pairs are
@@ -17,6 +18,7 @@ verdict; a null id sorts first; an empty table gives an empty result. Only the i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -28,6 +30,9 @@ from degraus.llm.components import linked_lists
 from degraus.session import stored
 
 EDITS, LEAST_CHARS = 2, 48
+#: Least characters for one and for two edits, as the queries ask for: one edit in ten characters. In less, another
+#: letter is another word.
+NEAR_CHARS = (10, 20)
 
 
 def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -57,10 +62,23 @@ def _keys(line: Column, n: Column, edits: int) -> Column:
         start, size = _segment(n - fewer, i, edits)
         text = F.substring(line, start + shift + 1, size)
         own = fewer == 0 and shift == 0
-        keys.append(F.struct(F.xxhash64(F.lit(i), n - fewer, text).alias("key"), F.lit(own).alias("own")))
+        key = F.xxhash64(F.lit(edits), F.lit(i), n - fewer, text)
+        keys.append(F.struct(key.alias("key"), F.lit(own).alias("own")))
     return F.array(*keys)
 
 
+def _keys_by_length(line: Column, n: Column, least: Sequence[int]) -> Column:
+    """Probed keys of a line for every number of edits that it and a shorter or longer partner are permitted."""
+    found = []
+    for edits, (low, high) in enumerate(zip(least, [*least[1:], None], strict=True), 1):
+        if high is None:
+            found.append(F.when(n >= low, _keys(line, n, edits)))
+        elif low < high:  # the shorter line of a pair is in this range, the longer one may be beyond it
+            found.append(F.when((n >= low) & (n < high + edits), _keys(line, n, edits)))
+    none = F.array().cast("array<struct<key:bigint,own:boolean>>")
+    return F.concat(*(F.coalesce(keys, none) for keys in found))
+
+
 def _parity(items: Column, cell) -> Column:
     """64 bits: for each cell whether an odd number of items falls there; a negative cell is none."""
 
@@ -195,20 +213,25 @@ def line_distance(a: Column, b: Column, most: int) -> Column:
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
+    least_chars: int | Sequence[int] = LEAST_CHARS,
 ) -> DataFrame:
     """Per line with a word: ``doc``, ``text_hash``, ``line_no``, ``n_chars``, ``first_doc``, ``first_line``,
-    ``first_hash`` (of the text that line is in), ``kept``."""
+    ``first_hash`` (of the text that line is in), ``kept``.
+
+    ``least_chars`` rises with the number of edits; a single number holds for all."""
+    least = [least_chars] * edits if isinstance(least_chars, int) else list(least_chars)[:edits]
+    edits = len(least)
     lines = docs.select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text_hash"),
         F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"),
     ).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc", "text_hash", "line_no", "line", F.xxhash64("line").alias("id"), F.length("line").alias("n")
     )
-    long_lines = lines.where(F.col("n") >= least_chars)
+    long_lines = lines.where(F.col("n") >= least[0])
     places = stored(lines.select("doc", "text_hash", "line_no", "id", F.col("n").alias("n_chars")), "line-places")
 
-    probed = long_lines.select("id", F.explode(_keys(F.col("line"), F.col("n"), edits)).alias("k")).select(
+    probed = long_lines.select("id", F.explode(_keys_by_length(F.col("line"), F.col("n"), least)).alias("k")).select(
         "k.key", "k.own", "id"
     )
     indexed = probed.where("own").groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
@@ -224,14 +247,18 @@ def line_classes(
     )
     members = stored(meeting.join(texts.select("id", "n", "parity"), "id"), "line-members")
 
+    def permitted(shorter: Column) -> Column:
+        return reduce(add, (F.when(shorter >= chars, 1).otherwise(0) for chars in least))
+
     def near(x, y):
         def apart(word: str) -> Column:
             return F.bit_count(x("parity")[word].bitwiseXOR(y("parity")[word]))
 
+        most = permitted(F.least(x("n"), y("n")))
         return (
-            (F.abs(x("n") - y("n")) <= edits)
-            & (apart("chars") <= 2 * edits)
-            & (apart("pairs") + apart("more_pairs") <= 4 * edits)
+            (F.abs(x("n") - y("n")) <= most)
+            & (apart("chars") <= 2 * most)
+            & (apart("pairs") + apart("more_pairs") <= 4 * most)
         )
 
     def check(pairs: DataFrame) -> DataFrame:
@@ -240,7 +267,9 @@ def line_classes(
         )
         # Few bytes but much work: keep them in as many tasks as any shuffle has.
         tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return both.repartition(tasks).where(line_distance(F.col("la"), F.col("lb"), edits) <= edits).select("a", "b")
+        return both.repartition(tasks).where(
+            line_distance(F.col("la"), F.col("lb"), edits) <= permitted(F.least(F.length("la"), F.length("lb")))
+        ).select("a", "b")
 
     labels = linked_lists(members, near, check)
     classed = stored(
@@ -309,7 +338,7 @@ def _proven_copies(
 
 def drop_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_lost_percent: int = 50, width: int = 5,
-    percent: int = 80, **limits: int,
+    percent: int = 80, **limits: int | Sequence[int],
 ) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; same columns, documents without any line left go.
 

@@ -76,7 +76,7 @@ def op7_language(spark, sf):
 
 
 def op8_line_dedup(spark, sf):
-    return line_dedup.line_classes(read(spark, sf, "documents")).select(
+    return line_dedup.line_classes(read(spark, sf, "documents"), least_chars=line_dedup.NEAR_CHARS).select(
         F.col("doc").alias("doc_id"), "line_no", "n_chars",
         F.col("first_doc").alias("class_doc_id"), F.col("first_line").alias("class_line_no"), "kept",
     )

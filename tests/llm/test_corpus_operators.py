@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from degraus.llm import components, jaccard_join, line_dedup, neighbours, packing, shards
+from degraus.llm import components, jaccard_join, line_dedup, neighbours, packing, queries, shards
 
 SCHEMA = "doc_id long, text string, id string, key string, size string, bin string, shard string"
 
@@ -251,6 +251,31 @@ def test_line_classes(spark):
     assert line_dedup.line_classes(frame(spark, []).limit(0)).count() == 0
 
 
+def test_short_lines_near_copies(spark):
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([6, 9, 10, 11, 13, 18, 19, 20, 21, 22, 30, 47, 48])))
+            for _ in range(80)]
+    lines = sorted({x for b in base for x in [b, *(edited(rng, b, rng.randint(1, 3)) for _ in range(2))] if x.strip()})
+    lines += ["Thwhesnd esator whshing and hewh.", "Thwhesnd, esator whshing and hewh."]
+
+    def permitted(n):
+        return (n >= 10) + (n >= 20)
+
+    group = groups_of(
+        len(lines), lambda i, j: distance(lines[i], lines[j]) <= permitted(min(len(lines[i]), len(lines[j])))
+    )
+    rows = line_dedup.line_classes(frame(spark, lines), least_chars=line_dedup.NEAR_CHARS).collect()
+    assert {r["doc"]: r["first_doc"] for r in rows} == dict(enumerate(group))
+    assert group[-1] == group[-2] == len(lines) - 2
+
+
+def test_op8_finds_near_copies_of_short_lines(spark, tmp_path):
+    frame(spark, ["Copyright 2019 by A. Writer", "Copyright 2024 by A. Writer"]).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = queries.REGISTRY["op8_line_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["class_doc_id"], r["kept"]) for r in got) == [(0, 0, True), (1, 0, False)]
+
+
 def test_drop_repeated_lines(spark):
     rng = random.Random(9)
 
