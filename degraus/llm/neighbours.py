@@ -9,8 +9,8 @@ A bucket is dealt out over salts according to its size, so a bucket that a third
 tasks; its queries go to every salt. No pair of a query and a vector is ever written except the nearest of a block.
 
 Defined cases: vectors that are null or zero, or hold null or non-finite components, take no part, neither as queries nor
-as candidates; so do vectors with another number of components than most have; a query with fewer candidates than
-neighbours gets all that its probes found; ties in distance go to the smaller id; equal vectors are distinct rows; a null
+as candidates; so do vectors with another number of components than most have; a query whose probes find fewer than
+``k`` is compared with all vectors, and gets all candidates if there are fewer; ties in distance go to the smaller id; equal vectors are distinct rows; a null
 id takes no part; repeated rows are candidates each; an empty table gives an empty result.
 """
 
@@ -156,11 +156,28 @@ def nearest(
         return pd.DataFrame({"query_id": query_ids, "id": ids, "score": scores})
 
     key = ["table", "bucket", "salt"]
-    asking = sent.select(*key, "id", "vector").groupBy(*key)
-    held = dealt.select(*(F.col(c).alias(f"other_{c}") for c in (*key, "id", "vector"))).groupBy(*(f"other_{c}" for c in key))
-    found = asking.cogroup(held).applyInPandas(compare, "query_id long, id long, score double")
-    # The same vector comes from many tables; tables * probes * k rows of a query at most.
-    best = found.distinct().groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("score", "id"))).alias("all"))
-    return best.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("place", "hit")).select(
+
+    def best(sent: DataFrame, dealt: DataFrame) -> DataFrame:
+        asking = sent.select(*key, "id", "vector").groupBy(*key)
+        held = dealt.select(*(F.col(c).alias(f"other_{c}") for c in (*key, "id", "vector"))).groupBy(
+            *(f"other_{c}" for c in key)
+        )
+        found = asking.cogroup(held).applyInPandas(compare, "query_id long, id long, score double")
+        # The same vector comes from many tables; tables * probes * k rows of a query at most.
+        every = F.sort_array(F.collect_list(F.struct("score", "id")))
+        return found.distinct().groupBy("query_id").agg(F.slice(every, 1, k).alias("hits"))
+
+    hits = stored(best(sent, dealt), "hits")
+    full = hits.where(F.size("hits") >= k)
+    short = clean.where("asks").select("id", "vector").join(
+        full.select(F.col("query_id").alias("id")), "id", "left_anti"
+    )
+    if not short.isEmpty():
+        # Every vector is in one bucket of the first table; these queries go to all of them.
+        everywhere = short.crossJoin(F.broadcast(salts.where("table = 0"))).withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1))
+        )
+        hits = full.union(best(everywhere, dealt.where("table = 0")))
+    return hits.select("query_id", F.posexplode("hits").alias("place", "hit")).select(
         "query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.id").alias(id_col), F.col("hit.score").alias("score")
     )

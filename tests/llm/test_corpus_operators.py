@@ -357,3 +357,19 @@ def test_neighbours_recall_ties_and_unusable_vectors(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     few = df.where("vec_id in (0, 3)")
     assert [(r["query_id"], r["vec_id"]) for r in neighbours.nearest(few, F.col("vec_id") == 0, probes=96).collect()] == [(0, 3)]
+
+
+@pytest.mark.parametrize("n", [10, 25])
+def test_neighbours_of_small_tables_are_whole(spark, n):
+    """With the probes of the query itself."""
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 5 == 0).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(found) == list(range(0, n, 5))
+    for q, mine in found.items():
+        assert [rank for rank, _ in mine] == list(range(1, min(10, n - 1) + 1))
+        if n <= 10:
+            d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+            assert [i for _, i in mine] == [int(i) for i in np.argsort(d) if i != q]
