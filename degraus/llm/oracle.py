@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+from degraus.llm.collocations import LEAST, LONGEST, MOST_RANKED
+from degraus.llm.filter_audit import (
+    FILTERS,
+    LEAST_DISTINCT_PERCENT,
+    LEAST_WORDS,
+    MOST_CAPITALS_PERCENT,
+)
+from degraus.llm.filter_audit import SYMBOLS as FILTER_SYMBOLS
 from degraus.llm.quality_rules import PHRASES, SENTENCE_MARKS, SEPARATORS, SYMBOLS, LineRules
 
 _LIMITS = LineRules()
@@ -55,4 +63,82 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
 from facts
 """
 
-ORACLE_SQL = {"op1_quality_rules": OP1}
+OP11 = rf"""
+with pieces as (
+    select row_number() over () as p, lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+    from (
+        select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece
+        from documents)),
+placed as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces),
+grams as (
+    select lang, list_aggregate(w[i : i + m - 1], 'string_agg', ' ') as phrase, m
+    from placed, (select unnest(range(1, {LONGEST} + 1)) as m) where i + m - 1 <= len(w)),
+counts as (select lang, phrase, m, count(*) as a from grams group by all),
+sizes as (select lang, sum(a) as n from counts where m = 1 group by lang),
+candidates as (select lang, phrase, m, a, string_split(phrase, ' ') as w from counts where m > 1 and a >= {LEAST}),
+inside as (
+    select lang, array_to_string(w[1 + x : m - 1 + x], ' ') as phrase, max(a) as longer
+    from candidates, (select unnest([0, 1]) as x) group by all),
+cuts as (
+    select c.lang, c.phrase, c.a, n, k, array_to_string(w[1 : k], ' ') as first, array_to_string(w[k + 1 : m], ' ') as rest
+    from candidates c join sizes using (lang) left join inside i on c.lang = i.lang and c.phrase = i.phrase,
+        (select unnest(range(1, {LONGEST})) as k)
+    where k < m and (longer is null or 100 * longer < 100 * c.a)),
+scored as (
+    select c.lang, c.phrase, c.a, l.a as l, r.a as r, n, k,
+        ((1000::hugeint * c.a * n::hugeint) // (l.a::hugeint * r.a))::bigint as score
+    from cuts c join counts l on l.lang = c.lang and l.phrase = first join counts r on r.lang = c.lang and r.phrase = rest),
+lowest as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+        n::bigint as n, score
+    from lowest)
+select * from ranked where rank <= {MOST_RANKED}
+"""
+
+_LETTERS = ", ".join(f"('{x}', {1 << i})" for i, x in enumerate(FILTERS))
+OP12 = rf"""
+with docs as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+firsts as (select t, min(doc_id) as low from docs group by t),
+marked as (
+    select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+    from labels group by doc_id),
+worded as (select *, regexp_extract_all(t, {_text(_WORD)}) as w from docs),
+masks as (
+    select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+        (case when len(w) < {LEAST_WORDS} then 1 else 0 end)
+        + (case when 100 * len(list_distinct(w)) < {LEAST_DISTINCT_PERCENT} * len(w) then 2 else 0 end)
+        + (case when 100 * len(regexp_extract_all(t, '[A-Z]')) > {MOST_CAPITALS_PERCENT} * length(t) then 4 else 0 end)
+        + (case when regexp_matches(t, {_text(FILTER_SYMBOLS)}) then 8 else 0 end)
+        + (case when doc_id > low then 16 else 0 end) as mask
+    from worded join firsts using (t) left join marked using (doc_id)),
+cells as (
+    select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+    from masks group by part, mask),
+letters(f, bit) as (values {_LETTERS}),
+orders as (
+    select a.f || b.f || c.f || d.f || e.f as filter_order
+    from letters a, letters b, letters c, letters d, letters e
+    where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+steps as (
+    select filter_order, step, bit,
+        (select coalesce(sum(e.bit), 0)::bigint from letters e where instr(filter_order, e.f) < step) as before
+    from orders, (select unnest(range(1, 6)) as step) join letters on f = filter_order[step]),
+effects as (
+    select part, filter_order, step::int as step, bit,
+        coalesce(sum(n) filter (mask & (before | bit) = 0), 0)::bigint as kept,
+        coalesce(sum(n) filter (mask & before = 0 and mask & bit <> 0), 0)::bigint as removed,
+        coalesce(sum(n) filter (mask & before <> 0 and mask & bit <> 0), 0)::bigint as redundant,
+        coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails,
+        coalesce(sum(good) filter (mask & before = 0 and mask & bit <> 0), 0)::bigint as good_lost,
+        coalesce(sum(toxic) filter (mask & before = 0 and mask & bit <> 0), 0)::bigint as toxic_lost
+    from cells, steps group by part, filter_order, step, bit)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) over (partition by part, bit))::bigint as shapley
+from effects
+"""
+
+ORACLE_SQL = {"op1_quality_rules": OP1, "op11_collocations": OP11, "op12_filter_audit": OP12}

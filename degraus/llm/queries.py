@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from degraus.llm import (
+    chosen_path,
+    collocations,
+    filter_audit,
     jaccard_join,
     language,
     line_dedup,
@@ -90,10 +93,22 @@ def op10_sentence_pieces(spark, sf):
     return sentence_pieces.round_trip(read(spark, sf, "documents"), PIECES)
 
 
+def op11_collocations(spark, sf):
+    return collocations.collocations(read(spark, sf, "documents"))
+
+
+def op12_filter_audit(spark, sf):
+    return filter_audit.filter_audit(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+def op13_chosen_path(spark, sf):
+    return chosen_path.near_duplicates(read(spark, sf, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     fn.__name__: with_workers(fn)
     for fn in (
         op1_quality_rules, op2_token_counts, op3_shards, op4_packing, op5_personal_data, op6_neighbours, op7_language,
-        op8_line_dedup, op9_jaccard_join, op10_sentence_pieces,
+        op8_line_dedup, op9_jaccard_join, op10_sentence_pieces, op11_collocations, op12_filter_audit, op13_chosen_path,
     )
 }
