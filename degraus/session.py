@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping
@@ -55,7 +56,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete stored results that no later step reads. Other DataFrames, and tables deleted before, are left alone."""
+    for table in tables:
+        path = getattr(table, "stored_at", None)
+        if path is not None:
+            spark = table.sparkSession
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect what finished steps held.
+
+    Spark deletes shuffle files and broadcasts once the driver has collected the plans they belong to. A driver with much
+    memory collects seldom, so an iterative operator asks for it after a round.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def at_once(steps: Mapping[str, Callable[[], object]], workers: int = 12) -> dict[str, object]:
