@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from degraus.functions import try_cast_columns
 from degraus.plans import gold as g
 from degraus.plans import silver as s
-from degraus.quality.layers import Verdict, validate_layer
+from degraus.quality.layers import Verdict, validate_layer, write_measured
 from degraus.session import at_once
 from degraus.sources.alerts import now_text, raise_alert
 from degraus.sources.csv import ORIGIN, arrival, read_csv
 from degraus.sources.external import SourceError, first_available, read_warehouse
-from degraus.sources.tables import Layer, path_exists
+from degraus.sources.files import path_exists, rename
+from degraus.sources.snapshots import PublishedLayer
+from degraus.sources.tables import Layer
 from degraus.spec import GOLD_PARTITIONS, RULES, SILVER_PARTITIONS, SOURCES, SourceTable
 
 
@@ -38,7 +40,7 @@ class Lake:
         self.root = self.root.rstrip("/")
         self.bronze = Layer(self.spark, self.root, "bronze", self.full_refresh)
         self.silver = Layer(self.spark, self.root, "silver", self.full_refresh)
-        self.gold = Layer(self.spark, self.root, "gold", self.full_refresh)
+        self.gold = PublishedLayer(self.spark, self.root, "gold", self.full_refresh)
         self.alert_log = f"{self.root}/monitoramento/alertas"
 
     def alert(self, level: str, origin: str, message: str, context: Mapping | None = None) -> None:
@@ -99,7 +101,7 @@ def _ingest(lake: Lake, name: str, years: Sequence[int] | None) -> dict:
     openers = {"warehouse": _from_warehouse(lake, source, years), "raw": from_file}
 
     def store(opener: Callable[[], DataFrame]) -> None:
-        lake.bronze.write(opener(), name, source.partitions)
+        write_measured(lake.bronze, opener(), name, source.partitions, RULES["bronze"][name])
 
     try:
         steps = ((tag, partial(store, opener)) for tag, opener in openers.items())
@@ -140,6 +142,17 @@ def silver_plan(years: Sequence[int] | None = None) -> dict[str, tuple[str, Call
 
 UNSTAMPED = {"diretorio_municipio", "diretorio_uf"}
 
+#: Silver tables that hold one row per key of one Bronze table, so the difference are the repeated rows that went.
+ROW_BY_ROW = ("indicador_municipio", "indicador_uf", "diretorio_municipio", "diretorio_uf", "alunos", "idhm_municipio")
+
+
+def _removed_rows(lake: Lake, result: RunResult) -> None:
+    """Note how many repeated rows each cleaning removed, from what both writes counted."""
+    for name in ROW_BY_ROW:
+        before, after = lake.bronze.measured.get(name), lake.silver.measured.get(name)
+        if before and after and f"silver.{name}" in result.tables:
+            result.tables[f"silver.{name}"]["duplicatas_removidas"] = before["registros"] - after["registros"]
+
 
 def _clean(lake: Lake, name: str, source: str, clean: Callable[[DataFrame], DataFrame], stamp: str) -> dict:
     bronze = lake.bronze.read(source)
@@ -147,8 +160,17 @@ def _clean(lake: Lake, name: str, source: str, clean: Callable[[DataFrame], Data
         return {"status": "ausente_na_bronze"}
     try:
         df = clean(bronze)
-        lake.silver.write(df if name in UNSTAMPED else stamped(df, stamp), name, SILVER_PARTITIONS[name])
-        return {"status": "sucesso"}
+        coded = {"rede", "rede_label"} <= set(df.columns)
+        unknown = F.when(F.col("rede_label").isNull(), F.col("rede").cast("int")) if coded else None
+        measured = write_measured(
+            lake.silver, df if name in UNSTAMPED else stamped(df, stamp), name, SILVER_PARTITIONS[name],
+            RULES["silver"][name], [F.collect_set(unknown).alias("codigos_sem_rotulo")] if coded else [],
+        )
+        result = {"status": "sucesso"}
+        if measured and measured.get("codigos_sem_rotulo"):
+            result["codigos_sem_rotulo"] = sorted(measured["codigos_sem_rotulo"])
+            lake.alert("WARNING", f"silver.{name}", "Códigos de rede sem rótulo", {"codigos": result["codigos_sem_rotulo"]})
+        return result
     except PySparkException as error:
         lake.alert("ERROR", f"silver.{name}", f"Falha no processamento: {error}")
         return {"status": "erro", "erro": str(error)}
@@ -173,7 +195,7 @@ def build_silver(lake: Lake, years: Sequence[int] | None = None, stamp: str | No
             lake.silver.read("meta_municipio"),
             lake.silver.read("idhm_municipio") if "idhm_municipio" in stored else None,
         )
-        lake.silver.write(stamped(integrated, stamp), name, SILVER_PARTITIONS[name])
+        write_measured(lake.silver, stamped(integrated, stamp), name, SILVER_PARTITIONS[name], RULES["silver"][name])
         results[name] = {"status": "sucesso"}
     except PySparkException as error:
         lake.alert("ERROR", f"silver.{name}", f"Falha na integração: {error}")
@@ -199,7 +221,7 @@ def _build(lake: Lake, target: Layer, name: str, build: Callable[[], DataFrame |
         df = build()
         if df is None:
             return {"status": "pulado", "motivo": "sem eventos"}
-        target.write(stamped(df, stamp), name, GOLD_PARTITIONS[name], compact=True)
+        write_measured(target, stamped(df, stamp), name, GOLD_PARTITIONS[name], RULES["gold"][name], compact=True)
         return {"status": "sucesso"}
     except (PySparkException, AttributeError) as error:  # AttributeError: a needed table is absent
         lake.alert("ERROR", f"gold.{name}", str(error))
@@ -215,17 +237,8 @@ def build_gold(
     return at_once({name: partial(_build, lake, target, name, build, stamp) for name, build in plan.items()})
 
 
-def _copy_tables(staged: Layer, target: Layer) -> None:
-    def copy(name: str) -> None:
-        df = staged.read(name)
-        if df is not None:
-            target.write(df, name, GOLD_PARTITIONS[name], compact=True)
-
-    at_once({name: partial(copy, name) for name in GOLD_PARTITIONS})
-
-
 def _gate(lake: Lake, layer: Layer, name: str, result: RunResult) -> bool:
-    verdict = validate_layer(layer, lake.alert_log, RULES[name], name)
+    verdict = validate_layer(layer, lake.alert_log, RULES[name], name, layer.measured)
     result.verdicts[name] = verdict
     for table, found in verdict.tables.items():
         if f"{name}.{table}" in result.tables:
@@ -251,11 +264,12 @@ def _step(lake: Lake, name: str, results: dict[str, dict], result: RunResult) ->
 
 
 def publish(lake: Lake, candidate: Layer, result: RunResult) -> bool:
-    """Check a Gold candidate; publish it, or keep it apart and leave the published tables alone."""
+    """Check a Gold candidate; publish it where it lies, or set it apart and leave the published tables alone."""
     if not _gate(lake, candidate, "gold", result):
-        _copy_tables(candidate, Layer(lake.spark, f"{lake.root}/gold_rejeitada", result.run))
+        # No reader knows the candidate, so moving it is not seen half done.
+        rename(lake.spark, candidate.folder, f"{lake.root}/gold_rejeitada/{result.run}")
         return False
-    _copy_tables(candidate, lake.gold)
+    lake.gold.publish(candidate, GOLD_PARTITIONS, result.run)
     result.published = True
     return True
 
@@ -263,9 +277,8 @@ def publish(lake: Lake, candidate: Layer, result: RunResult) -> bool:
 def run(lake: Lake, years: Sequence[int] | None = None) -> RunResult:
     """All layers with a quality gate behind each.
 
-    Gold is built in ``gold_candidata/<run>``. Only a candidate that passes is written over the
-    published tables; one that fails is kept in ``gold_rejeitada/<run>`` and the published tables
-    stay as they were.
+    Gold is built in ``gold_versoes/<run>``. A candidate that passes is published by one manifest, so readers see all
+    of its tables or none; one that fails is kept in ``gold_rejeitada/<run>`` and the published tables stay as they were.
     """
     if years and lake.full_refresh:
         raise ValueError("a full refresh replaces all years and cannot be limited to some")
@@ -278,9 +291,10 @@ def run(lake: Lake, years: Sequence[int] | None = None) -> RunResult:
         return result
     if not _step(lake, "silver", build_silver(lake, years, stamp), result):
         return result
+    _removed_rows(lake, result)
     if not _gate(lake, lake.silver, "silver", result):
         return result
-    candidate = Layer(lake.spark, f"{lake.root}/gold_candidata", run_id)
+    candidate = lake.gold.candidate(run_id)
     if not _step(lake, "gold", build_gold(lake, candidate, years, stamp), result):
         return result
     publish(lake, candidate, result)

@@ -2,8 +2,9 @@
 
 Every check yields one report row with the measured count and the verdict:
 camada, tabela, tipo, coluna, medida, pct, minimo, maximo, limite, registros, falhou, exemplos.
-Nulls, ranges and the row count come from one aggregate over the table; uniqueness needs a grouping
-by key, each domain the distinct values of one column, each reference an anti join on distinct keys.
+Nulls, ranges and the row count come from one aggregate over the table, or from the write of the table if that took it;
+uniqueness needs a grouping by key, each domain the distinct values of one column, each reference an anti join on
+distinct keys.
 """
 
 from __future__ import annotations
@@ -45,39 +46,68 @@ def _lines(row: DataFrame, lines: Sequence[Column]) -> DataFrame:
     return row.select("registros", F.inline(F.array(*lines)))
 
 
-def column_checks(
-    df: DataFrame,
+def column_measures(
+    columns: Sequence[str], required: Sequence[str] = (), ranges: Mapping[str, tuple[float, float]] | None = None
+) -> list[Column]:
+    """Aggregates for completeness and ranges: rows, nulls per required column, numbers out of range, unreadable texts."""
+    aggs = [F.count("*").alias("registros")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"nulos_{i}") for i, c in enumerate(required) if c in columns]
+    for i, (column, (low, high)) in enumerate((ranges or {}).items()):
+        if column in columns:
+            text = F.col(column).cast("string")
+            number = decimal_comma(text)
+            aggs.append(F.count_if(out_of_range(number, low, high)).alias(f"fora_{i}"))
+            aggs.append(F.count_if(text.isNotNull() & number.isNull()).alias(f"ilegivel_{i}"))
+    return aggs
+
+
+def column_lines(
+    row: DataFrame,
+    columns: Sequence[str],
     required: Sequence[str] = (),
     max_null_pct: float = 5.0,
     ranges: Mapping[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
-    """Completeness and numeric ranges in a single pass."""
-    aggs = [F.count("*").alias("registros")]
+    """Report rows from one row of ``column_measures``."""
     lines = []
     for i, column in enumerate(required):
-        if column not in df.columns:
+        if column not in columns:
             lines.append(_line("COLUNA_AUSENTE", column, falhou=True))
             continue
-        aggs.append(F.count_if(F.col(column).isNull()).alias(f"nulos_{i}"))
         nulls = F.col(f"nulos_{i}")
         pct = F.coalesce(round_even(F.try_divide(nulls, F.col("registros")) * 100.0, 2), F.lit(0.0))
         lines.append(_line("NULOS_ACIMA_LIMITE", column, medida=nulls, pct=pct, limite=max_null_pct,
                            falhou=pct > max_null_pct))
     for i, (column, (low, high)) in enumerate((ranges or {}).items()):
-        if column not in df.columns:
+        if column not in columns:
             continue
-        text = F.col(column).cast("string")
-        number = decimal_comma(text)
-        aggs.append(F.count_if(out_of_range(number, low, high)).alias(f"fora_{i}"))
-        aggs.append(F.count_if(text.isNotNull() & number.isNull()).alias(f"ilegivel_{i}"))
         lines.append(_line("DOMINIO_NUMERICO_INVALIDO", column, medida=F.col(f"fora_{i}"), minimo=low, maximo=high,
                            limite=0.0, falhou=F.col(f"fora_{i}") > 0))
         # Text that is no number cannot be in the range.
         lines.append(_line("VALOR_ILEGIVEL", column, medida=F.col(f"ilegivel_{i}"), limite=0.0,
                            falhou=F.col(f"ilegivel_{i}") > 0))
     if not lines:
-        return df.agg(*aggs).select("registros", F.inline(F.array(_line("REGISTROS", "", falhou=False)))).limit(0)
-    return _lines(df.agg(*aggs), lines)
+        return row.select("registros", F.inline(F.array(_line("REGISTROS", "", falhou=False)))).limit(0)
+    return _lines(row, lines)
+
+
+def column_checks(
+    df: DataFrame,
+    required: Sequence[str] = (),
+    max_null_pct: float = 5.0,
+    ranges: Mapping[str, tuple[float, float]] | None = None,
+) -> DataFrame:
+    """Completeness and numeric ranges in a single pass."""
+    return column_lines(df.agg(*column_measures(df.columns, required, ranges)), df.columns, required, max_null_pct, ranges)
+
+
+def measured_checks(df: DataFrame, measured: Mapping[str, int], rule: Rule) -> DataFrame:
+    """``column_checks`` of a table from what was measured while it was written; the table is not read."""
+    names = [n for n, value in measured.items() if isinstance(value, int)]
+    row = df.sparkSession.createDataFrame(
+        [tuple(measured[n] for n in names)], ", ".join(f"{n} bigint" for n in names)
+    )
+    return column_lines(row, df.columns, rule.required, rule.max_null_pct, rule.ranges)
 
 
 def uniqueness_check(df: DataFrame, keys: Sequence[str], large: bool = False) -> DataFrame:
@@ -116,9 +146,17 @@ def check_table(
     rule: Rule,
     layer: str = "",
     read: Callable[[str], DataFrame | None] | None = None,
+    measured: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """The full report of a table. References whose table is absent are skipped."""
-    parts = [column_checks(df, rule.required, rule.max_null_pct, rule.ranges)]
+    """The full report of a table. References whose table is absent are skipped. With ``measured``, what the write of
+    the table counted, completeness and ranges need no scan."""
+    expected = {f"nulos_{i}" for i, c in enumerate(rule.required) if c in df.columns} | {
+        f"fora_{i}" for i, c in enumerate(rule.ranges) if c in df.columns
+    }
+    if measured is not None and expected <= measured.keys():
+        parts = [measured_checks(df, measured, rule)]
+    else:
+        parts = [column_checks(df, rule.required, rule.max_null_pct, rule.ranges)]
     if any(k in df.columns for k in rule.keys):
         parts.append(uniqueness_check(df, rule.keys, rule.large))
     parts += [domain_check(df, c, domain) for c, domain in rule.domains.items() if c in df.columns]

@@ -2,23 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial, reduce
+from threading import Thread
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
-from degraus.quality.checks import check_table, described, roll_up
+from degraus.quality.checks import check_table, column_measures, described, roll_up
 from degraus.session import at_once
 from degraus.sources.alerts import raise_alert
 from degraus.sources.tables import Layer
 from degraus.spec import RULES, Rule
 
 
-def table_report(layer: Layer, table: str, rule: Rule) -> DataFrame | None:
+#: Seconds to wait for what a write has measured. It is there when the write ends, unless Spark found the data to be empty
+#: and measured nothing.
+WAIT = 10.0
+
+
+def write_measured(
+    layer: Layer, df: DataFrame, table: str, partitions: Sequence[str] = (), rule: Rule | None = None,
+    further: Sequence[Column] = (), **options: object,
+) -> dict[str, object] | None:
+    """Store a table and measure its rule's columns, and ``further`` aggregates, in the same pass.
+
+    The result, also noted in ``layer.measured``, is None if the table holds partitions of earlier writes too, or nothing
+    could be measured; then a check has to read it.
+    """
+    observation = Observation()
+    measures = column_measures(df.columns, rule.required, rule.ranges) if rule else [F.count("*").alias("registros")]
+    layer.write(df, table, partitions, measures=[*measures, *further], observation=observation, **options)
+    found: list[dict] = []
+    waiting = Thread(target=lambda: found.append(observation.get), daemon=True)
+    waiting.start()
+    waiting.join(WAIT)
+    if not found or not found[0] or not layer.written_at_once(table):
+        return None
+    layer.measured[table] = dict(found[0])
+    return layer.measured[table]
+
+
+def table_report(
+    layer: Layer, table: str, rule: Rule, measured: Mapping[str, int] | None = None
+) -> DataFrame | None:
     """The report of a stored table; None when it is not there."""
     df = layer.read(table)
-    return None if df is None else check_table(df, table, rule, layer.name, layer.read)
+    return None if df is None else check_table(df, table, rule, layer.name, layer.read, measured)
 
 
 def layer_report(layer: Layer, rules: Mapping[str, Rule] | None = None) -> DataFrame | None:
@@ -49,8 +80,9 @@ def validate_layer(
     alert_log: str | None = None,
     rules: Mapping[str, Rule] | None = None,
     name: str | None = None,
+    measured: Mapping[str, Mapping[str, int] | None] | None = None,
 ) -> Verdict:
-    """Check a layer and raise one alert per failing table.
+    """Check a layer and raise one alert per failing table. ``measured`` has what the writes of its tables counted.
 
     A report has one row per rule, so it is collected as a whole. Unlike a table that is
     optional, a missing mandatory table fails the layer.
@@ -60,7 +92,7 @@ def validate_layer(
     verdict = Verdict()
 
     def lines_of(table: str):
-        report = table_report(layer, table, rules[table])
+        report = table_report(layer, table, rules[table], (measured or {}).get(table))
         return None if report is None else described(report).collect()
 
     for table, lines in at_once({table: partial(lines_of, table) for table in rules}).items():
