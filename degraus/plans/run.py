@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -20,10 +21,20 @@ from degraus.session import at_once
 from degraus.sources.alerts import now_text, raise_alert
 from degraus.sources.csv import ORIGIN, arrival, read_csv
 from degraus.sources.external import SourceError, first_available, read_warehouse
-from degraus.sources.files import path_exists, rename
+from degraus.sources.files import path_exists, read_text, rename, write_text
 from degraus.sources.snapshots import PublishedLayer
 from degraus.sources.tables import Layer
-from degraus.spec import GOLD_PARTITIONS, RULES, SILVER_PARTITIONS, SOURCES, SourceTable
+from degraus.spec import EVENT_TABLES, GOLD_PARTITIONS, RULES, SILVER_PARTITIONS, SOURCES, SourceTable
+from degraus.streaming.history import EventHistory, read_history
+
+
+class BronzeLayer(Layer):
+    """Source tables, and event tables with their compacted days."""
+
+    def read(self, table: str) -> DataFrame | None:
+        if table in EVENT_TABLES.values():
+            return read_history(self.spark, self.folder, table)
+        return super().read(table)
 
 
 @dataclass
@@ -38,7 +49,7 @@ class Lake:
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
-        self.bronze = Layer(self.spark, self.root, "bronze", self.full_refresh)
+        self.bronze = BronzeLayer(self.spark, self.root, "bronze", self.full_refresh)
         self.silver = Layer(self.spark, self.root, "silver", self.full_refresh)
         self.gold = PublishedLayer(self.spark, self.root, "gold", self.full_refresh)
         self.alert_log = f"{self.root}/monitoramento/alertas"
@@ -134,8 +145,8 @@ def silver_plan(years: Sequence[int] | None = None) -> dict[str, tuple[str, Call
         "diretorio_municipio": ("diretorio_municipio", s.city_directory),
         "diretorio_uf": ("diretorio_uf", s.state_directory),
         "alunos": ("alunos", lambda df: s.students(df, years)),
-        "indicador_streaming": ("streaming_indicadores", s.indicator_events),
-        "meta_streaming": ("streaming_metas", s.target_events),
+        "indicador_streaming": ("streaming_indicadores", lambda df: s.indicator_events(df, keep=("data",))),
+        "meta_streaming": ("streaming_metas", lambda df: s.target_events(df, keep=("data",))),
         "idhm_municipio": ("idhm_municipio", s.city_hdi),
     }
 
@@ -154,6 +165,37 @@ def _removed_rows(lake: Lake, result: RunResult) -> None:
             result.tables[f"silver.{name}"]["duplicatas_removidas"] = before["registros"] - after["registros"]
 
 
+def _merge_events(lake: Lake, name: str, source: str, clean: Callable[[DataFrame], DataFrame], stamp: str) -> dict:
+    """Clean the days of an event table that changed since the last run, and replace them in Silver.
+
+    Two events with one key have one time and so one day, which is why a day can be cleaned without the others. The days
+    and batches that Silver holds are noted after the write; if a run breaks off before that, the next one merges the
+    same days again.
+    """
+    history = EventHistory(lake.spark, lake.bronze.folder, source)
+    days = history.days()
+    if not days:
+        return {"status": "ausente_na_bronze"}
+    ledger = f"{lake.silver.folder}/_lotes/{name}.json"
+    stored = path_exists(lake.spark, lake.silver.path(name)) and not lake.full_refresh
+    text = read_text(lake.spark, ledger) if stored else None
+    changed = history.changed(days, json.loads(text) if text else {})
+    try:
+        if changed:
+            df = stamped(clean(history.read(changed)), stamp)
+            write_measured(lake.silver, df, name, SILVER_PARTITIONS[name], RULES["silver"][name])
+        write_text(lake.spark, ledger, json.dumps(days))
+        return {"status": "sucesso", "dias": len(changed)}
+    except PySparkException as error:
+        lake.alert("ERROR", f"silver.{name}", f"Falha no processamento: {error}")
+        return {"status": "erro", "erro": str(error)}
+
+
+def compact_events(lake: Lake, before: str) -> dict[str, list[str]]:
+    """Compact the closed days of all event tables; see ``EventHistory.compact``."""
+    return {t: EventHistory(lake.spark, lake.bronze.folder, t).compact(before) for t in EVENT_TABLES.values()}
+
+
 def _clean(lake: Lake, name: str, source: str, clean: Callable[[DataFrame], DataFrame], stamp: str) -> dict:
     bronze = lake.bronze.read(source)
     if bronze is None:
@@ -180,7 +222,8 @@ def build_silver(lake: Lake, years: Sequence[int] | None = None, stamp: str | No
     """Clean every Bronze table that exists, then integrate if the needed ones do."""
     stamp = stamp or now_text()
     results = at_once({
-        name: partial(_clean, lake, name, source, clean, stamp) for name, (source, clean) in silver_plan(years).items()
+        name: partial(_merge_events if source in EVENT_TABLES.values() else _clean, lake, name, source, clean, stamp)
+        for name, (source, clean) in silver_plan(years).items()
     })
     stored = {name for name, result in results.items() if result["status"] == "sucesso"}
     absent = [t for t in ("indicador_municipio", "diretorio_municipio", "meta_municipio") if t not in stored]

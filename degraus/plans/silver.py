@@ -155,7 +155,7 @@ def typed_events(df: DataFrame, topic: str) -> DataFrame:
     return df.withColumn("revisao", as_boolean(F.col("revisao"))) if "revisao" in df.columns else df
 
 
-def _event_table(df: DataFrame, topic: str, entity: str, order: Order) -> DataFrame:
+def _event_table(df: DataFrame, topic: str, entity: str, order: Order, keep: Sequence[str]) -> DataFrame:
     df = typed_events(df, topic)
     if "id_municipio" in df.columns:
         df = df.withColumn("id_municipio", F.trim("id_municipio"))
@@ -163,17 +163,17 @@ def _event_table(df: DataFrame, topic: str, entity: str, order: Order) -> DataFr
         "sigla_uf": F.upper(F.trim("sigla_uf")),
         "timestamp": parse_event_time(F.col("timestamp")),
     })
-    return keep_last(df, [entity, "ano", "timestamp"], order).drop(*STREAM_COLUMNS)
+    return keep_last(df, [entity, "ano", "timestamp"], order).drop(*(c for c in STREAM_COLUMNS if c not in keep))
 
 
-def indicator_events(df: DataFrame, order: Order = STREAM_ORDER) -> DataFrame:
-    """silver.indicador_streaming, kept apart from the official results."""
-    return _event_table(df, TOPIC_INDICATORS, "id_municipio", order)
+def indicator_events(df: DataFrame, order: Order = STREAM_ORDER, keep: Sequence[str] = ()) -> DataFrame:
+    """silver.indicador_streaming, kept apart from the official results. ``keep`` names columns of the stream to keep."""
+    return _event_table(df, TOPIC_INDICATORS, "id_municipio", order, keep)
 
 
-def target_events(df: DataFrame, order: Order = STREAM_ORDER) -> DataFrame:
+def target_events(df: DataFrame, order: Order = STREAM_ORDER, keep: Sequence[str] = ()) -> DataFrame:
     """silver.meta_streaming"""
-    return _event_table(df, TOPIC_TARGETS, "sigla_uf", order)
+    return _event_table(df, TOPIC_TARGETS, "sigla_uf", order, keep)
 
 
 def with_hdi(df: DataFrame, hdi: DataFrame | None, vintage: int = HDI_YEAR) -> DataFrame:

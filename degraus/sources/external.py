@@ -26,17 +26,22 @@ def read_warehouse(
     return df
 
 
-def read_broker(spark: SparkSession, servers: str, topics: Sequence[str], per_batch: int | None = None) -> DataFrame:
+def read_broker(
+    spark: SparkSession, servers: str, topics: Sequence[str], per_batch: int | None = None, at_least: int | None = None,
+    wait: str | None = None,
+) -> DataFrame:
     """Topics as a stream of (topico, valor), from the earliest offset; offsets live in the
-    checkpoint of the query, so they advance only with the written batch."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(topics))
-        .option("startingOffsets", "earliest")
-    )
-    if per_batch:
-        reader = reader.option("maxOffsetsPerTrigger", per_batch)
+    checkpoint of the query, so they advance only with the written batch.
+
+    A batch takes ``per_batch`` events at most. With ``at_least`` it starts as soon as so many events wait, or ``wait``
+    (such as ``3 seconds``) after the last one, whichever comes first.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": per_batch, "minOffsetsPerTrigger": at_least,
+        "maxTriggerDelay": wait if at_least else None,
+    }
+    reader = spark.readStream.format("kafka").options(**{k: v for k, v in options.items() if v is not None})
     return reader.load().select(F.col("topic").alias("topico"), F.col("value").cast("string").alias("valor"))
 
 

@@ -85,6 +85,7 @@ EVENT_TABLES = {TOPIC_INDICATORS: "streaming_indicadores", TOPIC_TARGETS: "strea
 REJECTED_TABLE = "streaming_rejeitados"
 
 # --- Source tables --------------------------------------------------------------------
+# File, table and column names of the published datasets, and the partition columns of the stored tables.
 
 
 @dataclass(frozen=True)
@@ -149,8 +150,9 @@ SILVER_PARTITIONS = {
     "diretorio_municipio": (),
     "diretorio_uf": (),
     "alunos": ("ano",),
-    "indicador_streaming": ("ano",),
-    "meta_streaming": ("ano",),
+    # Rows with one key have one time, so a day is merged by itself.
+    "indicador_streaming": ("ano", "data"),
+    "meta_streaming": ("ano", "data"),
     "idhm_municipio": ("ano",),
     "alfabetizacao_integrado": ("ano",),
 }

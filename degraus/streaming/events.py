@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from degraus.sources.alerts import now_text, raise_alert
+from degraus.sources.tables import Layer
 from degraus.spec import EVENT_TABLES, REJECTED_TABLE, REQUIRED_KEYS
 
 
@@ -103,15 +104,18 @@ def start_ingestion(
 ) -> tuple[StreamingQuery, StreamTotals]:
     """Start the stream. Without ``interval`` it works off what is there and stops."""
     totals = StreamTotals()
+    root, _, layer_name = bronze.rstrip("/").rpartition("/")
+    layer = Layer(events.sparkSession, root, layer_name)
 
     def append(df: DataFrame, table: str, *parts: str) -> None:
+        layer.declare(table, df.schema)
         # The rebalance joins small pieces and splits large ones by their bytes.
         (
             df.hint("rebalance", *parts)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts)
-            .parquet(f"{bronze.rstrip('/')}/{table}")
+            .parquet(layer.path(table))
         )
 
     def store(batch: DataFrame, batch_id: int) -> None:
