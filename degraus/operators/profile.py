@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from degraus.functions import round_even
 from degraus.operators.selection import count_removed_of_few
+from degraus.session import stored
 
 
 def bin_number(column: str, first: float, last: float, width: float) -> Column:
@@ -87,50 +88,72 @@ def value_counts(
     return counts.withColumn("proporcao", share if digits is None else round_even(share, digits))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 10_000, most: int = 100_000) -> DataFrame:
-    """Exact median in one row, without one task holding all values.
+def exact_median(df: DataFrame, column: str, accuracy: int = 4_096, most: int = 100_000) -> DataFrame:
+    """Exact median in one row, in two scans of the data, without one task holding all values.
 
-    A quantile sketch brackets the middle ranks. Values equal to an end of the bracket are counted, so a rank that falls
-    on one is known; else the search goes on strictly between the ends, each round on about 16 / accuracy of the ranks
-    that are left, until at most ``most`` distinct values remain to be counted and ordered. The driver sees one row of
-    figures per round.
+    The first scan merges quantile sketches of size ``accuracy`` from all tasks; they bracket the middle ranks. The
+    second counts the values below and above the bracket and, one by one, those inside, and stores these counts, which are
+    few. The middle is then looked for among them: as long as there are more than ``most``, they are cut at pivots and only
+    the part with the middle ranks is kept. The driver sees figures of pivots, never values of all rows.
     """
-    spark = df.sparkSession
+    spark, x = df.sparkSession, F.col("x")
     data = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
-    total = data.count()
+    size = min(max(accuracy, 8), 65_535)
+    total, sketch = data.agg(F.count("x"), F.kll_sketch_agg_double("x", F.lit(size))).first()
     if not total:
         return spark.createDataFrame([(None,)], "mediana DOUBLE")
     ranks = sorted({(total + 1) // 2, (total + 2) // 2})
-    known: dict[int, float] = {}
-    # Eight times the rank error of the sketch, so the middle ranks are always inside.
-    reach, below, left = 8.0 / accuracy, 0, total
-    while len(known) < len(ranks):
-        open_ranks = [r for r in ranks if r not in known]
-        shares = [max(0.0, (open_ranks[0] - below) / left - reach), min(1.0, (open_ranks[-1] - below) / left + reach)]
-        low, high = data.agg(F.percentile_approx("x", shares, F.lit(accuracy)).alias("q")).first()["q"]
-        x = F.col("x")
-        between = (x > low) & (x < high)
-        seen = data.agg(
-            F.count_if(x < low).alias("under"), F.count_if(x == low).alias("at_low"), F.count_if(between).alias("inside"),
-            F.count_if(x == high).alias("at_high"), F.approx_count_distinct(F.when(between, x)).alias("values"),
+    # Four times the rank error to be expected of such a sketch. A bracket that still misses the middle is widened, at
+    # the price of another scan.
+    reach = 4 * 2.3 / size**0.9
+    while True:
+        shares = [max(0.0, ranks[0] / total - reach), min(1.0, ranks[-1] / total + reach)]
+        low, high = spark.range(1).select(
+            F.kll_sketch_get_quantile_double(F.lit(bytes(sketch)), F.array(*map(F.lit, shares)))
+        ).first()[0]
+        side = F.when(x < low, -1).when(x > high, 1).otherwise(0)
+        counted = data.select(side.alias("side"), F.when(side == 0, x).alias("x")).groupBy("side", "x").agg(
+            F.count("*").alias("n")
+        )
+        kept = stored(counted, "mediana")
+        under, inside, values = kept.agg(
+            F.coalesce(F.sum(F.when(F.col("side") == -1, F.col("n"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(F.col("side") == 0, F.col("n"))), F.lit(0)), F.count_if(F.col("side") == 0),
         ).first()
-        ends = below + seen["under"], below + seen["under"] + seen["at_low"]
-        for rank in open_ranks:
-            if ends[0] < rank <= ends[1]:
-                known[rank] = low
-            elif low < high and ends[1] + seen["inside"] < rank <= ends[1] + seen["inside"] + seen["at_high"]:
-                known[rank] = high
-        data, below, left = data.where(between), ends[1], seen["inside"]
-        if len(known) < len(ranks) and seen["values"] <= most:
-            upto = F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)) + below
-            placed = data.groupBy("x").agg(F.count("*").alias("n")).select("x", "n", upto.alias("ate"))
-            rest = [r for r in ranks if r not in known]
-            row = placed.agg(*(
-                F.max(F.when((F.col("ate") - F.col("n") < r) & (F.col("ate") >= r), F.col("x"))) for r in rest
-            )).first()
-            known.update(zip(rest, row, strict=True))
-    middle = (known[ranks[0]] + known[ranks[-1]]) / 2.0
-    return spark.createDataFrame([(middle,)], "mediana DOUBLE")
+        if under < ranks[0] and ranks[-1] <= under + inside:
+            break
+        reach *= 4
+    found = _values_at(kept.where("side = 0").select("x", "n"), [r - under for r in ranks], values, most)
+    return spark.createDataFrame([((found[0] + found[-1]) / 2.0,)], "mediana DOUBLE")
+
+
+def _values_at(counts: DataFrame, ranks: Sequence[int], values: int, most: int, pivots: int = 64) -> list[float]:
+    """Values at some neighbouring ranks of ``counts(x, n)``, which has ``values`` rows."""
+    x = F.col("x")
+    while values > most:
+        shares = [(i + 1) / (pivots + 1) for i in range(pivots)]
+        cuts = sorted(set(counts.agg(F.percentile_approx("x", shares, F.lit(100 * pivots))).first()[0]))
+        part = F.aggregate(F.array(*map(F.lit, cuts)), F.lit(0), lambda at, cut: at + F.when(x > cut, 1).otherwise(0))
+        placed = counts.withColumn("part", part)
+        ends, before, kept, skipped = [], 0, [], 0
+        for row in placed.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("values")).orderBy("part").collect():
+            ends.append((row["part"], before, before + row["n"], row["values"]))
+            before += row["n"]
+        for at, start, end, _ in ends:
+            if start < ranks[-1] and ranks[0] <= end:
+                kept.append(at)
+        skipped = next(start for at, start, _, _ in ends if at == kept[0])
+        left = sum(n for at, _, _, n in ends if at in kept)
+        if left == values:
+            break  # two values, or a few that are as many as may remain
+        counts, values = stored(placed.where(F.col("part").isin(kept)).select("x", "n"), "mediana"), left
+        ranks = [r - skipped for r in ranks]
+    upto = F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.select("x", "n", upto.alias("ate"))
+    row = placed.agg(*(
+        F.max(F.when((F.col("ate") - F.col("n") < r) & (F.col("ate") >= r), x)).alias(f"v{i}") for i, r in enumerate(ranks)
+    )).first()
+    return list(row)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

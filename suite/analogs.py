@@ -152,12 +152,13 @@ def city_indicator(spark: SparkSession, sf: str) -> DataFrame:
     return g.city_indicator(integrated(spark, sf), national_results(spark, sf))
 
 
-def evolution(spark: SparkSession, sf: str) -> DataFrame:
-    return g.evolution(national_results(spark, sf), state_results(spark, sf))
+def evolution(spark: SparkSession, sf: str, states_found: DataFrame | None = None) -> DataFrame:
+    return g.evolution(national_results(spark, sf), state_results(spark, sf) if states_found is None else states_found)
 
 
-def state_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return g.state_comparison(state_results(spark, sf), state_targets(spark, sf), integrated(spark, sf))
+def state_comparison(spark: SparkSession, sf: str, states_found: DataFrame | None = None) -> DataFrame:
+    results = state_results(spark, sf) if states_found is None else states_found
+    return g.state_comparison(results, state_targets(spark, sf), integrated(spark, sf))
 
 
 def _network_of_flag(flag):

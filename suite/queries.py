@@ -22,7 +22,7 @@ from degraus.plans import gold as g
 from degraus.plans import silver as s
 from degraus.plans import views as v
 from degraus.quality import checks as q
-from degraus.session import scratch_dir, stored
+from degraus.session import at_once, scratch_dir, stored
 from degraus.sources.tables import read_table
 from degraus.spec import RISK_BANDS, TOPIC_INDICATORS, TOPIC_TARGETS, Rule
 from degraus.streaming import events as ev
@@ -345,8 +345,13 @@ def series_by_uf(spark, sf):
 
 
 def _overview(spark, sf) -> DataFrame:
-    comparison = stored(a.state_comparison(spark, sf), "comparacao")
-    return _rounded(v.state_overview(_evolution(spark, sf), comparison), "indicador_atual", "delta")
+    # The results of the states are stored once; what is built on them does not wait for one another.
+    found = stored(a.state_results(spark, sf), "resultados-uf")
+    built = at_once({
+        "comparison": lambda: stored(a.state_comparison(spark, sf, found), "comparacao"),
+        "evolution": lambda: stored(a.evolution(spark, sf, found), "evolucao"),
+    })
+    return _rounded(v.state_overview(built["evolution"], built["comparison"]), "indicador_atual", "delta")
 
 
 @query

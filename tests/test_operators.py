@@ -184,6 +184,30 @@ def test_median_next_to_a_dominant_value(spark):
     assert profile.exact_median(df, "x", 500, 10).first().mediana == 5.5
 
 
+@pytest.mark.parametrize("most", [100_000, 50])
+def test_median_reads_its_input_twice(spark, most):
+    """Counted row by row on the way from the source, whatever is left to be searched afterwards."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rng = np.random.default_rng(9)
+    values = rng.normal(size=60_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(8).mapInArrow(counting, "x double")
+    assert profile.exact_median(df, "x", most=most).first().mediana == float(np.median(values))
+    assert read.value == 2 * len(values)
+
+
+def test_median_of_infinities_and_ties(frame):
+    inf = float("inf")
+    df = frame([(-inf,), (-inf,), (1.0,), (inf,), (inf,), (inf,)], "x DOUBLE")
+    assert profile.exact_median(df, "x").first().mediana == inf
+    assert profile.exact_median(frame([(-inf,), (2.0,), (2.0,), (2.0,), (inf,)], "x DOUBLE"), "x").first().mediana == 2.0
+
+
 def test_median_of_nothing(frame):
     assert profile.exact_median(frame([(None,)], "x DOUBLE"), "x").first().mediana is None
 

@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import pytest
 from lake import FILES, write_sources
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull
 
 from degraus.sources import csv, external, tables
 from degraus.sources.export import export_json
@@ -119,6 +122,62 @@ def test_warehouse_with_year_filter_and_fallback(spark, frame, tmp_path):
     assert heard == ["a"]
 
 
+def warehouse():
+    """A source with a thousand rows a year. It notes in a folder which years it produces. The classes are local, so they
+    travel to the workers by value."""
+    all_years = (2021, 2022, 2023, 2024)
+
+    class Reader(DataSourceReader):
+        def __init__(self, options):
+            self.options, self.years = options, all_years
+
+        def pushFilters(self, filters):
+            for f in filters:
+                if isinstance(f, In) and f.attribute == ("ano",):
+                    self.years = tuple(y for y in all_years if y in f.value)
+                elif isinstance(f, EqualTo) and f.attribute == ("ano",):
+                    self.years = tuple(y for y in all_years if y == f.value)
+                elif not isinstance(f, IsNotNull):
+                    yield f
+
+        def partitions(self):
+            return [InputPartition(year) for year in self.years]
+
+        def read(self, partition):
+            (Path(self.options["notes"]) / f"{self.options['table']}-{partition.value}").touch()
+            for x in range(1000):
+                yield partition.value, x
+
+    class Warehouse(DataSource):
+        @classmethod
+        def name(cls):
+            return "armazem"
+
+        def schema(self):
+            return "ano INT, x INT"
+
+        def reader(self, schema):
+            return Reader(self.options)
+
+    return Warehouse, set(all_years)
+
+
+def test_the_year_filter_reaches_the_warehouse(spark, tmp_path):
+    """The source itself is told the years, and never produces a row of another one."""
+    source, all_years = warehouse()
+    spark.dataSource.register(source)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    options = {"notes": str(tmp_path)}
+    for years in ([2022, 2024], [2023], None):
+        table = "-".join(map(str, years or ["all"]))
+        df = external.read_warehouse(spark, "armazem", table, years, options=options)
+        assert df.count() == 1000 * len(years or all_years)
+        made = {int(f.name.rsplit("-", 1)[1]) for f in tmp_path.glob(f"{table}-*")}
+        assert made == set(years or all_years)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not years or "Filter (" not in plan
+
+
 def test_partitions_with_other_columns_are_read_whole(spark, frame, tmp_path):
     path = str(tmp_path / "p")
     tables.write_table(frame([(2023, 1)], "ano INT, x INT"), path, ["ano"])
