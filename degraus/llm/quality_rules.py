@@ -4,7 +4,8 @@ Everything is a DataFrame expression over one row; there is no shuffle and no Py
 
 Defined cases: a null text counts as empty; an empty text has no words, so it fails the base rules; a blank line
 (only white space) is no line for any rule and stays where it is; repeated rows are scored one by one; an empty table
-gives an empty result. Only the id and text columns are read, so other columns may have any name.
+gives an empty result; very long texts are one row each and scored whole. ``with_quality`` puts what it finds into one
+struct, so the documents' columns may have any names.
 """
 
 from __future__ import annotations
@@ -26,6 +27,11 @@ BOILERPLATE = (
     "licensed under", "lorem ipsum", "subscribe to our newsletter", "sign in", "log in", "click here",
     "skip to content", "powered by", "share this",
 )
+WORD_FACTS = ("n_words", "word_chars", "n_repeat_words")
+LINE_FACTS = (
+    "n_symbols", "n_dup_lines", "n_lines", "n_punctuation", "n_navigation", "n_boilerplate", "line_chars", "kept_chars",
+    "clean_text",
+)
 PHRASES = rf"(?i)\b(?:{'|'.join(BOILERPLATE)})"
 
 
@@ -133,26 +139,44 @@ def _document_facts(lines: Column) -> Column:
     )
 
 
-def quality_rules(
-    docs: DataFrame, *keep: str, text_col: str = "text", rules: LineRules | None = None
+def with_quality(
+    docs: DataFrame, into: str, text_col: str = "text", rules: LineRules | None = None
 ) -> DataFrame:
-    """The ``keep`` columns of every document, its counts, ``base_failed``, ``kept`` and ``clean_text``.
+    """``docs`` with one more column ``into``, a struct of all that the rules found: the counts, ``base_failed``, ``kept``
+    and ``clean_text``. The other columns may have any names; ``into`` must be new.
 
     ``kept`` is false for documents that fail the base rules (under 50 words, or over half of the words in repeated
     3-word windows) and for those that lose more than ``rules.most_lost_percent`` of their characters to line rules.
     ``clean_text`` has the lines that pass, in order.
     """
+    if into in docs.columns:
+        raise ValueError(f"the documents have a column {into} already")
     rules = rules or LineRules()
     text = F.coalesce(F.col(text_col), F.lit(""))
     scored = docs.select(
-        *keep,
-        let(words_of(text), _word_facts).alias("__words"),
-        let(_line_facts(text, rules), _document_facts).alias("__lines"),
+        F.struct(*docs.columns).alias("doc"),
+        let(words_of(text), _word_facts).alias("words"),
+        let(_line_facts(text, rules), _document_facts).alias("lines"),
     )
-    counts = scored.select(*keep, "__words.*", "__lines.*")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    lost = F.col("line_chars") - F.col("kept_chars")
-    return counts.withColumns({
-        "base_failed": failed,
-        "kept": ~failed & (100 * lost <= rules.most_lost_percent * F.col("line_chars")),
-    })
+    words, lines = F.col("words"), F.col("lines")
+    failed = (words["n_words"] < 50) | (100 * words["n_repeat_words"] > 50 * words["n_words"])
+    lost = lines["line_chars"] - lines["kept_chars"]
+    facts = F.struct(
+        *(words[c].alias(c) for c in WORD_FACTS), *(lines[c].alias(c) for c in LINE_FACTS),
+        failed.alias("base_failed"),
+        (~failed & (100 * lost <= rules.most_lost_percent * lines["line_chars"])).alias("kept"),
+    )
+    return scored.select("doc.*", facts.alias(into))
+
+
+def quality_rules(
+    docs: DataFrame, *keep: str, text_col: str = "text", rules: LineRules | None = None
+) -> DataFrame:
+    """The ``keep`` columns of every document and what ``with_quality`` finds, each in a column of its own. A kept column
+    may not have the name of one of those."""
+    clash = sorted(set(keep) & {*WORD_FACTS, *LINE_FACTS, "base_failed", "kept"})
+    if clash:
+        raise ValueError(f"columns named like findings cannot be kept beside them: {clash}; see with_quality")
+    needed = docs.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), F.col(text_col).alias("t"))
+    found = with_quality(needed, "facts", "t", rules)
+    return found.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "facts.*")
