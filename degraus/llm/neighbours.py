@@ -9,9 +9,11 @@ A bucket is dealt out over salts according to its size, so a bucket that a third
 tasks; its queries go to every salt. No pair of a query and a vector is ever written except the nearest of a block.
 
 Defined cases: vectors that are null or zero, or hold null or non-finite components, take no part, neither as queries nor
-as candidates; so do vectors with another number of components than most have; a query whose probes find fewer than
-``k`` is compared with all vectors, and gets all candidates if there are fewer; ties in distance go to the smaller id; equal vectors are distinct rows; a null
-id takes no part; repeated rows are candidates each; an empty table gives an empty result.
+as candidates; vectors are searched among those with as many components; a query whose probes find fewer than ``k`` is
+compared with all of those, and gets all candidates if there are fewer; ties in distance go to the smaller id; equal
+vectors of different ids are candidates each; repeated rows of an id and vector count once; a null id takes no part;
+components of any finite size are compared without overflow; an empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -82,19 +84,22 @@ def usable(vector: Column) -> Column:
 
 
 def _placed(tables: int, probes: int):
-    """(table, bucket) rows of each vector: of the nearest axis, or of a query's probes."""
+    """(table, bucket) rows of each vector: of the nearest axis, or of a query's probes. Vectors of another number of
+    components have tables of their own."""
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if not len(frame):
                 continue
-            turned_from = units(np.stack(frame["vector"].to_numpy()).astype(np.float64))
-            for table in range(tables):
-                found = buckets(rotated(turned_from, table, tables), probes)
-                yield pd.DataFrame({
-                    "table": table, "bucket": found.reshape(-1), "id": np.repeat(frame["id"].to_numpy(), found.shape[1]),
-                    "vector": np.repeat(frame["vector"].to_numpy(), found.shape[1]),
-                })
+            for n, alike in frame.groupby(frame["vector"].map(len)):
+                turned_from = units(np.stack(alike["vector"].to_numpy()).astype(np.float64))
+                for table in range(tables):
+                    found = buckets(rotated(turned_from, table, tables), probes)
+                    yield pd.DataFrame({
+                        "table": n * tables + table, "bucket": found.reshape(-1),
+                        "id": np.repeat(alike["id"].to_numpy(), found.shape[1]),
+                        "vector": np.repeat(alike["vector"].to_numpy(), found.shape[1]),
+                    })
 
     return place
 
@@ -106,6 +111,11 @@ def nearest_of_block(
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
+    # Squares of huge components would overflow; only then are all brought down, and the distances up again.
+    largest = max(np.abs(queries).max(initial=0.0), np.abs(vectors).max(initial=0.0))
+    scale = largest if largest > 1e100 else 1.0
+    if scale != 1.0:
+        queries, vectors = queries / scale, vectors / scale
     for at in range(0, len(queries), 128):
         q, own = queries[at : at + 128], query_ids[at : at + 128]
         # A first estimate by the product form, then the exact measure for those that may be among the nearest.
@@ -116,7 +126,7 @@ def nearest_of_block(
         slack = 1e-9 * (np.abs(limit) + (q * q).sum(1) + (vectors * vectors).sum(1).max()) + 1e-300
         for row in range(len(q)):
             near = np.flatnonzero((rough[row] <= limit[row] + slack[row]) & np.isfinite(rough[row]))
-            distance = np.sqrt(((vectors[near] - q[row]) ** 2).sum(axis=1))
+            distance = np.sqrt(((vectors[near] - q[row]) ** 2).sum(axis=1)) * scale
             best = np.lexsort((ids[near], distance))[:k]
             out.append((np.full(len(best), own[row]), ids[near][best], distance[best]))
     if not out:
@@ -133,13 +143,10 @@ def nearest(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    # One row per length that occurs; the most frequent one is indexed.
-    sizes = clean.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    clean = clean.where(F.size("vector") == (sizes[0]["n"] if sizes else 0))
     schema = "table int, bucket int, id long, vector array<double>"
     index = stored(clean.select("id", "vector").mapInPandas(_placed(tables, 1), schema), "index")
     asked = clean.where("asks").select("id", "vector").mapInPandas(_placed(tables, probes), schema)
-    # At most tables * 2 * (padded size) rows.
+    # At most tables * 2 * (padded size) rows for each number of components.
     salts = index.groupBy("table", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
     dealt = index.join(F.broadcast(salts), ["table", "bucket"]).withColumn("salt", F.expr("pmod(xxhash64(id), salts)"))
     sent = asked.join(F.broadcast(salts), ["table", "bucket"]).withColumn(
@@ -174,10 +181,11 @@ def nearest(
     )
     if not short.isEmpty():
         # Every vector is in one bucket of the first table; these queries go to all of them.
-        everywhere = short.crossJoin(F.broadcast(salts.where("table = 0"))).withColumn(
+        first = salts.where(F.col("table") % tables == 0)
+        everywhere = short.withColumn("table", F.size("vector") * tables).join(F.broadcast(first), "table").withColumn(
             "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1))
         )
-        hits = full.union(best(everywhere, dealt.where("table = 0")))
+        hits = full.union(best(everywhere, dealt.where(F.col("table") % tables == 0)))
     return hits.select("query_id", F.posexplode("hits").alias("place", "hit")).select(
         "query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.id").alias(id_col), F.col("hit.score").alias("score")
     )
