@@ -359,6 +359,26 @@ def test_neighbours_recall_ties_and_unusable_vectors(spark):
     assert [(r["query_id"], r["vec_id"]) for r in neighbours.nearest(few, F.col("vec_id") == 0, probes=96).collect()] == [(0, 3)]
 
 
+def test_neighbours_of_other_lengths_and_of_huge_components(spark):
+    """Each length among its own; components whose squares overflow; repeated rows; columns named like those in between."""
+    rng = np.random.default_rng(7)
+    x = {i: rng.normal(size=8 if i % 2 else 5) for i in range(40)}
+    x |= {i: rng.normal(size=3) * 1e200 for i in range(100, 104)}
+    rows = [(i, [float(v) for v in row], 0, "b", 1.0, True) for i, row in x.items()]
+    df = spark.createDataFrame(
+        rows + rows[:5], "vec_id long, embedding array<double>, table int, bucket string, score double, asks boolean")
+    found = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 10 < 2, k=4, probes=16).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert sorted(found) == [i for i in x if i % 10 < 2]
+    for q, mine in found.items():
+        d = {i: float(np.sqrt((((v - x[q]) / 1e150) ** 2).sum()) * 1e150) if q >= 100 else float(np.linalg.norm(v - x[q]))
+             for i, v in x.items() if i != q and len(v) == len(x[q])}
+        want = sorted(d.items(), key=lambda t: (t[1], t[0]))[:4]
+        assert [i for i, _ in mine] == [i for i, _ in want]
+        assert np.allclose([s for _, s in mine], [s for _, s in want], rtol=1e-9)
+
+
 @pytest.mark.parametrize("n", [10, 25])
 def test_neighbours_of_small_tables_are_whole(spark, n):
     """With the probes of the query itself."""

@@ -2,10 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from degraus.llm import line_dedup
+from degraus.llm import line_dedup, quality_rules
 from degraus.session import stored
 
 FOLDER = "/root/testdata/sf0.001"
@@ -57,9 +58,34 @@ def test_empty_documents(spark):
         assert docs.count() == 0
 
 
+def test_columns_that_clash_with_those_in_between(spark):
+    """Every stage gives the same documents whatever the other columns are called, and keeps them."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60")
+    names = ["n_words", "kept", "clean_text", "digest", "id", "key", "root", "quality_0", "a", "b", "doc", "line", "text_hash"]
+    more = docs.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain, odd = (stored(stage(spark, d, FOLDER), "stage") for d in (docs, more))
+        assert odd.columns == more.columns
+        assert sorted(map(tuple, odd.select(*docs.columns).collect())) == sorted(map(tuple, plain.collect()))
+        assert {tuple(r) for r in odd.select(*names).collect()} == {tuple(range(len(names)))}
+        docs, more = plain, odd
+    packed = [corpus_pipeline.STAGES[-1][1](spark, d, FOLDER).select("doc_id").collect() for d in (docs, more)]
+    assert sorted(packed[0]) == sorted(packed[1])
+
+
+def test_quality_beside_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(1, "a word. " * 60, 5, False)], "doc_id long, text string, n_words int, kept boolean")
+    row = quality_rules.with_quality(docs, "found").first()
+    assert (row["n_words"], row["kept"], row["found"]["n_words"], row["found"]["base_failed"]) == (5, False, 120, True)
+    with pytest.raises(ValueError):
+        quality_rules.quality_rules(docs, "doc_id", "kept")
+    with pytest.raises(ValueError):
+        quality_rules.with_quality(docs, "kept")
+
+
 def test_registered_queries():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names
 
 
