@@ -111,9 +111,10 @@ def nearest_of_block(
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    # Squares of huge components would overflow; only then are all brought down, and the distances up again.
+    # Squares of huge components would overflow; only then are all brought down, and the distances up again, by a power
+    # of two, so that a distance is the same in every block.
     largest = max(np.abs(queries).max(initial=0.0), np.abs(vectors).max(initial=0.0))
-    scale = largest if largest > 1e100 else 1.0
+    scale = 2.0 ** np.floor(np.log2(largest)) if largest > 1e100 else 1.0
     if scale != 1.0:
         queries, vectors = queries / scale, vectors / scale
     for at in range(0, len(queries), 128):
@@ -172,7 +173,8 @@ def nearest(
         found = asking.cogroup(held).applyInPandas(compare, "query_id long, id long, score double")
         # The same vector comes from many tables; tables * probes * k rows of a query at most.
         every = F.sort_array(F.collect_list(F.struct("score", "id")))
-        return found.distinct().groupBy("query_id").agg(F.slice(every, 1, k).alias("hits"))
+        once = found.groupBy("query_id", "id").agg(F.min("score").alias("score"))
+        return once.groupBy("query_id").agg(F.slice(every, 1, k).alias("hits"))
 
     hits = stored(best(sent, dealt), "hits")
     full = hits.where(F.size("hits") >= k)

@@ -66,6 +66,43 @@ def test_connected_chain_star_and_loops(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in [*range(100, 130), 200]}, 500: 500}
 
 
+def test_a_list_that_a_third_of_the_rows_share_without_linking(spark):
+    """Every pair that could link is checked, whichever members are hubs, and each only once; chains join lists."""
+    n = 700
+    rows = [(1, i, i) for i in range(n)] + [(10 + i // 2, i, i) for i in range(2 * n)]
+    links = {(a, a + 1) for a in range(0, 2 * n - 1) if a % 7 in (0, 1, 4) and (a + 1 < n or a % 2 == 0)}
+    checked = spark.sparkContext.accumulator(0)
+
+    def check(pairs):
+        def keep(batches):
+            for batch in batches:
+                checked.add(batch.num_rows)
+                yield batch.filter([p in links for p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())])
+
+        return pairs.mapInArrow(keep, "a long, b long")
+
+    members = spark.createDataFrame(rows, "key long, id long, v long").repartition(9)
+    labels = components.linked_lists(members, lambda x, y: F.abs(x("v") - y("v")) <= 3, check)
+    got = {r["node"]: r["root"] for r in labels.collect()}
+    want = {}
+    for a, b in sorted(links):
+        want.setdefault(a, a)
+        want[b] = want[a]
+    assert got == want
+    assert checked.value <= 3 * n + 2 * n
+
+
+def test_joined_by_new_links(spark):
+    def frame_of(pairs):
+        return spark.createDataFrame(pairs, "a long, b long")
+
+    labels = components.joined_by(None, frame_of([(5, 9), (20, 21), (30, 31)]))
+    labels = components.joined_by(labels, frame_of([(9, 21), (40, 2), (31, 31)]))
+    labels = components.joined_by(labels, frame_of([(40, 30)]))
+    assert {r["node"]: r["root"] for r in labels.collect()} == {
+        5: 5, 9: 5, 20: 5, 21: 5, 30: 2, 31: 2, 40: 2, 2: 2}
+
+
 # --- Shards and packing -------------------------------------------------------------------
 
 
