@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from degraus.session import stored
+from degraus.session import discard, release, stored
 
 #: Hubs of a list that its members are compared with in the first round, and the growth per round.
 HUBS, GROWTH = 1, 32
@@ -19,14 +19,17 @@ HUBS, GROWTH = 1, 32
 def connected(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest node that links reach.
 
-    Every node hooks onto its smallest neighbour, pointers are doubled until they are flat, links are drawn between
-    the roots that remain. Hubs with many links are reduced in the map tasks.
+    Every node points to its smallest neighbour, pointers are followed a few steps, and the graph is contracted along
+    them until no link is left: links go to where their ends point, and so do the labels. Hubs with many links are
+    reduced in the map tasks.
     """
     ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = stored(ends.where("a <> b"), "edges")
+    edges = stored(ends, "edges")
     labels = stored(
-        ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "labels"
+        edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "labels"
     )
+    edges, loops = stored(edges.where("a <> b"), "edges"), edges
+    discard(loops)
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parents = stored(
@@ -34,29 +37,41 @@ def connected(links: DataFrame) -> DataFrame:
             .select(F.col("a").alias("v"), F.least("a", "low").alias("p")),
             "parents",
         )
-        while True:
-            above = parents.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-            jumped = stored(
-                parents.join(above, "p").select("v", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved")),
-                "jumped",
-            )
-            parents = jumped.select("v", "p")
-            if jumped.where("moved").isEmpty():
-                break
-        labels = stored(
-            labels.join(parents.withColumnsRenamed({"v": "root", "p": "top"}), "root", "left")
+        above = parents.select(F.col("v").alias("p"), F.col("p").alias("pp"))
+        second = parents.join(above, "p").select("v", F.col("pp").alias("p"))
+        third = stored(second.join(above, "p").select("v", F.col("pp").alias("p")), "pointers")
+        labels, old = stored(
+            labels.join(third.withColumnsRenamed({"v": "root", "p": "top"}), "root", "left")
             .select("node", F.coalesce("top", "root").alias("root")),
             "labels",
-        )
+        ), (labels, edges, parents, third)
         edges = stored(
-            edges.join(parents.withColumnsRenamed({"v": "a", "p": "pa"}), "a")
-            .join(parents.withColumnsRenamed({"v": "b", "p": "pb"}), "b")
+            edges.join(third.withColumnsRenamed({"v": "a", "p": "pa"}), "a")
+            .join(third.withColumnsRenamed({"v": "b", "p": "pb"}), "b")
             .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).where("a <> b").distinct(),
             "edges",
         )
+        discard(*old)
+    discard(edges)
     return labels
 
 
+def joined_by(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels(node, root)`` with the components that new links join; only roots take part in the search."""
+    if labels is None:
+        return connected(links)
+    rooted = links
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias(end), "root")
+        rooted = rooted.join(known, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    tops = connected(rooted)
+    moved = labels.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    new = tops.join(labels.select("node"), "node", "left_anti")
+    found = stored(moved.select("node", F.coalesce("top", "root").alias("root")).union(new.select("node", "root")), "labels")
+    discard(tops, labels)
+    return found
+
+
 def linked_lists(
     members: DataFrame,
     near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
@@ -68,46 +83,54 @@ def linked_lists(
     fact, of either id, and returns a condition that every linked pair meets; it is part of the join, so pairs far apart
     are never written. ``check`` gets ``(a, b)`` pairs and returns those that link.
 
-    A list is not compared all against all: its members meet its smallest ids, the hubs. Then hubs leave the list, for
-    all their pairs are known, and so do lists whose members are one component by now. The others go on with more hubs
-    each round, until every pair that could still join two components has been checked. A group of near copies ends
-    after its first hub. Returns ``(node, root)`` of ids that link with any other; the root is the smallest id.
+    A list is not compared all against all: its members meet its hubs, the smallest id and a share of the others drawn by
+    hash. Then hubs leave the list, for all their pairs are known, and so do lists whose members are one component by
+    now. The others go on with more hubs each round, until every pair that could still join two components has been
+    checked. A group of near copies ends after its first hub. No list is sorted or gathered: hubs are drawn row by row,
+    and a list that holds many of the rows is joined with its hubs, which are few, in as many tasks as AQE splits it into.
+    Returns ``(node, root)`` of ids that link with any other; the root is the smallest id. ``members`` is deleted.
     """
     facts = [c for c in members.columns if c not in ("key", "id")]
-    live, links, labels, hubs = members, None, None, HUBS
-    order = Window.partitionBy("key").orderBy("id")
-    while not live.isEmpty():
+    spark, live, labels, hubs, turn = members.sparkSession, members, None, HUBS, 0
+    while True:
         rooted = _rooted(live, labels)
-        open_keys = _open_keys(rooted)
-        if hubs == 1:
-            heads = rooted.groupBy("key").agg(F.min("id").alias("id")).join(open_keys, "key", "left_semi").join(
-                rooted, ["key", "id"]
-            )
-        else:
-            heads = (
-                rooted.join(open_keys, "key", "left_semi").withColumn("place", F.row_number().over(order))
-                .where(F.col("place") <= hubs)
-            )
-        heads = stored(
-            heads.select("key", *(F.col(c).alias(f"hub_{c}") for c in ("id", "root", *facts))), "hubs"
+        # Lists that hold two components or more, and the share of each that its hubs are.
+        lists = stored(
+            rooted.groupBy("key").agg(
+                F.min("root").alias("low"), F.max("root").alias("high"), F.min("id").alias("first"),
+                F.count("*").alias("size"),
+            ).where("low <> high").select("key", "first", ((F.lit(hubs) - 1) / F.col("size")).alias("share")),
+            "open-lists",
+        )
+        if lists.isEmpty():
+            break
+        drawn = F.xxhash64("id", F.lit(turn)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
+        open_rows = stored(
+            rooted.join(lists, "key").withColumn("hub", (F.col("id") == F.col("first")) | (drawn < F.col("share")))
+            .drop("first", "share"),
+            "lists",
         )
-        pairs = (
-            rooted.join(heads, "key")
+        heads = open_rows.where("hub").select(
+            "key", *(F.col(c).alias(f"hub_{c}") for c in ("id", "root", *facts))
+        )
+        pairs = stored(
+            open_rows.join(heads, "key")
             .where((F.col("root") != F.col("hub_root")) & near(F.col, lambda c: F.col(f"hub_{c}")))
-            .select(F.least("hub_id", "id").alias("a"), F.greatest("hub_id", "id").alias("b")).distinct()
+            .select(F.least("hub_id", "id").alias("a"), F.greatest("hub_id", "id").alias("b")).distinct(),
+            "pairs",
         )
-        found = stored(check(stored(pairs, "pairs")).select("a", "b"), "links")
+        found = stored(check(pairs).select("a", "b"), "links")
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = connected(links)
+            labels = joined_by(labels, found)
+        discard(live, lists, pairs, found)
         # Hubs are done; what remains matters only where two components are left.
-        rest = live.join(heads.select("key").distinct(), "key", "left_semi").join(
-            heads.select("key", F.col("hub_id").alias("id")), ["key", "id"], "left_anti"
-        )
-        live = stored(rest.join(_open_keys(_rooted(rest, labels)), "key", "left_semi"), "lists")
-        hubs *= GROWTH
+        live = open_rows.where("not hub").drop("hub", "root")
+        live.stored_at = open_rows.stored_at
+        hubs, turn = hubs * GROWTH, turn + 1
+        release(spark)
+    discard(live, lists)
     if labels is None:
-        return live.select(F.col("id").alias("node"), F.col("id").alias("root"))
+        return spark.createDataFrame([], "node long, root long")
     return labels
 
 
@@ -116,9 +139,3 @@ def _rooted(live: DataFrame, labels: DataFrame | None) -> DataFrame:
         return live.withColumn("root", F.col("id"))
     known = labels.select(F.col("node").alias("id"), "root")
     return live.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
-
-
-def _open_keys(rooted: DataFrame) -> DataFrame:
-    """Keys of lists that hold two components or more."""
-    ends = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return ends.where("low <> high").select("key")
