@@ -8,8 +8,8 @@ coordinate, to the child named by the minwise value it has there. Two sets of si
 ``(1 - p) ** trees``, and the number of trees follows from the recall asked for (``trees_for``).
 
 A node of up to ``SMALL`` sets is compared exhaustively. A larger one branches again, unless its sets agree so much that
-its children would be nearly as large as it is (``ALIKE``): a group of near copies would only be written over and over.
-Such a node, and one that is still large at ``deepest`` levels, is compared exhaustively too, hub by hub
+its children together would hold no fewer pairs than it does (``ALIKE``): a group of near copies would only be written
+over and over. Such a node, and one that is still large at ``deepest`` levels, is compared exhaustively too, hub by hub
 (``linked_lists``), which takes as many rounds as it needs and leaves out pairs of sets that are one component already.
 Nothing is capped: nodes of any size are compared whole, and every candidate is confirmed on the full sets.
 
@@ -37,13 +37,14 @@ from pyspark.sql import functions as F
 from degraus.llm.common import slices
 from degraus.llm.components import linked_lists
 from degraus.llm.jaccard_join import parity, set_id, shingle_sets
-from degraus.session import stored
+from degraus.session import discard, release, stored
 
 #: Minwise hashes of a set, coordinates a node selects, sets of a node that needs no more branching.
 COORDINATES, BRANCHES, SMALL = 64, 2, 32
 FIRST_LEVELS, DEEPEST = 3, 10
-#: A node whose children hold on average more than this share of it does not branch.
-ALIKE = 0.75
+#: A node whose pairs stay together on more than this share of the paths does not branch: its children would hold as many
+#: pairs to compare as it does.
+ALIKE = 1 / BRANCHES
 #: Chance that a pair of just the least similarity is never met.
 MOST_MISSED = 1e-6
 
@@ -206,7 +207,6 @@ def last_nodes(sets: DataFrame, trees: int, deepest: int = DEEPEST, small: int =
     ``sets(id, lows)`` has one row per set. A level's nodes are counted; small ones are done, large ones branch. A node
     that its children would hardly thin out is done as well, at its own level.
     """
-    spark = sets.sparkSession
     nodes = stored(sets.select("id", "lows").mapInArrow(_planted(trees), "key long, id long"), "path-nodes")
     done = []
     for level in range(FIRST_LEVELS, deepest + 1):
@@ -217,6 +217,7 @@ def last_nodes(sets: DataFrame, trees: int, deepest: int = DEEPEST, small: int =
         large = sized.where(F.lit(not last) & (F.col("size") > small))
         if large.isEmpty():
             break
+        discard(nodes)
         below = stored(
             large.select("key", "id").join(sets.select("id", "lows"), "id").select("key", "id", "lows")
             .mapInArrow(_branched, "key long, id long, above long"),
@@ -232,7 +233,7 @@ def last_nodes(sets: DataFrame, trees: int, deepest: int = DEEPEST, small: int =
     lists = done[0]
     for more in done[1:]:
         lists = lists.union(more)
-    return stored(lists, "path-lists") if len(done) > 1 else lists
+    return stored(lists, "path-lists")
 
 
 def near_duplicates(
@@ -255,10 +256,13 @@ def near_duplicates(
         ),
         "path-sets",
     )
+    spark = docs.sparkSession
     lists = last_nodes(sets, trees_for(percent, most_missed), deepest)
+    release(spark)
     stand = stored(sets.drop("lows").join(lists.select("id").distinct(), "id", "left_semi"), "path-stand")
     members = stored(lists.join(stand.drop("doc"), "id"), "path-members")
-    wanted = stand.select(F.col("doc").alias("wanted")).distinct()
+    # What is wanted grows with the documents, so it is not broadcast where it happens to be small.
+    wanted = stand.select(F.col("doc").alias("wanted")).distinct().hint("merge")
     texts = stored(
         rows.join(wanted, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi").select("text")
         .mapInArrow(_named(width), "id long, text string").join(stand.select("id"), "id", "left_semi")
@@ -279,6 +283,7 @@ def near_duplicates(
         return met.mapInArrow(_confirmed(width, percent), "a long, b long")
 
     labels = linked_lists(members, near, check)
+    discard(texts, lists, stand)
     rooted = stored(
         sets.select("id", "doc").join(labels.withColumnRenamed("node", "id"), "id", "left")
         .select("id", "doc", F.coalesce("root", "id").alias("root")),
