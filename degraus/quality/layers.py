@@ -19,7 +19,7 @@ from degraus.spec import RULES, Rule
 
 #: Seconds to wait for what a write has measured. It is there when the write ends, unless Spark found the data to be empty
 #: and measured nothing.
-WAIT = 10.0
+WAIT = 3.0
 
 
 def write_measured(

@@ -4,6 +4,7 @@ from lake import FILES, write_sources
 from degraus.operators import lookups
 from degraus.plans import run as r
 from degraus.plans import silver, views
+from degraus.plans.report import export_report
 from degraus.quality.layers import quality_view, validate_layer
 from degraus.sources.alerts import read_alerts
 from degraus.sources.csv import ORIGIN, read_csv
@@ -105,6 +106,15 @@ def test_quality_view(done):
     assert got == {"bronze": (9, 9, 0, 0), "silver": (11, 11, 0, 0), "gold": (3, 3, 0, 0), "total": (23, 23, 0, 0)}
 
 
+def test_the_report_has_the_quality_of_the_layers(done, tmp_path):
+    lake, _ = done
+    names = export_report(lake, str(tmp_path / "painel"))
+    assert {"brasil_headline", "uf_listas", "aluno_por_rede", "qualidade"} <= set(names)
+    rows = {x.camada: x for x in lake.spark.read.json(str(tmp_path / "painel/qualidade")).collect()}
+    assert (rows["total"].tabelas_verificadas, rows["total"].tabelas_ok, rows["gold"].total_alertas) == (23, 23, 0)
+    assert lake.spark.read.json(str(tmp_path / "painel/brasil_headline")).first().gap_meta_final == 14.0
+
+
 def test_a_one_year_run_keeps_the_history(spark, tmp_path):
     lake = make(spark, tmp_path)
     assert r.run(lake).published
