@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from degraus.llm.common import let, words_of
 from degraus.llm.components import linked_lists
-from degraus.session import stored
+from degraus.session import discard, release, stored
 
 EDITS, LEAST_CHARS = 2, 48
 #: Least characters for one and for two edits, as the queries ask for: one edit in ten characters. In less, another
@@ -55,28 +55,35 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _keys(line: Column, n: Column, edits: int) -> Column:
-    """Probed keys of a line; ``own`` marks the keys under which the line itself is indexed."""
+def _keys(line: Column, n: Column, edits: int, own: bool) -> list[Column]:
+    """Keys under which a line itself is indexed, or all that it probes, its own among them."""
     keys = []
     for fewer, i, shift in probes(edits):
+        if own and (fewer or shift):
+            continue
         start, size = _segment(n - fewer, i, edits)
         text = F.substring(line, start + shift + 1, size)
-        own = fewer == 0 and shift == 0
-        key = F.xxhash64(F.lit(edits), F.lit(i), n - fewer, text)
-        keys.append(F.struct(key.alias("key"), F.lit(own).alias("own")))
-    return F.array(*keys)
-
-
-def _keys_by_length(line: Column, n: Column, least: Sequence[int]) -> Column:
-    """Probed keys of a line for every number of edits that it and a shorter or longer partner are permitted."""
-    found = []
-    for edits, (low, high) in enumerate(zip(least, [*least[1:], None], strict=True), 1):
-        if high is None:
-            found.append(F.when(n >= low, _keys(line, n, edits)))
-        elif low < high:  # the shorter line of a pair is in this range, the longer one may be beyond it
-            found.append(F.when((n >= low) & (n < high + edits), _keys(line, n, edits)))
-    none = F.array().cast("array<struct<key:bigint,own:boolean>>")
-    return F.concat(*(F.coalesce(keys, none) for keys in found))
+        keys.append(F.xxhash64(F.lit(edits), F.lit(i), n - fewer, text))
+    return keys
+
+
+def _keys_by_length(line: Column, n: Column, least: Sequence[int], own: bool = False) -> Column:
+    """Keys of a line for every number of edits that it and a shorter or longer partner are permitted."""
+    # The shorter line of a pair is in the range of its number of edits, the longer one may be beyond it.
+    ranges = [
+        (edits, low, None if high is None else high + edits)
+        for edits, (low, high) in enumerate(zip(least, [*least[1:], None], strict=True), 1)
+        if high is None or low < high
+    ]
+    edges = sorted({e for _, low, high in ranges for e in (low, high) if e is not None})
+    found = None
+    for low in reversed(edges):
+        keys = [
+            k for edits, start, stop in ranges if start <= low and (stop is None or low < stop)
+            for k in _keys(line, n, edits, own)
+        ]
+        found = F.when(n >= low, F.array(*keys)) if found is None else found.when(n >= low, F.array(*keys))
+    return found
 
 
 def _parity(items: Column, cell) -> Column:
@@ -231,14 +238,15 @@ def line_classes(
     long_lines = lines.where(F.col("n") >= least[0])
     places = stored(lines.select("doc", "text_hash", "line_no", "id", F.col("n").alias("n_chars")), "line-places")
 
-    probed = long_lines.select("id", F.explode(_keys_by_length(F.col("line"), F.col("n"), least)).alias("k")).select(
-        "k.key", "k.own", "id"
-    )
-    indexed = probed.where("own").groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    met = probed.join(indexed, "key").where("id <> low or id <> high").select("key", "id", "low", "high")
+    def keyed(own: bool) -> DataFrame:
+        return long_lines.select(F.explode(_keys_by_length(F.col("line"), F.col("n"), least, own)).alias("key"), "id")
+
+    indexed = keyed(own=True).groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    met = keyed(own=False).join(indexed, "key").where("id <> low or id <> high").select("key", "id", "low", "high")
     meeting = stored(
         met.select("key", F.explode(F.array("id", "low", "high")).alias("id")).distinct(), "line-meeting"
     )
+    release(docs.sparkSession)
     texts = stored(
         long_lines.select("id", "line").join(meeting.select("id").distinct(), "id", "left_semi")
         .groupBy("id").agg(F.first("line").alias("line"))
@@ -246,6 +254,7 @@ def line_classes(
         "line-texts",
     )
     members = stored(meeting.join(texts.select("id", "n", "parity"), "id"), "line-members")
+    discard(meeting)
 
     def permitted(shorter: Column) -> Column:
         return reduce(add, (F.when(shorter >= chars, 1).otherwise(0) for chars in least))
@@ -272,11 +281,13 @@ def line_classes(
         ).select("a", "b")
 
     labels = linked_lists(members, near, check)
+    discard(texts)
     classed = stored(
         places.join(labels.select(F.col("node").alias("id"), "root"), "id", "left")
         .withColumn("root", F.coalesce("root", "id")).drop("id"),
         "line-classes",
     )
+    discard(places, labels)
     firsts = classed.groupBy("root").agg(F.min(F.struct("doc", "line_no", "text_hash")).alias("first"))
     return classed.join(firsts, "root").select(
         "doc", "text_hash", "line_no", "n_chars",
