@@ -6,8 +6,8 @@ distinct chunks are encoded by the library's threads, and its ids are the result
 sentencepiece as a check; only where the two differ, the ids of sentencepiece count instead and the chunk is reported.
 
 If no piece holds the marker behind another character, pieces never reach across a blank between two visible characters;
-texts are then cut there (not beside a literal marker) and each chunk is encoded once per worker. Otherwise texts are
-encoded whole.
+texts are then cut there (not beside a literal marker), each chunk is encoded and decoded once per worker, and a text
+comes back if all its chunks do, for decoding puts the blanks back where it was cut. Otherwise texts are encoded whole.
 
 Defined cases: null counts as the empty text; the empty text has no ids and decodes to itself; characters outside the
 vocabulary become bytes, or the unknown id where the model has no bytes; repeated rows are encoded one by one; texts of
@@ -17,7 +17,6 @@ any length are encoded whole; an empty table gives an empty result. Only the id
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from degraus.llm.common import slices
+from degraus.llm.token_counts import chunk_bounds
 
 # Field numbers and piece types of the model format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -35,8 +35,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
-CUT = re.compile(rf"(?<=[^\s{MARK}]) (?=[^\s{MARK}])")
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Chunks remembered in the younger half of a worker's memory, the longest one it remembers (both only bound memory),
+#: and new chunks encoded as one text.
+REMEMBERED, LONGEST, JOINED = 500_000, 64, 256
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -122,7 +123,7 @@ def rebuilt(model: PieceModel):
         ]
         core = models.BPE(
             ids, [(a, b) for *_, a, b in sorted(merges)], unk_token=model.pieces[model.unknown][0], fuse_unk=True,
-            byte_fallback=model.byte_fallback,
+            byte_fallback=model.byte_fallback, cache_capacity=0,
         )
     else:
         raise ValueError(f"model type {model.kind} is not unigram or BPE")
@@ -145,8 +146,24 @@ def rebuilt(model: PieceModel):
     return tokenizer
 
 
+@dataclass(frozen=True)
+class Encoded:
+    """Ids of some texts, one after the other; ``bounds`` has where those of each text begin and end. Per text: how many
+    of its chunks the libraries encode differently, and whether its ids decode to it again."""
+
+    ids: np.ndarray
+    bounds: np.ndarray
+    differing: np.ndarray
+    restored: np.ndarray
+
+
 class PieceCodec:
-    """Encodes and decodes whole texts; keeps the ids of chunks it has seen and counts chunks without parity."""
+    """Encodes and decodes whole texts; keeps the ids of chunks it has seen and counts chunks without parity.
+
+    Texts are cut on their bytes, and Arrow gives the distinct chunks of a run. New ones are encoded, held against
+    sentencepiece and decoded once. Remembered chunks stand in two halves: when the younger is full it becomes the older
+    one, whose chunks move over when they are met again, so common chunks stay and rare ones go.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -156,50 +173,128 @@ class PieceCodec:
         self.model = PieceModel.load(path)
         self._tokenizer = rebuilt(self.model)
         self._reference = sentencepiece.SentencePieceProcessor(model_file=path)
-        self._known: dict[str, tuple[int, ...]] = {}
-        self._differing: set[str] = set()
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+        # Chunks the libraries encode differently, and chunks whose ids do not decode to them; most texts have none.
+        self._differing: set[bytes] = set()
+        self._unlike: set[bytes] = set()
         # Pieces that sentencepiece does not decode to their own text.
         self._spoken = {
             i: " ⁇ " if kind == UNKNOWN else ""
             for i, (_, _, kind) in enumerate(self.model.pieces) if kind in (UNKNOWN, CONTROL)
         }
+        self._begins = np.array([text.startswith(MARK) for text, _, _ in self.model.pieces])
 
     def encode(self, texts: Sequence[str]) -> list[tuple[list[int], int]]:
         """Ids of every text, and how many of its chunks the two libraries encode differently."""
         found = []
         for run in slices(texts):
-            found += self._encoded(run)
+            coded = self.encode_run(run)
+            found += [
+                (coded.ids[low:high].tolist(), int(n))
+                for low, high, n in zip(coded.bounds[:-1], coded.bounds[1:], coded.differing, strict=True)
+            ]
         return found
 
-    def _encoded(self, texts: list[str]) -> list[tuple[list[int], int]]:
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-            self._differing.clear()
-        whole = not self.model.can_be_cut
-        cut = [[text] if whole else CUT.split(text) for text in texts]
-        new = list({chunk for chunks in cut for chunk in chunks} - known.keys())
-        ours = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        theirs = self._reference.encode(new, num_threads=1)
-        for chunk, own, other in zip(new, ours, theirs, strict=True):
+    def encode_run(self, texts: Sequence[str]) -> Encoded:
+        """Encode texts that fit in memory together."""
+        import pyarrow as pa
+
+        if len(self._young) > REMEMBERED:
+            self._old, self._young = self._young, {}
+            held = self._old.keys()
+            self._differing &= held
+            self._unlike &= held
+        # A line break after each text keeps the texts apart; it belongs to none of them.
+        coded = [text.encode() for text in texts]
+        sizes = np.array([len(x) for x in coded], np.int64)
+        joined = b"\n".join([*coded, b""])
+        ends = np.cumsum(sizes + 1) - 1
+        cuts = chunk_bounds(np.frombuffer(joined, np.uint8)) if self.model.can_be_cut else np.zeros(0, np.int64)
+        starts = np.sort(np.concatenate([ends - sizes, cuts + 1]), kind="stable")
+        stops = np.sort(np.concatenate([ends, cuts]), kind="stable")
+        # Chunks with the blank or line break after each, as one array whose every second value is a chunk.
+        edges = np.empty(2 * len(starts) + 1, np.int64)
+        edges[:-1:2], edges[1::2], edges[-1] = starts, stops, len(joined)
+        chunks = pa.Array.from_buffers(
+            pa.large_binary(), 2 * len(starts), [None, pa.py_buffer(edges), pa.py_buffer(joined)]
+        ).take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode()
+        distinct, places = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
+        values = self._values(distinct)
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat = np.frombuffer(b"".join(values), "<i4")
+        # Ids of every chunk in order: each takes its stretch of the distinct chunks' ids.
+        counts = lengths[places]
+        after = np.cumsum(counts)
+        begin = (np.cumsum(lengths) - lengths)[places] - (after - counts)
+        ids = flat[np.repeat(begin, counts) + np.arange(int(after[-1]) if len(after) else 0)]
+        first = np.searchsorted(starts, ends - sizes)  # every text has a chunk, be it empty
+        bounds = np.append(np.append(0, after)[first], len(ids))
+
+        def per_text(marked: set[bytes]) -> np.ndarray:
+            if not marked:
+                return np.zeros(len(texts), np.int64)
+            hit = np.fromiter((c in marked for c in distinct), np.int64, len(distinct))[places]
+            return np.diff(np.append(0, np.cumsum(hit))[np.append(first, len(places))])
+
+        result = Encoded(ids, bounds, per_text(self._differing), per_text(self._unlike) == 0)
+        for chunk in distinct:
+            if len(chunk) > LONGEST:
+                self._young.pop(chunk, None)
+                self._differing.discard(chunk)
+                self._unlike.discard(chunk)
+        return result
+
+    def _values(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of distinct chunks as bytes, remembered or new."""
+        young, old = self._young, self._old
+        new = []
+        for chunk in chunks:
+            if chunk not in young:
+                if chunk in old:
+                    young[chunk] = old[chunk]
+                else:
+                    new.append(chunk)
+        words = [chunk.decode() for chunk in new]
+        plain = [w for w in words if MARK not in w and w.split() == [w]] if self.model.can_be_cut else []
+        plain = plain[: len(plain) // JOINED * JOINED]
+        rest = set(words).difference(plain)
+        for at in range(0, len(plain), JOINED):
+            if not self._learn_together(plain[at : at + JOINED]):
+                rest.update(plain[at : at + JOINED])
+        self._learn(list(rest))
+        return [young[chunk] for chunk in chunks]
+
+    def _learn_together(self, words: list[str]) -> bool:
+        """Encode words as one text: each begins at the next piece with a marker. False if they must be taken one by
+        one, because the libraries differ, or the pieces or the decoded text do not fall apart into these words."""
+        text = " ".join(words)
+        own = self._tokenizer.encode(text, add_special_tokens=False).ids
+        ids = np.array(own, np.int32)
+        begins = np.append(np.flatnonzero(self._begins[ids]), len(ids))
+        if len(begins) != len(words) + 1 or begins[0] != 0:
+            return False
+        if own != self._reference.encode([text], num_threads=1)[0] or self.decode(own).split(" ") != words:
+            return False
+        data = ids.astype("<i4").tobytes()
+        self._young.update(
+            (word.encode(), data[4 * low : 4 * high]) for word, low, high in zip(words, begins[:-1], begins[1:])
+        )
+        return True
+
+    def _learn(self, texts: list[str]) -> None:
+        """Encode texts one by one and note those that differ, or that do not come back."""
+        ours = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        theirs = self._reference.encode(texts, num_threads=1)
+        for text, own, other in zip(texts, ours, theirs, strict=True):
             # The library keeps the marker of an empty text; it has no ids here.
-            ids = own.ids if chunk else []
+            ids, coded = own.ids if text else [], text.encode()
             if ids != other:
-                self._differing.add(chunk)
-                ids = other
-            known[chunk] = tuple(ids)
-        odd = self._differing
-        results = []
-        for chunks in cut:
-            ids: list[int] = []
-            for chunk in chunks:
-                ids += known[chunk]
-            results.append((ids, sum(chunk in odd for chunk in chunks) if odd else 0))
-        for chunk in new:
-            if len(chunk) > LONGEST:
-                del known[chunk]
-                odd.discard(chunk)
-        return results
+                self._differing.add(coded)
+                ids = [int(i) for i in other]
+            if self.decode(ids) != text:
+                self._unlike.add(coded)
+            self._young[coded] = np.array(ids, "<i4").tobytes()
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of a sequence of ids; ids that form no valid text decode with replacement characters."""
@@ -235,13 +330,11 @@ def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             row = 0
             for run in slices(batch.column(1).to_pylist()):
-                found = codec(model_file).encode(run)
-                bounds = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in found])]).astype(np.int32)
-                flat = np.fromiter((i for ids, _ in found for i in ids), np.int32, int(bounds[-1]))
+                found = codec(model_file).encode_run(run)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(run)),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-                    pa.array([n for _, n in found], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(found.bounds.astype(np.int32)), pa.array(found.ids.astype(np.int32))),
+                    pa.array(found.differing, pa.int64()),
                 ], names=["id", "ids", "n_differing"])
                 row += len(run)
 
@@ -273,15 +366,18 @@ def round_trip(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_co
         for batch in batches:
             row = 0
             for run in slices(batch.column(1).to_pylist()):
-                own = codec(model_file)
-                found = own.encode(run)
+                found = codec(model_file).encode_run(run)
+                data, bounds = memoryview(found.ids.astype("<i4").tobytes()), 4 * found.bounds
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(run)),
                     pa.array([len(t.encode()) for t in run], pa.int64()),
-                    pa.array([len(ids) for ids, _ in found], pa.int64()),
-                    pa.array([zlib.crc32(np.array(ids, "<i4").tobytes()) for ids, _ in found], pa.int64()),
-                    pa.array([n for _, n in found], pa.int64()),
-                    pa.array([own.decode(ids) == t for t, (ids, _) in zip(run, found, strict=True)]),
+                    pa.array(np.diff(found.bounds), pa.int64()),
+                    pa.array(
+                        [zlib.crc32(data[low:high]) for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist())],
+                        pa.int64(),
+                    ),
+                    pa.array(found.differing, pa.int64()),
+                    pa.array(found.restored),
                 ], names=["id", "n_bytes", "n_ids", "ids_crc32", "n_differing", "restored"])
                 row += len(run)
 
