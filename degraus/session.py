@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -75,10 +76,13 @@ def release(spark: SparkSession) -> None:
     """Let the driver collect what finished steps held.
 
     Spark deletes shuffle files and broadcasts once the driver has collected the plans they belong to. A driver with much
-    memory collects seldom, so an iterative operator asks for it after a round.
+    memory collects seldom, so an iterative operator asks for it after a round. It takes two collections: Spark drops the
+    last references to a shuffle when it cleans up what the first one has freed.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.25)
+    spark.sparkContext._jvm.System.gc()
 
 
 def at_once(steps: Mapping[str, Callable[[], object]], workers: int = 12) -> dict[str, object]:
