@@ -29,11 +29,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from degraus.session import stored
+from degraus.session import discard, release, stored
 
 LONGEST, LEAST, MOST_RANKED = 5, 100, 2000
 #: UTF-8 bytes after which a shard is closed; it ends with the text that reaches them.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 4_000_000
 # Bytes that end a piece, and those between words.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -106,6 +106,7 @@ def _shards(shard_bytes: int):
                     yield closed(max(sizes, key=sizes.get))
         for lang in list(held):
             yield closed(lang)
+        pa.default_memory_pool().release_unused()
 
     return deal
 
@@ -140,8 +141,8 @@ class FMIndex:
     def __init__(self, transform: np.ndarray):
         self.transform = transform
         order = np.argsort(transform, kind="stable")
-        self.last_to_first = np.empty(len(transform), np.int64)
-        self.last_to_first[order] = np.arange(len(transform))
+        self.last_to_first = np.empty(len(transform), np.int32)
+        self.last_to_first[order] = np.arange(len(transform), dtype=np.int32)
 
     @classmethod
     def of(cls, sequence: np.ndarray, depth: int) -> FMIndex:
@@ -152,14 +153,15 @@ class FMIndex:
         """All extensions of disjoint intervals by a word: which interval, word, count, first place of the extended
         interval, and how many places of the old one hold smaller ids."""
         sizes = high - low
-        owner = np.repeat(np.arange(len(low)), sizes)
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[owner]
-        word = self.transform[place].astype(np.int64)
-        keys = owner * (int(word.max(initial=0)) + 1) + word
+        base = int(self.transform.max(initial=0)) + 1
+        place = np.arange(int(sizes.sum()), dtype=np.int32)
+        place += np.repeat((low - (np.cumsum(sizes) - sizes)).astype(np.int32), sizes)
+        keys = np.repeat(np.arange(len(low)) * base, sizes) + self.transform[place]
         order = np.argsort(keys)
         keys, place = keys[order], place[order]
+        del order
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
-        owner, word = owner[order[first]], word[order[first]]
+        owner, word = np.divmod(keys[first], base)
         count = np.diff(np.append(first, len(keys)))
         lowest = np.minimum.reduceat(place, first) if len(first) else place
         smaller = first - (np.cumsum(sizes) - sizes)[owner]
@@ -242,6 +244,8 @@ def _indexed(longest: int):
                     pa.array([found.forward.transform], pa.list_(pa.int32())),
                     pa.array([found.backward.transform], pa.list_(pa.int32())),
                 ], names=["shard", "numbers", "forward", "backward"])
+                del found, own, ids
+        pa.default_memory_pool().release_unused()
 
     return index
 
@@ -269,6 +273,8 @@ def _pairs(batches):
                     pa.array(keys[part]), pa.array(np.full(size, shard, np.int64)),
                     pa.array(np.arange(at, at + size, dtype=np.int32)), pa.array(n[part].astype(np.int64)),
                 ], names=["key", "shard", "at", "n"])
+            del index, first, second, n, keys
+    pa.default_memory_pool().release_unused()
 
 
 def _longer(longest: int):
@@ -322,9 +328,11 @@ def phrase_counts(
         ),
         "phrase-shards",
     )
-    sizes = shards.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda n, x: n + x).alias("n")).groupBy(
-        "lang"
-    ).agg(F.sum("n").alias("n"))
+    sizes = stored(
+        shards.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda n, x: n + x).alias("n"))
+        .groupBy("lang").agg(F.sum("n").alias("n")),
+        "phrase-sizes",
+    )
     counted = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy(
         "lang", F.col("w.words").alias("word")
     ).agg(F.sum("w.counts").alias("n"))
@@ -341,6 +349,8 @@ def phrase_counts(
         ),
         "phrase-index",
     )
+    discard(shards)
+    release(docs.sparkSession)
     everywhere = F.sum("n").over(Window.partitionBy("key"))
     pairs = stored(
         index.mapInArrow(_pairs, "key long, shard long, at int, n long").withColumn("a", everywhere)
@@ -360,6 +370,7 @@ def phrase_counts(
     )
     one = words.select(F.array("number").alias("ids"), F.col("n").alias("a"))
     counts = stored(one.union(two).union(longer) if longest > 2 else one.union(two), "phrase-counts")
+    discard(index, pairs)
     return words, sizes, counts
 
 
