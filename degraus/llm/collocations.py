@@ -7,10 +7,10 @@ the shard's ids and of their reverse, sorted as deep as the longest phrase. A ph
 index, and grows by a word on the left or on the right: the words that the transform holds in its interval are its
 extensions, how often they stand there are their counts, and the last-to-first mapping gives their intervals.
 
-Counts are summed across shards. Phrases of two words go first; the two-word phrases that are frequent over all shards go
-back to each shard that holds them. From there it grows phrases of three words and more: one is counted if the phrase
-without its first word, extended to the left, and the phrase without its last, extended to the right, are the same
-interval, so all that a candidate is made of is frequent.
+Counts are summed across shards. Phrases of two words go first; those that are frequent over all shards go back to each
+shard that holds them, as places in its own list. From there it grows phrases of three words, which come back likewise,
+and then all longer ones. A phrase is counted if the phrase without its first word, extended to the left, and the phrase
+without its last, extended to the right, are the same interval, so both of them are frequent.
 
 A language's scores are exact integers (decimal products of up to 38 digits). A candidate goes if a phrase with one more
 word is as frequent: if any longer one is, then so is one with a single word more.
@@ -24,6 +24,7 @@ have any name; an empty table, or one without a frequent phrase, gives an empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -202,25 +203,30 @@ class PhraseIndex:
         owner, word, first, back, n = self.to_the_left(low, low, count)
         return word, ids[owner], first, back, n
 
-    def grown(
-        self, ids: np.ndarray, low: np.ndarray, back: np.ndarray, count: np.ndarray, longest: int
-    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Phrases of three words and more whose two-word parts are all among the given ones: per length the ids, one
-        row a phrase, and the counts."""
-        for _ in range(3, longest + 1):
-            owner, word, first, back_first, n = self.to_the_left(low, back, count)
-            _, _, right_first, _, right_n = self.to_the_right(low, back, count)
-            # A phrase is the same interval either way; one that both ways reach has two frequent parts.
-            places = np.sort(right_first)
-            at = np.searchsorted(places, first)
-            met = (at < len(places)) & (places[np.minimum(at, len(places) - 1)] == first) if len(places) else (
-                np.zeros(len(first), bool)
-            )
-            owner, word, low, back, count = owner[met], word[met], first[met], back_first[met], n[met]
-            if not len(low):
-                return
-            ids = np.column_stack([word, ids[owner]])
-            yield ids, count
+    def longer(
+        self, ids: np.ndarray, low: np.ndarray, back: np.ndarray, count: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases with one word more whose two parts of the old length are both among the given ones: ids (one row a
+        phrase), low ends and counts, in order of the intervals."""
+        owner, word, first, back_first, n = self.to_the_left(low, back, count)
+        _, _, right_first, _, _ = self.to_the_right(low, back, count)
+        # A phrase is the same interval either way, so one that both ways reach has two of the given parts.
+        met = np.isin(first, right_first)
+        order = np.flatnonzero(met)[np.argsort(first[met])]
+        grown = np.column_stack([word, ids[owner]])[order]
+        return grown, first[order], back_first[order], n[order]
+
+    def grown(self, longest: int, *chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids and counts of the phrases with one word more than those that were chosen last, and so on up to
+        ``longest``. ``chosen`` has places among the pairs, then among the phrases of three words grown from those."""
+        first, second, low, back, n = self.pairs()
+        found = np.column_stack([first, second]), low, back, n
+        for places in chosen[:-1]:
+            found = self.longer(*(x[places] for x in found))
+        found = tuple(x[chosen[-1]] for x in found)
+        while found[0].shape[1] < longest and len(found[0]):
+            found = self.longer(*found)
+            yield found[0], found[3]
 
 
 def _indexed(longest: int):
@@ -277,25 +283,29 @@ def _pairs(batches):
     pa.default_memory_pool().release_unused()
 
 
-def _longer(longest: int):
-    """Phrases of three words and more of every shard, grown from its frequent pairs."""
+def _longer(longest: int, *columns: str):
+    """Phrases grown from those that ``columns`` choose, in every shard: words' numbers, place in the shard's list, and
+    count, of all lengths up to ``longest``."""
     import pyarrow as pa
 
     def grow(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                _, numbers, index = _opened(batch, row)
-                chosen = np.sort(batch.column("frequent")[row].values.to_numpy())
-                first, second, low, back, n = (x[chosen] for x in index.pairs())
-                for ids, counts in index.grown(np.column_stack([first, second]), low, back, n, longest):
+                shard, numbers, index = _opened(batch, row)
+                chosen = [np.sort(batch.column(c)[row].values.to_numpy()) for c in columns]
+                for ids, counts in index.grown(longest, *chosen):
                     width = ids.shape[1]
                     for at in range(0, len(ids), 1 << 17):
                         flat = numbers[ids[at : at + (1 << 17)]].astype(np.int32).ravel()
                         bounds = np.arange(0, len(flat) + 1, width, dtype=np.int32)
+                        size = len(bounds) - 1
                         yield pa.RecordBatch.from_arrays([
                             pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                            pa.array(np.full(size, shard, np.int64)), pa.array(np.arange(at, at + size, dtype=np.int32)),
                             pa.array(counts[at : at + (1 << 17)].astype(np.int64)),
-                        ], names=["ids", "n"])
+                        ], names=["ids", "shard", "at", "n"])
+                del index
+        pa.default_memory_pool().release_unused()
 
     return grow
 
@@ -357,9 +367,19 @@ def phrase_counts(
         .where(F.col("a") >= least).select("key", "shard", "at", "a"),
         "phrase-pairs",
     )
-    frequent = pairs.groupBy("shard").agg(F.collect_list("at").alias("frequent"))
+    release(docs.sparkSession)
+    grown = "ids array<int>, shard long, at int, n long"
+    chosen = index.join(pairs.groupBy("shard").agg(F.collect_list("at").alias("two")), "shard")
+    threes = stored(
+        chosen.mapInArrow(_longer(3, "two"), grown)
+        .withColumn("a", F.sum("n").over(Window.partitionBy("ids"))).where(F.col("a") >= least)
+        .select("ids", "shard", "at", "a"),
+        "phrase-threes",
+    )
+    release(docs.sparkSession)
+    chosen = chosen.join(threes.groupBy("shard").agg(F.collect_list("at").alias("three")), "shard")
     longer = (
-        index.join(frequent, "shard").mapInArrow(_longer(longest), "ids array<int>, n long")
+        chosen.mapInArrow(_longer(longest, "two", "three"), grown)
         .groupBy("ids").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     )
     two = pairs.select("key", "a").distinct().select(
@@ -369,8 +389,9 @@ def phrase_counts(
         "a",
     )
     one = words.select(F.array("number").alias("ids"), F.col("n").alias("a"))
-    counts = stored(one.union(two).union(longer) if longest > 2 else one.union(two), "phrase-counts")
-    discard(index, pairs)
+    found = [one, two, threes.select("ids", "a").distinct(), longer]
+    counts = stored(reduce(DataFrame.union, found[: min(longest, 4)]), "phrase-counts")
+    discard(index, pairs, threes)
     return words, sizes, counts
 
 
