@@ -20,6 +20,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,16 +32,15 @@ from pyspark.sql import functions as F
 
 from degraus.llm.components import linked_lists
 from degraus.llm.common import slices
-from degraus.session import stored
+from degraus.session import discard, release, stored
 
 SEED, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Beyond this size the costs need no comparing: subsets grow by powers, tokens in proportion.
 MOST_LIGHT = 24
 #: Cuts of a set that has many empty blocks.
 CUTS = 5
-#: Bits of the filters that spare later passes keys without a second set and documents without a candidate. They hold
-#: no exact answer and only save work: a full filter lets all through, and joins decide.
-FILTER_BITS = 1 << 25
+#: Bytes of a text that are hashed at once, and the length from which a word is hashed by itself: both bound memory.
+BLOCK = 1 << 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -62,6 +62,30 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+def _word_hashes(lower: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of the words that begin and stop at these bytes, block by block."""
+    found = np.empty(len(starts), np.uint64)
+    long_words = np.flatnonzero(stops - starts > BLOCK)
+    up, down = _powers(2 * BLOCK)
+    first = 0
+    while first < len(starts):
+        if stops[first] - starts[first] > BLOCK:
+            digest = hashlib.blake2b(lower[starts[first] : stops[first]].tobytes(), digest_size=8).digest()
+            found[first] = np.frombuffer(digest, np.uint64)[0]
+            first += 1
+            continue
+        # Words that begin within a block of the first one and are none of the long ones.
+        last = int(np.searchsorted(starts, starts[first] + BLOCK))
+        if len(long_words):
+            last = min([last, *long_words[long_words > first][:1]])
+        begin, low, high = int(starts[first]), starts[first:last], stops[first:last]
+        block = lower[begin : int(high[-1])].astype(np.uint64) + np.uint64(1)
+        sums = np.append(np.uint64(0), np.cumsum(block * up[: len(block)]))
+        found[first:last] = _mixed((sums[high - begin] - sums[low - begin]) * down[low - begin] + (high - low).astype(np.uint64))
+        first = last
+    return found
+
+
 def shingle_sets(texts: list[str | None], width: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts, one text after the other, and the bounds of each."""
     data = [("" if t is None else t).encode("utf-8", "surrogatepass") + b" " for t in texts]
@@ -74,11 +98,8 @@ def shingle_sets(texts: list[str | None], width: int = 3) -> tuple[np.ndarray, n
     word = ~blank
     starts = np.flatnonzero(word & np.concatenate([[True], blank[:-1]]))
     stops = np.flatnonzero(blank & np.concatenate([[False], word[:-1]]))
-    size = 1 << int(len(joined)).bit_length()
-    up, down = _powers(size)
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[: len(lower)])])
-        words = _mixed((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
+        words = _word_hashes(lower, starts, stops)
         document = np.searchsorted(ends, starts, side="right")
         counts = np.bincount(document, minlength=len(texts))
         first = np.concatenate([[0], np.cumsum(counts)])
@@ -220,25 +241,6 @@ def _runs(texts: list[str | None], width: int) -> Iterator[tuple[int, list[np.nd
         row += len(run)
 
 
-def _filter_of(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of the low bits of a column; at most ``FILTER_BITS / 64`` rows come to the driver."""
-    cell = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1))
-    bits = (
-        ids.select(
-            F.shiftright(cell, 6).alias("at"),
-            F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int")).alias("bit"),
-        ).groupBy("at").agg(F.bit_or("bit").alias("bits"))
-    ).toPandas()
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
-    words[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
-    return words
-
-
-def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
-    cell = values.astype(np.int64) & (FILTER_BITS - 1)
-    return ((words[cell >> 6] >> (cell & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-
-
 def _listed(width: int, percent: int, boundary: int):
     """Keys and id of every set."""
     import pyarrow as pa
@@ -256,42 +258,36 @@ def _listed(width: int, percent: int, boundary: int):
     return listed
 
 
-def _signatures(width: int, percent: int, boundary: int, shared: np.ndarray):
-    """Id, size and parity of the set of every document, and those of its keys that pass the filter of shared ones."""
+def _signatures(width: int):
+    """Id, size and parity of the set of every document."""
     import pyarrow as pa
 
     def signed(batches):
         for batch in batches:
             for row, sets in _runs(batch.column(1).to_pylist(), width):
-                keys = []
-                for x in sets:
-                    own = np.concatenate(k) if (k := keys_of(x, percent, boundary)) else np.zeros(0, np.uint64)
-                    keys.append(own[_passes(shared, own)])
-                bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(sets)),
                     pa.array([set_id(x) for x in sets], pa.int64()),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([parity(x) for x in sets], pa.list_(pa.int64())),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys).view(np.int64))),
-                ], names=["doc", "id", "n", "parity", "keys"])
+                ], names=["doc", "id", "n", "parity"])
 
     return signed
 
 
-def _wanted_texts(width: int, words: np.ndarray):
-    """Texts whose document passes the filter, with the id of their set."""
+def _named_texts(width: int):
+    """Texts with the id of their set."""
     import pyarrow as pa
 
-    def wanted(batches):
+    def named(batches):
         for batch in batches:
-            texts = batch.column(1).filter(pa.array(_passes(words, batch.column(0).to_numpy())))
-            for row, sets in _runs(texts.to_pylist(), width):
+            for row, sets in _runs(batch.column(0).to_pylist(), width):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_id(x) for x in sets], pa.int64()), texts.slice(row, len(sets))], names=["id", "text"]
+                    [pa.array([set_id(x) for x in sets], pa.int64()), batch.column(0).slice(row, len(sets))],
+                    names=["id", "text"],
                 )
 
-    return wanted
+    return named
 
 
 def _linked_pairs(width: int, percent: int):
@@ -328,37 +324,39 @@ def jaccard_components(
     """Per document: id, ``n_shingles`` and ``component_id``, the smallest id that links reach."""
     boundary = chosen_boundary(percent)
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = rows.schema["doc"].dataType.simpleString()
+    kind, spark = rows.schema["doc"].dataType.simpleString(), docs.sparkSession
+    signed = stored(
+        rows.mapInArrow(_signatures(width), f"doc {kind}, id long, n long, parity array<long>"), "signatures"
+    )
     # The keys are made twice rather than stored: most belong to one set and are of no more use.
     listed = rows.select("text").mapInArrow(_listed(width, percent, boundary), "key long, id long")
     shared = stored(
         listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key"),
         "shared",
     )
-    signed = stored(
-        rows.mapInArrow(
-            _signatures(width, percent, boundary, _filter_of(shared, "key")),
-            f"doc {kind}, id long, n long, parity array<long>, keys array<long>",
-        ),
-        "signatures",
-    )
-    listed = signed.where("n > 0").select(F.explode("keys").alias("key"), "id")
+    release(spark)
     meeting = stored(listed.join(shared, "key", "left_semi").distinct(), "meeting")
+    discard(shared)
+    release(spark)
     # One document stands for each set that has a candidate.
     stand = stored(
-        signed.select("doc", "id", "n", "parity").join(meeting.select("id").distinct(), "id", "left_semi")
+        signed.join(meeting.select("id").distinct(), "id", "left_semi")
         .groupBy("id").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("parity").alias("parity")),
         "stand",
     )
     members = stored(meeting.join(stand.drop("doc"), "id"), "members")
-    words = _filter_of(stand.select(F.xxhash64("doc").alias("deal")), "deal")
+    discard(meeting)
+    # What is wanted grows with the documents, so it is not broadcast where it happens to be small.
+    wanted = stand.select(F.col("doc").alias("wanted")).distinct().hint("merge")
     texts = stored(
-        rows.select(F.xxhash64("doc").alias("deal"), "text")
-        .mapInArrow(_wanted_texts(width, words), "id long, text string")
+        rows.join(wanted, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+        .mapInArrow(_named_texts(width), "id long, text string")
         .join(stand.select("id"), "id", "left_semi")
         .groupBy("id").agg(F.first("text").alias("text")),
         "texts",
     )
+    discard(stand)
+    release(spark)
 
     def near(x, y):
         apart = sum((F.bit_count(x("parity")[i].bitwiseXOR(y("parity")[i])) for i in range(8)), F.lit(0))
@@ -374,6 +372,7 @@ def jaccard_components(
         return met.mapInArrow(_linked_pairs(width, percent), "a long, b long")
 
     labels = linked_lists(members, near, check)
+    discard(texts)
     classes = signed.where("n > 0").groupBy("id").agg(F.min("doc").alias("low"))
     rooted = stored(
         classes.join(labels.withColumnRenamed("node", "id"), "id", "left")
