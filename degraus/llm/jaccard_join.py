@@ -330,14 +330,18 @@ def jaccard_components(
     )
     # The keys are made twice rather than stored: most belong to one set and are of no more use.
     listed = rows.select("text").mapInArrow(_listed(width, percent, boundary), "key long, id long")
-    shared = stored(
-        listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key"),
-        "shared",
+    # First only keys are counted, which moves half as much as keys with ids; of those that occur twice or more, some
+    # come from equal sets alone and go in the second step.
+    repeated = stored(
+        listed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-keys"
     )
     release(spark)
-    meeting = stored(listed.join(shared, "key", "left_semi").distinct(), "meeting")
-    discard(shared)
+    listed = stored(listed.join(repeated, "key", "left_semi").distinct(), "listed")
+    discard(repeated)
     release(spark)
+    shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    meeting = stored(listed.join(shared.select("key"), "key", "left_semi"), "meeting")
+    discard(listed)
     # One document stands for each set that has a candidate.
     stand = stored(
         signed.join(meeting.select("id").distinct(), "id", "left_semi")
