@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from degraus.llm.common import let, words_of
+from degraus.session import stored
 
 FILTERS = "ABCDE"
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_CAPITALS_PERCENT = 200, 50, 2
@@ -71,11 +72,11 @@ def masked(
         rows.groupBy("doc", "digest", "part", "mask").agg(F.count("*").alias("n"))
         .join(marks, "doc", "left").fillna(False, ["good", "toxic"])
     )
-    of_text = of_id.groupBy(*kinds).agg(
+    of_text = stored(of_id.groupBy(*kinds).agg(
         F.sum("n").alias("n"), F.min("doc").alias("low"),
         F.coalesce(F.min_by("n", "doc"), F.lit(0)).alias("at_low"),
         F.sum(F.when(F.col("doc").isNull(), F.col("n")).otherwise(0)).alias("nameless"),
-    )
+    ), "audit-texts")
     lowest = of_text.groupBy("digest").agg(F.min("low").alias("lowest"))
     firsts = F.when(F.col("low") == F.col("lowest"), F.col("at_low")).otherwise(0) + F.col("nameless")
     split = of_text.join(lowest, "digest").select(
