@@ -9,8 +9,9 @@ extensions, how often they stand there are their counts, and the last-to-first m
 
 Counts are summed across shards. Phrases of two words go first; those that are frequent over all shards go back to each
 shard that holds them, as places in its own list. From there it grows phrases of three words, which come back likewise,
-and then all longer ones. A phrase is counted if the phrase without its first word, extended to the left, and the phrase
-without its last, extended to the right, are the same interval, so both of them are frequent.
+and then all longer ones, whose counts a task sums over its shards before they go across. A phrase is counted if the
+phrase without its first word, extended to the left, and the phrase without its last, extended to the right, are the same
+interval, so both of them are frequent.
 
 A language's scores are exact integers (decimal products of up to 38 digits). A candidate goes if a phrase with one more
 word is as frequent: if any longer one is, then so is one with a single word more.
@@ -45,27 +46,25 @@ BUCKETS, PER_BUCKET = 256, 1 << 23
 # --- Words -------------------------------------------------------------------------------------
 
 
-def words_in_pieces(texts: list[bytes]) -> tuple[np.ndarray, list[str]]:
-    """Ids of the words of all texts from 1 on, 0 between pieces, and the words by id from 0 on."""
+def words_in_pieces(texts: list[bytes]):
+    """Ids of the words of all texts from 1 on, 0 between pieces, and the words by id from 0 on, as an Arrow array."""
     import pyarrow as pa
 
     joined = b"\n".join([*texts, b""])
-    data = np.frombuffer(joined, np.uint8)
-    capital = (data >= 65) & (data <= 90)
-    lower = np.where(capital, data + np.uint8(32), data)
-    kind = np.zeros(256, np.int8)
+    lower = joined.lower()  # of bytes: A-Z alone
+    kind = np.zeros(256, np.uint8)
     kind[list(BLANKS)], kind[list(BREAKS)] = 1, 2
-    kinds = kind[data]
+    kinds = np.frombuffer(joined.translate(kind.tobytes()), np.uint8)
     visible = kinds == 0
     starts = np.flatnonzero(visible & ~np.append(False, visible[:-1]))
     ends = np.flatnonzero(~visible & np.append(False, visible[:-1]))
     if not len(starts):
-        return np.zeros(0, np.int32), []
+        return np.zeros(0, np.int32), pa.array([], pa.string())
     # Words with the gaps after them, as one array whose every second value is a word.
     edges = np.empty(2 * len(starts) + 1, np.int64)
-    edges[:-1:2], edges[1::2], edges[-1] = starts, ends, len(data)
+    edges[:-1:2], edges[1::2], edges[-1] = starts, ends, len(joined)
     coded = pa.Array.from_buffers(
-        pa.large_string(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(lower))]
+        pa.large_string(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(lower)]
     ).take(pa.array(np.arange(0, len(edges) - 1, 2))).dictionary_encode()
     ids = coded.indices.to_numpy() + 1
     piece = np.searchsorted(np.flatnonzero(kinds == 2), starts)
@@ -73,7 +72,19 @@ def words_in_pieces(texts: list[bytes]) -> tuple[np.ndarray, list[str]]:
     at = np.arange(len(ids)) + np.cumsum(new_piece)
     sequence = np.zeros(int(at[-1]) + 1, np.int32)
     sequence[at] = ids
-    return sequence, coded.dictionary.to_pylist()
+    return sequence, coded.dictionary.cast(pa.string())
+
+
+def _kept(ids: np.ndarray):
+    """An array of ids as one binary value: Spark then moves it whole, not number by number."""
+    import pyarrow as pa
+
+    return pa.array([ids.astype("<i4").tobytes()], pa.binary())
+
+
+def _ids(value) -> np.ndarray:
+    """The array that ``_kept`` made the value of."""
+    return np.frombuffer(value.as_buffer(), "<i4")
 
 
 def _shards(shard_bytes: int):
@@ -92,9 +103,10 @@ def _shards(shard_bytes: int):
             del sizes[lang]
             number += 1
             return pa.RecordBatch.from_arrays([
-                pa.array([(task << 32) + number], pa.int64()), pa.array([lang]), pa.array([words], pa.list_(pa.string())),
+                pa.array([(task << 32) + number], pa.int64()), pa.array([lang]),
+                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
                 pa.array([np.bincount(sequence, minlength=len(words) + 1)[1:]], pa.list_(pa.int64())),
-                pa.array([sequence], pa.list_(pa.int32())),
+                _kept(sequence),
             ], names=["shard", "lang", "words", "counts", "sequence"])
 
         for batch in batches:
@@ -115,25 +127,31 @@ def _shards(shard_bytes: int):
 # --- The index ---------------------------------------------------------------------------------
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Rank of every key among the distinct ones, from 1 on."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    new = np.append(False, ordered[1:] != ordered[:-1])
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.cumsum(new) + 1
-    return ranks
+def _sorted(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, with their places. Equal keys have rising places, and keep that order; nothing is negative."""
+    bits = int(places.max(initial=0)).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits > 63:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], places[order]
+    # Both fit into one number: sorting values is several times as fast as finding their order.
+    both = np.sort((keys.astype(np.int64) << bits) | places)
+    return both >> bits, (both & ((1 << bits) - 1)).astype(places.dtype)
 
 
 def suffix_order(sequence: np.ndarray, depth: int) -> np.ndarray:
     """Places of a sequence, ordered by the next ``depth`` ids; what begins alike is in any order."""
+    places = np.arange(len(sequence), dtype=np.int32)
     ranks, known = sequence.astype(np.int64), 1
+    order = None if depth > 1 else _sorted(ranks, places)[1]
     while known < depth:
         step = min(known, depth - known)  # two overlapping halves order as deep as they reach together
         after = np.append(ranks[step:], np.zeros(step, np.int64))[: len(ranks)]
-        ranks = _ranks(ranks * (int(ranks.max(initial=0)) + 1) + after)
+        keys, order = _sorted(ranks * (int(ranks.max(initial=0)) + 1) + after, places)
         known += step
-    return np.argsort(ranks)
+        if known < depth:
+            ranks = np.empty(len(keys), np.int64)
+            ranks[order] = np.cumsum(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return order
 
 
 class FMIndex:
@@ -141,7 +159,7 @@ class FMIndex:
 
     def __init__(self, transform: np.ndarray):
         self.transform = transform
-        order = np.argsort(transform, kind="stable")
+        _, order = _sorted(transform, np.arange(len(transform), dtype=np.int32))
         self.last_to_first = np.empty(len(transform), np.int32)
         self.last_to_first[order] = np.arange(len(transform), dtype=np.int32)
 
@@ -157,17 +175,13 @@ class FMIndex:
         base = int(self.transform.max(initial=0)) + 1
         place = np.arange(int(sizes.sum()), dtype=np.int32)
         place += np.repeat((low - (np.cumsum(sizes) - sizes)).astype(np.int32), sizes)
-        keys = np.repeat(np.arange(len(low)) * base, sizes) + self.transform[place]
-        order = np.argsort(keys)
-        keys, place = keys[order], place[order]
-        del order
+        keys, place = _sorted(np.repeat(np.arange(len(low)) * base, sizes) + self.transform[place], place)
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
         owner, word = np.divmod(keys[first], base)
         count = np.diff(np.append(first, len(keys)))
-        lowest = np.minimum.reduceat(place, first) if len(first) else place
         smaller = first - (np.cumsum(sizes) - sizes)[owner]
         real = word > 0
-        return owner[real], word[real], count[real], self.last_to_first[lowest[real]], smaller[real]
+        return owner[real], word[real], count[real], self.last_to_first[place[first[real]]], smaller[real]
 
 
 class PhraseIndex:
@@ -238,17 +252,17 @@ def _indexed(longest: int):
             for row in range(batch.num_rows):
                 shard, sequence, places, numbers = (batch.column(i)[row] for i in range(4))
                 numbers = numbers.values.to_numpy()
-                own = np.zeros(len(sequence.values) + 2, np.int32)  # more than any word's place in the shard
+                sequence = _ids(sequence)
+                own = np.zeros(len(sequence) + 2, np.int32)  # more than any word's place in the shard
                 own[places.values.to_numpy() + 1] = np.arange(1, len(numbers) + 1)
-                ids = own[np.append(np.append(np.int32(0), sequence.values.to_numpy()), np.int32(0))]
+                ids = own[np.append(np.append(np.int32(0), sequence), np.int32(0))]
                 # Neighbouring breaks are one.
                 ids = ids[np.append(True, (ids[1:] != 0) | (ids[:-1] != 0))]
                 found = PhraseIndex.of(ids if len(ids) > 1 else np.zeros(2, np.int32), longest)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([shard.as_py()], pa.int64()),
                     pa.array([numbers.astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([found.forward.transform], pa.list_(pa.int32())),
-                    pa.array([found.backward.transform], pa.list_(pa.int32())),
+                    _kept(found.forward.transform), _kept(found.backward.transform),
                 ], names=["shard", "numbers", "forward", "backward"])
                 del found, own, ids
         pa.default_memory_pool().release_unused()
@@ -259,7 +273,7 @@ def _indexed(longest: int):
 def _opened(batch, row: int) -> tuple[int, np.ndarray, PhraseIndex]:
     """Shard, numbers of its ids (0 for the break) and index of a stored row."""
     numbers = np.append(0, batch.column("numbers")[row].values.to_numpy().astype(np.int64))
-    ways = [FMIndex(batch.column(name)[row].values.to_numpy()) for name in ("forward", "backward")]
+    ways = [FMIndex(_ids(batch.column(name)[row])) for name in ("forward", "backward")]
     return batch.column("shard")[row].as_py(), numbers, PhraseIndex(*ways)
 
 
@@ -283,28 +297,74 @@ def _pairs(batches):
     pa.default_memory_pool().release_unused()
 
 
-def _longer(longest: int, *columns: str):
-    """Phrases grown from those that ``columns`` choose, in every shard: words' numbers, place in the shard's list, and
-    count, of all lengths up to ``longest``."""
+def _rows(ids: np.ndarray, *columns: tuple[str, np.ndarray]):
+    """Batches of phrases, one row of ``ids`` each, with further columns."""
+    import pyarrow as pa
+
+    for at in range(0, len(ids), 1 << 17):
+        part = slice(at, at + (1 << 17))
+        flat = ids[part].astype(np.int32).ravel()
+        bounds = np.arange(0, len(flat) + 1, ids.shape[1], dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), *(pa.array(c[part]) for _, c in columns)],
+            names=["ids", *(name for name, _ in columns)],
+        )
+
+
+def _triples(batches):
+    """Phrases of three words grown from the pairs ``two`` of every shard: words' numbers, place in the shard's list, and
+    count."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            shard, numbers, index = _opened(batch, row)
+            two = np.sort(batch.column("two")[row].values.to_numpy())
+            for ids, counts in index.grown(3, two):
+                size = len(ids)
+                yield from _rows(
+                    numbers[ids], ("shard", np.full(size, shard, np.int64)), ("at", np.arange(size, dtype=np.int32)),
+                    ("n", counts.astype(np.int64)),
+                )
+            del index
+    pa.default_memory_pool().release_unused()
+
+
+def _summed(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct phrases and the sums of their counts."""
+    order = np.lexsort(ids.T)
+    ids, counts = ids[order], counts[order]
+    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1))[: len(ids)])
+    return ids[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _longer(longest: int, most: int = 1 << 20):
+    """Phrases of four words and more grown from the triples ``three``: words' numbers, and counts summed over the shards
+    of the task, which hands on what it has at ``most`` phrases."""
     import pyarrow as pa
 
     def grow(batches):
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def handed_on():
+            for parts in held.values():
+                ids, counts = _summed(*(np.concatenate(x) for x in zip(*parts)))
+                yield from _rows(ids, ("n", counts.astype(np.int64)))
+            held.clear()
+
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, numbers, index = _opened(batch, row)
-                chosen = [np.sort(batch.column(c)[row].values.to_numpy()) for c in columns]
+                _, numbers, index = _opened(batch, row)
+                chosen = [np.sort(batch.column(c)[row].values.to_numpy()) for c in ("two", "three")]
                 for ids, counts in index.grown(longest, *chosen):
-                    width = ids.shape[1]
-                    for at in range(0, len(ids), 1 << 17):
-                        flat = numbers[ids[at : at + (1 << 17)]].astype(np.int32).ravel()
-                        bounds = np.arange(0, len(flat) + 1, width, dtype=np.int32)
-                        size = len(bounds) - 1
-                        yield pa.RecordBatch.from_arrays([
-                            pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-                            pa.array(np.full(size, shard, np.int64)), pa.array(np.arange(at, at + size, dtype=np.int32)),
-                            pa.array(counts[at : at + (1 << 17)].astype(np.int64)),
-                        ], names=["ids", "shard", "at", "n"])
+                    held.setdefault(ids.shape[1], []).append((numbers[ids].astype(np.int32), counts))
+                    size += len(ids)
                 del index
+                if size >= most:
+                    yield from handed_on()
+                    size = 0
+        yield from handed_on()
         pa.default_memory_pool().release_unused()
 
     return grow
@@ -334,7 +394,7 @@ def phrase_counts(
     shards = stored(
         rows.mapInArrow(
             _shards(shard_bytes),
-            "shard long, lang string, words array<string>, counts array<long>, sequence array<int>",
+            "shard long, lang string, words array<string>, counts array<long>, sequence binary",
         ),
         "phrase-shards",
     )
@@ -349,13 +409,13 @@ def phrase_counts(
     words = stored(_numbered(counted.where(F.col("n") >= least)), "phrase-words")
     own = (
         shards.select("shard", "lang", F.posexplode("words").alias("place", "word"))
-        .join(words.select("lang", "word", "number"), ["lang", "word"])
+        .join(words.select("lang", "word", "number").hint("shuffle_hash"), ["lang", "word"])
         .groupBy("shard").agg(F.collect_list(F.struct("place", "number")).alias("w"))
         .select("shard", "w.place", "w.number")
     )
     index = stored(
         shards.select("shard", "sequence").join(own, "shard").mapInArrow(
-            _indexed(longest), "shard long, numbers array<int>, forward array<int>, backward array<int>"
+            _indexed(longest), "shard long, numbers array<int>, forward binary, backward binary"
         ),
         "phrase-index",
     )
@@ -368,10 +428,9 @@ def phrase_counts(
         "phrase-pairs",
     )
     release(docs.sparkSession)
-    grown = "ids array<int>, shard long, at int, n long"
     chosen = index.join(pairs.groupBy("shard").agg(F.collect_list("at").alias("two")), "shard")
     threes = stored(
-        chosen.mapInArrow(_longer(3, "two"), grown)
+        chosen.mapInArrow(_triples, "ids array<int>, shard long, at int, n long")
         .withColumn("a", F.sum("n").over(Window.partitionBy("ids"))).where(F.col("a") >= least)
         .select("ids", "shard", "at", "a"),
         "phrase-threes",
@@ -379,7 +438,7 @@ def phrase_counts(
     release(docs.sparkSession)
     chosen = chosen.join(threes.groupBy("shard").agg(F.collect_list("at").alias("three")), "shard")
     longer = (
-        chosen.mapInArrow(_longer(longest, "two", "three"), grown)
+        chosen.mapInArrow(_longer(longest), "ids array<int>, n long")
         .groupBy("ids").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     )
     two = pairs.select("key", "a").distinct().select(

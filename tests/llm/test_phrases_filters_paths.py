@@ -122,6 +122,43 @@ def test_scores_beyond_64_bits():
     assert row.select(exact).first()[0] == 1000 * a * n // (left * right)
 
 
+@pytest.mark.parametrize("most", [1, 1 << 20])
+def test_a_task_sums_longer_phrases_over_its_shards(most):
+    """Two shards that number their words differently; together each phrase is one row, unless a task must let go."""
+    import pyarrow as pa
+
+    rows, plain = [], Counter()
+    for shard, (words, numbers) in enumerate([([1, 2, 3, 1, 2, 3, 1, 2], [7, 8, 9]), ([3, 1, 2, 3, 1, 2, 3], [7, 8, 9])]):
+        index = collocations.PhraseIndex.of(np.array([0, *words, 0], np.int32))
+        named = [numbers[w - 1] for w in words]
+        for m in (4, 5):
+            plain.update(tuple(named[i : i + m]) for i in range(len(named) - m + 1))
+        pairs = len(index.pairs()[0])
+        triples = next(index.grown(3, np.arange(pairs)))[0]
+        rows.append({
+            "shard": shard, "numbers": np.array(numbers, np.int32),
+            "forward": index.forward.transform.astype("<i4").tobytes(),
+            "backward": index.backward.transform.astype("<i4").tobytes(),
+            "two": np.arange(pairs, dtype=np.int32), "three": np.arange(len(triples), dtype=np.int32),
+        })
+    batch = pa.RecordBatch.from_pylist(rows)
+    got = [(tuple(r["ids"]), r["n"]) for b in collocations._longer(5, most)([batch]) for r in b.to_pylist()]
+    summed = Counter()
+    for ids, n in got:
+        summed[ids] += n
+    assert summed == plain
+    assert (len(got) == len(plain)) == (most > 1)
+
+
+@pytest.mark.parametrize("largest", [50, 1 << 60])
+def test_keys_are_sorted_with_their_places(largest):
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 50, 400) * (largest // 50)
+    places = np.arange(5, 405, dtype=np.int32)
+    got = collocations._sorted(keys, places)
+    assert list(zip(*(x.tolist() for x in got))) == sorted(zip(keys.tolist(), places.tolist()))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_index_extends_to_both_sides(seed):
     """Intervals, counts and extensions of every phrase equal those read off the sequence."""
