@@ -2,12 +2,13 @@
 
 Two lines link if they are equal, or if their edit distance is at most what the length of the shorter one permits:
 ``least_chars`` has the characters needed for one edit, two edits and so on. Lines are joined once for each number of
-edits, cut into one even segment more than that; within that distance one segment of the shorter line
-stands unchanged in the longer one, near its own place. Segments are indexed under (segment, length of the line,
-text); every line probes the places where a segment of a line of its own or a slightly smaller length may stand. The
-matches go through ``linked_lists``, so a segment that many lines share is not compared all against all, and pairs are
-verified by a banded bit-parallel edit distance. A line's class is its component; the first line of a class, by
-(document id, line number), is kept.
+edits, cut into one even segment more than that, by the least length of a range of lengths, so that all lines of a range
+are cut alike; the front segments are counted from the start of a line, the others from its end. Within that distance one
+segment of the one line stands unchanged in the other one, near its own place: as many edits away as segments lie between
+it and its end of the line. A line gives keys (range, segment, text) for its segments and the places beside them, also
+for the range below if a partner may be in it. The keys' lists go through ``linked_lists``, so a segment that many lines
+share is not compared all against all, and pairs are verified by a banded bit-parallel edit distance. A line's class is
+its component; the first line of a class, by (document id, line number), is kept.
 
 Lines are compared exactly by text when verified; equal lines are found by 64-bit hash.
 
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from degraus.llm.common import let, words_of
@@ -35,55 +36,51 @@ EDITS, LEAST_CHARS = 2, 48
 NEAR_CHARS = (10, 20)
 
 
-def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start and length of segment ``i`` of a line of ``n`` characters; the last ``n mod (edits + 1)`` are longer."""
-    parts = edits + 1
-    size = F.floor(n / parts).cast("int")
-    short = parts - n % parts  # number of segments of the smaller size
-    return i * size + F.greatest(F.lit(i) - short, F.lit(0)), size + F.when(F.lit(i) >= short, 1).otherwise(0)
+def _range(n: Column, edits: int, low: int) -> Column:
+    """Least length of the range that ``n`` is in, from ``low`` on. No range is shorter than ``edits``, so a line and one
+    by so many characters shorter are in the same or in neighbouring ones."""
+    unit = 1 << max(1, (edits - 1).bit_length())
+    width = F.when(n < 16 * unit, unit).when(n < 32 * unit, 2 * unit).otherwise(4 * unit)
+    return F.greatest(n - n % width, F.lit(low))
 
 
-def probes(edits: int) -> list[tuple[int, int, int]]:
-    """(missing characters of the indexed line, segment, shift of the probed place), each only where the edits to the
-    left and to the right of the segment can add up."""
+def places(edits: int) -> list[tuple[int, int]]:
+    """(segment, shift) of all keys of a line in one range.
+
+    If two lines are at most ``edits`` apart, some segment ``i`` is unchanged with at most ``i`` edits before it and
+    ``edits - i`` behind it. For two edits a shift by one to the left is enough for the segment in the middle: if it
+    stands one place further right, an insertion lies before it; either the first segment is unchanged, or the middle of
+    the other line stands one place further left here."""
     found = []
-    for fewer in range(edits + 1):
-        for i in range(edits + 1):
-            low = max(-i, fewer - (edits - i))
-            high = min(i, fewer + (edits - i))
-            found += [(fewer, i, shift) for shift in range(low, high + 1)]
+    for i in range(edits + 1):
+        most = min(i, edits - i)
+        found += [(i, shift) for shift in range(-most, 1 if edits <= 2 else most + 1)]
     return found
 
 
-def _keys(line: Column, n: Column, edits: int, own: bool) -> list[Column]:
-    """Keys under which a line itself is indexed, or all that it probes, its own among them."""
-    keys = []
-    for fewer, i, shift in probes(edits):
-        if own and (fewer or shift):
-            continue
-        start, size = _segment(n - fewer, i, edits)
-        text = F.substring(line, start + shift + 1, size)
-        keys.append(F.xxhash64(F.lit(edits), F.lit(i), n - fewer, text))
+def _keys(line: Column, n: Column, edits: int, least: Column) -> list[Column]:
+    """Keys of a line of ``n`` characters in the range from ``least`` on."""
+    keys, parts = [], edits + 1
+    for i, shift in places(edits):
+        start, stop = (F.floor(least * j / parts).cast("int") for j in (i, i + 1))
+        ahead = 0 if 2 * i <= edits else n - least
+        text = F.substring(line, start + ahead + shift + 1, stop - start)
+        keys.append(F.xxhash64(F.lit(edits), F.lit(i), least, text))
     return keys
 
 
-def _keys_by_length(line: Column, n: Column, least: Sequence[int], own: bool = False) -> Column:
+def _keys_by_length(line: Column, n: Column, least: Sequence[int]) -> Column:
     """Keys of a line for every number of edits that it and a shorter or longer partner are permitted."""
-    # The shorter line of a pair is in the range of its number of edits, the longer one may be beyond it.
-    ranges = [
-        (edits, low, None if high is None else high + edits)
-        for edits, (low, high) in enumerate(zip(least, [*least[1:], None], strict=True), 1)
-        if high is None or low < high
-    ]
-    edges = sorted({e for _, low, high in ranges for e in (low, high) if e is not None})
-    found = None
-    for low in reversed(edges):
-        keys = [
-            k for edits, start, stop in ranges if start <= low and (stop is None or low < stop)
-            for k in _keys(line, n, edits, own)
-        ]
-        found = F.when(n >= low, F.array(*keys)) if found is None else found.when(n >= low, F.array(*keys))
-    return found
+    found = []
+    for edits, (low, high) in enumerate(zip(least, [*least[1:], None], strict=True), 1):
+        if high is not None and low >= high:
+            continue
+        # The shorter line of a pair is in the bounds of its number of edits, the longer one may be beyond them.
+        inside = n >= low if high is None else (n >= low) & (n < high + edits)
+        own, below = _range(n, edits, low), _range(F.greatest(n - edits, F.lit(low)), edits, low)
+        found.append(F.when(inside, F.array(*_keys(line, n, edits, own))))
+        found.append(F.when(inside & (below < own), F.array(*_keys(line, n, edits, below))))
+    return F.flatten(F.filter(F.array(*found), lambda keys: keys.isNotNull()))
 
 
 def _parity(items: Column, cell) -> Column:
@@ -236,15 +233,14 @@ def line_classes(
         "doc", "text_hash", "line_no", "line", F.xxhash64("line").alias("id"), F.length("line").alias("n")
     )
     long_lines = lines.where(F.col("n") >= least[0])
-    places = stored(lines.select("doc", "text_hash", "line_no", "id", F.col("n").alias("n_chars")), "line-places")
-
-    def keyed(own: bool) -> DataFrame:
-        return long_lines.select(F.explode(_keys_by_length(F.col("line"), F.col("n"), least, own)).alias("key"), "id")
+    where = stored(lines.select("doc", "text_hash", "line_no", "id", F.col("n").alias("n_chars")), "line-places")
 
-    indexed = keyed(own=True).groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    met = keyed(own=False).join(indexed, "key").where("id <> low or id <> high").select("key", "id", "low", "high")
+    keyed = long_lines.select(F.explode(_keys_by_length(F.col("line"), F.col("n"), least)).alias("key"), "id")
+    same_key = Window.partitionBy("key")
     meeting = stored(
-        met.select("key", F.explode(F.array("id", "low", "high")).alias("id")).distinct(), "line-meeting"
+        keyed.withColumns({"low": F.min("id").over(same_key), "high": F.max("id").over(same_key)})
+        .where("low <> high").select("key", "id").distinct(),
+        "line-meeting",
     )
     release(docs.sparkSession)
     texts = stored(
@@ -283,11 +279,11 @@ def line_classes(
     labels = linked_lists(members, near, check)
     discard(texts)
     classed = stored(
-        places.join(labels.select(F.col("node").alias("id"), "root"), "id", "left")
+        where.join(labels.select(F.col("node").alias("id"), "root"), "id", "left")
         .withColumn("root", F.coalesce("root", "id")).drop("id"),
         "line-classes",
     )
-    discard(places, labels)
+    discard(where, labels)
     firsts = classed.groupBy("root").agg(F.min(F.struct("doc", "line_no", "text_hash")).alias("first"))
     return classed.join(firsts, "root").select(
         "doc", "text_hash", "line_no", "n_chars",

@@ -306,6 +306,26 @@ def test_short_lines_near_copies(spark):
     assert group[-1] == group[-2] == len(lines) - 2
 
 
+@pytest.mark.parametrize(("n", "edits", "most"), [(15, 1, 4), (24, 2, 8), (33, 2, 8), (66, 2, 8), (200, 2, 6), (70, 3, 12)])
+def test_near_lines_share_one_of_few_keys(spark, n, edits, most):
+    """Every pair within the edits, at the edges of the ranges of lengths too; a line has four keys a range."""
+    rng = random.Random(n)
+    low, pairs = (20 if n > 20 else 10), []
+    for k in range(400):
+        a = "".join(rng.choice("abé") for _ in range(n - 3 + k % 7))
+        b = edited(rng, a, rng.randint(1, edits))
+        if distance(a, b) <= edits and min(len(a), len(b)) >= low:
+            pairs.append((a, b))
+    keys = {
+        end: line_dedup._keys_by_length(F.col(end), F.length(end), [1 << 20] * (edits - 1) + [low]) for end in "ab"
+    }
+    rows = spark.createDataFrame(pairs, "a string, b string").select(*(keys[end].alias(end) for end in "ab")).collect()
+    assert len(rows) > 250
+    assert all(set(r["a"]) & set(r["b"]) for r in rows)
+    assert max(len(r["a"]) for r in rows) <= 2 * len(line_dedup.places(edits))
+    assert sum(len(r["a"]) for r in rows) / len(rows) <= most
+
+
 def test_op8_finds_near_copies_of_short_lines(spark, tmp_path):
     frame(spark, ["Copyright 2019 by A. Writer", "Copyright 2024 by A. Writer"]).write.parquet(
         str(tmp_path / "documents.parquet"))
