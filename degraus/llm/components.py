@@ -76,6 +76,7 @@ def linked_lists(
     members: DataFrame,
     near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     check: Callable[[DataFrame], DataFrame],
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Components of the ids in ``members(key, id, facts...)``: two ids link if they share a key and pass ``check``.
 
@@ -88,10 +89,17 @@ def linked_lists(
     now. The others go on with more hubs each round, until every pair that could still join two components has been
     checked. A group of near copies ends after its first hub. No list is sorted or gathered: hubs are drawn row by row,
     and a list that holds many of the rows is joined with its hubs, which are few, in as many tasks as AQE splits it into.
+    Where most lists hold two ids and most pairs are far apart, the facts make nearly all of what is moved. They can be
+    given apart, as ``facts(id, facts...)``, with ``members(key, id, first)`` naming the smallest id of each list: then the
+    first round moves ids and looks facts up for different pairs, and rows get theirs in lists that are open after it.
+
     Returns ``(node, root)`` of ids that link with any other; the root is the smallest id. ``members`` is deleted.
     """
-    facts = [c for c in members.columns if c not in ("key", "id")]
+    names = [c for c in (members if facts is None else facts).columns if c not in ("key", "id")]
     spark, live, labels, hubs, turn = members.sparkSession, members, None, HUBS, 0
+    if facts is not None:
+        live, labels = _met_first(members, near, check, facts)
+        hubs, turn = hubs * GROWTH, turn + 1
     while True:
         rooted = _rooted(live, labels)
         # Lists that hold two components or more, and the share of each that its hubs are.
@@ -105,13 +113,13 @@ def linked_lists(
         if lists.isEmpty():
             break
         drawn = F.xxhash64("id", F.lit(turn)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
-        open_rows = stored(
+        open_rows = (
             rooted.join(lists, "key").withColumn("hub", (F.col("id") == F.col("first")) | (drawn < F.col("share")))
-            .drop("first", "share"),
-            "lists",
+            .drop("first", "share")
         )
+        open_rows, facts = stored(open_rows if facts is None else open_rows.join(facts, "id"), "lists"), None
         heads = open_rows.where("hub").select(
-            "key", *(F.col(c).alias(f"hub_{c}") for c in ("id", "root", *facts))
+            "key", *(F.col(c).alias(f"hub_{c}") for c in ("id", "root", *names))
         )
         pairs = stored(
             open_rows.join(heads, "key")
@@ -134,6 +142,22 @@ def linked_lists(
     return labels
 
 
+def _met_first(members: DataFrame, near, check, facts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The first round, in which every member meets the smallest id of its list: the other members, and labels."""
+    met = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    for end in ("a", "b"):
+        met = met.join(facts.select(*(F.col(c).alias(end if c == "id" else f"{end}_{c}") for c in facts.columns)), end)
+    pairs = stored(met.where(near(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))).select("a", "b"), "pairs")
+    release(members.sparkSession)
+    found = stored(check(pairs).select("a", "b"), "links")
+    labels = None if found.isEmpty() else connected(found)
+    discard(pairs, found)
+    live = members.where("id <> first").select("key", "id")
+    live.stored_at = getattr(members, "stored_at", None)
+    release(members.sparkSession)
+    return live, labels
+
+
 def _rooted(live: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return live.withColumn("root", F.col("id"))

@@ -328,38 +328,22 @@ def jaccard_components(
     signed = stored(
         rows.mapInArrow(_signatures(width), f"doc {kind}, id long, n long, parity array<long>"), "signatures"
     )
-    # The keys are made twice rather than stored: most belong to one set and are of no more use.
-    listed = rows.select("text").mapInArrow(_listed(width, percent, boundary), "key long, id long")
-    # First only keys are counted, which moves half as much as keys with ids; of those that occur twice or more, some
-    # come from equal sets alone and go in the second step.
-    repeated = stored(
-        listed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-keys"
-    )
-    release(spark)
-    listed = stored(listed.join(repeated, "key", "left_semi").distinct(), "listed")
-    discard(repeated)
-    release(spark)
-    shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    meeting = stored(listed.join(shared.select("key"), "key", "left_semi"), "meeting")
-    discard(listed)
-    # One document stands for each set that has a candidate.
+    # One document stands for each set.
     stand = stored(
-        signed.join(meeting.select("id").distinct(), "id", "left_semi")
-        .groupBy("id").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("parity").alias("parity")),
+        signed.groupBy("id").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("parity").alias("parity")),
         "stand",
     )
-    members = stored(meeting.join(stand.drop("doc"), "id"), "members")
-    discard(meeting)
-    # What is wanted grows with the documents, so it is not broadcast where it happens to be small.
-    wanted = stand.select(F.col("doc").alias("wanted")).distinct().hint("merge")
-    texts = stored(
-        rows.join(wanted, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-        .mapInArrow(_named_texts(width), "id long, text string")
-        .join(stand.select("id"), "id", "left_semi")
-        .groupBy("id").agg(F.first("text").alias("text")),
-        "texts",
+    # Most keys belong to one set and are of no more use. Keys and ids are dealt out once, and both sides of the join read
+    # that; the filter, which drops nothing, is what the join would add to one side, so that the sides stay the same.
+    listed = (
+        rows.select("text").mapInArrow(_listed(width, percent, boundary), "key long, id long").where("key is not null")
+        .repartition("key")
     )
-    discard(stand)
+    shared = (
+        listed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .where("first <> last").select("key", "first")
+    )
+    members = stored(listed.join(shared.hint("shuffle_hash"), "key").distinct(), "members")
     release(spark)
 
     def near(x, y):
@@ -369,20 +353,44 @@ def jaccard_components(
             & ((100 - percent) * (x("n") + y("n")) >= (100 + percent) * apart)
         )
 
+    read: list[DataFrame] = []
+
     def check(pairs: DataFrame) -> DataFrame:
+        discard(*read)
+        read.clear()
+        if pairs.isEmpty():
+            return pairs
+        # Far more sets share a key than have a pair to check, so texts are looked up for each round's pairs alone.
+        ends = stored(
+            pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(stand.select("id", "doc"), "id"),
+            "ends",
+        )
+        # What is wanted grows with the documents, so it is not broadcast where it happens to be small.
+        wanted = ends.select(F.col("doc").alias("wanted")).distinct().hint("merge")
+        texts = stored(
+            rows.join(wanted, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+            .mapInArrow(_named_texts(width), "id long, text string")
+            .join(ends.select("id"), "id", "left_semi")
+            .groupBy("id").agg(F.first("text").alias("text")),
+            "texts",
+        )
+        discard(ends)
+        release(spark)
+        read.append(texts)
         met = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "ta"}), "a").join(
             texts.withColumnsRenamed({"id": "b", "text": "tb"}), "b"
         )
         return met.mapInArrow(_linked_pairs(width, percent), "a long, b long")
 
-    labels = linked_lists(members, near, check)
-    discard(texts)
-    classes = signed.where("n > 0").groupBy("id").agg(F.min("doc").alias("low"))
+    labels = linked_lists(members, near, check, stand.drop("doc"))
+    discard(*read)
     rooted = stored(
-        classes.join(labels.withColumnRenamed("node", "id"), "id", "left")
+        stand.where("n > 0").select("id", F.col("doc").alias("low"))
+        .join(labels.withColumnRenamed("node", "id"), "id", "left")
         .select("id", "low", F.coalesce("root", "id").alias("root")),
         "classes",
     )
+    discard(stand)
     named = rooted.groupBy("root").agg(F.min("low").alias("component"))
     of_set = rooted.join(named, "root").select("id", "component")
     return (

@@ -250,6 +250,46 @@ def test_a_list_of_unlinked_members_is_compared_whole(spark):
     assert {r["node"]: r["root"] for r in got.collect()} == {i: i // 10 * 10 for i in range(70)}
 
 
+def test_facts_given_apart_from_the_lists(spark):
+    """The same components as with facts in every row, for lists of two and for one that needs hubs of several rounds."""
+    pairs = [(1, i) for i in range(70)] + [(i, j) for i in range(70, 90, 2) for j in (i, i + 1)]
+    rows = spark.createDataFrame(pairs, "key long, id long")
+    facts = spark.createDataFrame([(i, i // 10) for i in range(90)], "id long, n long")
+    firsts = rows.groupBy("key").agg(F.min("id").alias("first"))
+    plain, apart = (
+        components.linked_lists(
+            m, lambda x, y: x("n") == y("n"), lambda p: p.where((F.col("b") - F.col("a") == 1) & (F.col("a") % 8 != 0)), f
+        ).collect()
+        for m, f in ((rows.join(facts, "id"), None), (rows.join(firsts, "key"), facts))
+    )
+    assert {(3, 1), (8, 1), (71, 70)} <= {*map(tuple, apart)} and 72 not in {r["node"] for r in apart}
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, apart))
+
+
+def test_sets_that_share_a_key_by_chance_move_ids_alone(spark, monkeypatch):
+    """Neither the facts nor the texts of sets that meet in lists of two, but are far apart, are stored for each key."""
+    rng = random.Random(3)
+    texts = []
+    for i in range(60):
+        shared = [f"s{i}x{k}" for k in range(25)]
+        texts += [" ".join([f"w{rng.randrange(10**9)}" for _ in range(40)] + shared) for _ in range(2)]
+    tables = []
+
+    def noted(df, label, store=components.stored):
+        tables.append(found := store(df, label))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "discard", lambda *_: None)
+    monkeypatch.setattr(components, "discard", lambda *_: None)
+    for module in (jaccard_join, components):
+        monkeypatch.setattr(module, "stored", noted)
+    got = jaccard_join.jaccard_components(frame(spark, texts), width=5, percent=80).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == len(texts)
+    kept = {c: sum(t.count() for t in tables if {*c} <= {*t.columns}) for c in (("key", "id"), ("key", "parity"), ("text",))}
+    assert kept[("key", "id")] > 40
+    assert kept[("key", "parity")] == kept[("text",)] == 0
+
+
 # --- Lines ----------------------------------------------------------------------------------
 
 
